@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that one numpy step works on; a single longer document is cut at white space.
 STEP_BYTES = 1 << 19
@@ -46,6 +47,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def widened(schema: StructType, **types: str) -> StructType:
+    return StructType([*schema.fields, *(StructField(name, StructType.fromDDL(f"x {kind}")[0].dataType) for name, kind in types.items())])
+
+
 def fold(key: Column | str, mod: int) -> Column:
     """crc32 of the id as text, modulo mod; a null id falls in fold 0."""
     key = F.col(key) if isinstance(key, str) else key

@@ -7,14 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, packing, token_orc
-from .common import shared_path, table
+from . import langid, near_dedup, packing, quality, token_orc, toxicity
+from .common import fold, shared_path, table
 
 
 def op1_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op2_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = fold("doc_id", 5) != 0
+    model = toxicity.fit(docs.filter(learn), labels.filter(learn))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    score = F.col("toxic_score")
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold("doc_id", 3) != 1))
+    predicted = langid.predict(docs.select("doc_id", "text"), model)
+    return predicted.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
+    model = quality.fit(labelled.filter(fold("doc_id", 3) != 1))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    score = F.col("quality_score")
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens.orc")
     token_orc.write_token_files(table(spark, sf_dir, "documents"), path)
@@ -26,7 +51,7 @@ def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multi_length_packing, op3_token_orc, op7_bbit_minhash)}
+    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op7_bbit_minhash, op10_nbsvm_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
