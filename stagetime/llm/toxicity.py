@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic texts are the positives; texts drawn without regard to any label are the unlabelled set.
-A linear model over word indicators minimises the class-prior-corrected risk
+A linear model over indicators of words and of their 4- and 5-byte beginnings minimises the class-prior-corrected risk
 `prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`; while the bracket is negative, the step goes the other
 way, which keeps the model from fitting the unlabelled rows as negatives.
 """
@@ -15,23 +15,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, distinct_pairs, span_hashes, widened, word_spans
+from .common import LOWER, distinct_pairs, mix, span_hashes, widened, word_spans
 from .features import NOT_ALNUM, flat, ragged, sigmoid, text_steps
 from .sampling import bounded_by_class
 
 
-def _words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, word hash); words are runs of letters and digits, A-Z lower-cased."""
+def _parts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every word and of the beginnings of longer words.
+
+    Words are runs of letters and digits, A-Z lower-cased.
+    """
     low = LOWER[buf]
     starts, ends, row = word_spans(low, offsets, NOT_ALNUM)
-    return distinct_pairs(row, span_hashes(low, starts, ends))
+    rows, hashes = [row], [span_hashes(low, starts, ends)]
+    for k in (4, 5):
+        longer = ends - starts > k
+        rows.append(row[longer])
+        hashes.append(mix(span_hashes(low, starts[longer], starts[longer] + k) + np.uint64(k)))
+    return np.concatenate(rows), np.concatenate(hashes)
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         positive = batch.column(batch.schema.get_field_index("positive"))
         for lo, hi, buf, offsets in text_steps(batch):
-            row, word = _words(buf, offsets)
+            row, word = distinct_pairs(*_parts(buf, offsets))
             yield pa.RecordBatch.from_arrays([positive.slice(lo, hi - lo), ragged(word.view(np.int64), row, hi - lo)], ["positive", "words"])
 
 
@@ -47,9 +55,7 @@ class ToxicityModel:
         n = len(offsets) - 1
         if not len(self.words):
             return np.full(n, sigmoid(np.array(self.bias)))
-        low = LOWER[buf]
-        starts, ends, row = word_spans(low, offsets, NOT_ALNUM)
-        word = span_hashes(low, starts, ends)
+        row, word = _parts(buf, offsets)
         some = self.there[word >> np.uint64(44)]
         row, word = row[some], word[some]
         at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
@@ -58,11 +64,11 @@ class ToxicityModel:
         return sigmoid(np.bincount(row, self.weight[at], n) + self.bias)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least_df: int = 5, penalty: float = 1.0, epochs: int = 200, rate: float = 0.1) -> ToxicityModel:
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least_df: int = 5, penalty: float = 4.0, epochs: int = 200, rate: float = 0.1) -> ToxicityModel:
     """Fits on the distinct word hashes of each text; words in fewer than least_df texts are left out.
 
-    Weights carry an absolute-value penalty of penalty * prior / sqrt(positives): about the noise that a
-    word without any bearing on the label has in its gradient.
+    Each weight carries an absolute-value penalty of penalty standard deviations of the gradient of a word
+    that is as frequent and has no bearing on the label.
     """
     everything, bounds = flat([*positive, *unlabelled])
     words, of, df = np.unique(everything.view(np.uint64), return_inverse=True, return_counts=True)
@@ -72,29 +78,41 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     used = keep[of]
     row, column, words = row[used], place[of[used]], words[keep]
     n, p = len(bounds) - 1, len(positive)
-    shrink = penalty * prior / np.sqrt(p)
-    w, bias = np.zeros(len(words)), float(np.log(prior / (1 - prior)))
-    m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
+    share = np.bincount(column, minlength=len(words)) / n
+    shrink = penalty * prior * np.sqrt(share * (1 - share) * (1 / p + 1 / (n - p)))
+    w, bias = _descend(row, column, n, p, prior, shrink, epochs, rate)
+    chosen = np.flatnonzero(w)  # what bears on the label is fitted again without the penalty
+    place = np.full(len(words), -1)
+    place[chosen] = np.arange(len(chosen))
+    column = place[column]
+    w, bias = _descend(row[column >= 0], column[column >= 0], n, p, prior, np.zeros(len(chosen)), epochs, rate)
+    return ToxicityModel(words[chosen], w, bias)
+
+
+def _descend(row: np.ndarray, column: np.ndarray, n: int, p: int, prior: float, shrink: np.ndarray, epochs: int, rate: float) -> tuple[np.ndarray, float]:
+    """Adam steps on the non-negative risk; the first p of n rows are the positives, the rest unlabelled."""
+    size = len(shrink)
+    w, bias = np.zeros(size), float(np.log(prior / (1 - prior)))
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, epochs + 1):
         g = np.bincount(row, w[column], n) + bias
         s = sigmoid(g)
-        # logistic losses: of +1 is -log s with slope s - 1, of -1 is -log(1 - s) with slope s
+        # The logistic loss of +1 has the slope s - 1, that of -1 the slope s.
         minus = np.logaddexp(0, g)
-        bracket = minus[p:].mean() - prior * minus[:p].mean()
         push = np.zeros(n)
-        if bracket >= 0:
+        if minus[p:].mean() >= prior * minus[:p].mean():
             push[:p] = prior * (s[:p] - 1) / p - prior * s[:p] / p
             push[p:] = s[p:] / (n - p)
         else:
             push[:p] = prior * s[:p] / p
             push[p:] = -s[p:] / (n - p)
-        grad = np.append(np.bincount(column, push[row], len(words)), push.sum())
+        grad = np.append(np.bincount(column, push[row], size) + 1e-4 * w, push.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         pace = rate / (np.sqrt(v / (1 - 0.999**step)) + 1e-6)
         move = pace * m / (1 - 0.9**step)
         w, bias = w - move[:-1], bias - move[-1]
         w = np.sign(w) * np.maximum(np.abs(w) - shrink * pace[:-1], 0)
-    return ToxicityModel(words, w, bias)
+    return w, float(bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 2500, unlabelled: int = 5000) -> ToxicityModel:
