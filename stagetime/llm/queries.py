@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, near_dedup, packing, quality, token_orc, toxicity
+from . import langid, near_dedup, packing, pii, quality, token_orc, toxicity
 from .common import fold, shared_path, table
 
 
@@ -31,6 +31,12 @@ def op4_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op9_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii.all_spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
+    return spans.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     labelled = docs.select("doc_id", "text").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
@@ -51,7 +57,7 @@ def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op7_bbit_minhash, op10_nbsvm_quality)}
+    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op7_bbit_minhash, op9_information_pii, op10_nbsvm_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
