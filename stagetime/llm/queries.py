@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, near_dedup, packing, pii, quality, token_orc, toxicity
+from . import decontam, langid, near_dedup, packing, pii, pivot_search, quality, token_orc, toxicity
 from .common import fold, shared_path, table
 
 
@@ -52,12 +52,22 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.digests(spark, path)
 
 
+def op5_pivot_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op6_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.*")
+
+
 def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op7_bbit_minhash, op9_information_pii, op10_nbsvm_quality)}
+    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op5_pivot_distance, op6_bm25_decontamination, op7_bbit_minhash, op9_information_pii, op10_nbsvm_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
