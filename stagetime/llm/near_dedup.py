@@ -202,7 +202,7 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of docs that stay: one of each group of near copies, in docs' own columns.
 
     The document with the least doc_id stays.  Of rows that share that doc_id the one with the least
-    text stays (nulls first, then by the other columns' hash); rows with a null doc_id all stay.
+    text stays (nulls first, then by the row as JSON); rows with a null doc_id all stay.
     """
     columns = docs.columns
     named = docs.filter("doc_id is not null")
@@ -210,6 +210,7 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     kept = named.join(gone, "doc_id", "left_anti")
     twice = kept.groupBy("doc_id").agg(F.count("*").alias("n_rows")).filter("n_rows > 1").select("doc_id")
     once = kept.join(twice, "doc_id", "left_anti").select(*columns)
-    whole = F.struct(F.col("text"), F.xxhash64(*columns), *[F.col(c) for c in columns])
-    first = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(whole).alias("w")).select(*[F.col(f"w.{c}").alias(c) for c in columns])
+    row = F.struct(*columns)
+    first = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct("text", F.to_json(row))).alias("w"))
+    first = first.select("w.*")
     return once.unionByName(first).unionByName(docs.filter("doc_id is null"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, near_dedup, packing, pii, pivot_search, quality, token_orc, toxicity
+from . import decontam, langid, license_scan, near_dedup, packing, pii, pivot_search, quality, token_orc, toxicity
 from .common import fold, shared_path, table
 
 
@@ -31,6 +31,10 @@ def op4_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.all_spans(table(spark, sf_dir, "documents"))
     counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
@@ -66,9 +70,19 @@ def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM r WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op5_pivot_distance, op6_bm25_decontamination, op7_bbit_minhash, op9_information_pii, op10_nbsvm_quality)}
+    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op5_pivot_distance, op6_bm25_decontamination, op7_bbit_minhash, op8_license_dice, op9_information_pii, op10_nbsvm_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_pivot_distance": TOP_K_SQL, "op8_license_dice": license_scan.scan_sql()}
