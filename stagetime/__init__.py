@@ -1,0 +1 @@
+"""Status-flow analytics on Spark: intervals, cycles, outcomes and reconciliation of change logs."""
