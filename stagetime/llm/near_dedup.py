@@ -6,9 +6,9 @@
 2. Documents with the same shingle set form a class; its least doc_id stands for it from here on, so
    thousands of copies cost one row.
 3. Classes that share a band key are candidates.  Round 1 links each class to the band centre (the
-   least id of a band) with which it shares most bands; round 2 compares what is left: classes of one
-   band that round 1 did not bring together.  No round lists the pairs inside a component that is
-   already known to be one.
+   least id of a band) with which it shares most bands.  Bands whose classes round 1 did not bring
+   together stay open; round 2 finds what can be linked across the parts of open bands by an exact prefix
+   and position filter over rare-first shingles.  No round lists the pairs inside a known component.
 4. Candidates whose collision-corrected similarity, from the bit counts of the signatures, lies more
    than six standard deviations under the threshold go; the rest are confirmed on the full sets.
 5. Links are joined to components by star contraction.
@@ -133,17 +133,41 @@ def _floor(similarity: float) -> float:
     return similarity - 6 * (p * (1 - p) / HASHES) ** 0.5 / (1 - chance)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _shingle_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, shingle_set of the documents that ids(doc_id) names."""
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    return stored(texts.mapInArrow(_sets, "doc_id long, shingle_set array<long>").dropDuplicates(["doc_id"]), "shingle-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are as similar as percent says."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ends, "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(_sets, "doc_id long, shingle_set array<long>").dropDuplicates(["doc_id"]), "shingle-sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingle_set").alias("x")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingle_set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y")).cast("long")
     return both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).cast("long").alias("t")).filter(F.expr(f"100 * i >= {percent} * (t - i)")).select("a", "b")
 
 
+def _prefix_pairs(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different parts(rep, part) that can be as similar as percent says.
+
+    Shingles are ordered by how few of the sets hold them.  Two similar sets share one of the first
+    n - ceil(percent / 100 * n) + 1 of each, and what follows the first one that they share must still
+    make up the overlap; sets of unlike parts share only shingles late in that order and fall away.
+    """
+    held = sets.select(F.col("doc_id").alias("rep"), F.explode("shingle_set").alias("s"))
+    common = held.groupBy("s").agg(F.count("*").alias("f")).filter("f > 1")
+    ranked = held.join(common, "s", "left").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s"))).alias("r"))
+    n = F.size("r")
+    first = F.slice("r", 1, n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1)
+    prefix = ranked.join(parts, "rep").select("rep", "part", n.alias("n"), F.posexplode(first).alias("pos", "x")).filter("x.f > 1")
+    prefix = stored(prefix.select("rep", "part", "n", "pos", F.col("x.s").alias("s")), "prefixes")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    after = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    can = (100 + percent) * after >= percent * (F.col("x.n") + F.col("y.n"))
+    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part")) & can)
+    return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of docs(doc_id, text, ...).
 
@@ -174,7 +198,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     centres = banded.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = banded.join(centres, "band").filter("rep > centre").groupBy("rep", "centre").agg(F.count("*").alias("n"))
     best = shared.groupBy("rep").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("centre"))
-    links = stored(_confirmed(stored(plausible(best.select(F.col("centre").alias("a"), F.col("rep").alias("b"))), "pairs-1"), docs, percent), "links-1")
+    pairs = stored(plausible(best.select(F.col("centre").alias("a"), F.col("rep").alias("b"))), "pairs-1")
+    sets = _shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs)
+    links = stored(_confirmed(pairs, sets, percent), "links-1")
 
     # A doc_id with several texts stands for several classes; it links them.
     alias = real.select("doc_id", "set_a", "set_b").join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"])
@@ -184,12 +210,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     known = stored(components(links), "known")
     labelled = banded.join(known, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("component", "rep").alias("part"))
     open_bands = labelled.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band")
-    left = stored(labelled.join(open_bands, "band", "left_semi").join(sizes, "rep"), "open-bands")
-    x, y = left.alias("x"), left.alias("y")
-    near = (F.col("x.band") == F.col("y.band")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part"))
-    near &= (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles")) & (estimated_similarity("x", "y") >= _floor(percent / 100))
-    rest = x.join(y, near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = _confirmed(stored(rest, "pairs-2"), docs, percent)
+    parts = stored(labelled.join(open_bands, "band", "left_semi").select("rep", "part").distinct(), "open-parts")
+    sets = _shingle_sets(parts.select(F.col("rep").alias("doc_id")), docs)
+    rest = plausible(_prefix_pairs(parts, sets, percent))
+    more = _confirmed(stored(rest, "pairs-2"), sets, percent)
     final = components(links.union(more))
 
     by_class = classes.join(final, F.col("rep") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
