@@ -1,10 +1,11 @@
 """Benchmark decontamination: BM25 over test items, searched by every training passage with block-max WAND.
 
-The index is of the test items: postings in item order with impacts, cut into blocks that know their
-greatest impact.  An impact is the BM25 weight of a term in an item over the item's score against its own
+The index is of the test items, in order of length: postings in item order with impacts, and the greatest
+impact of each term in each block of `BLOCK` items.  An impact is the BM25 weight of a term in an item over the item's score against its own
 text, so a score is the share of an item that a passage holds, and one threshold fits all items.  Every
 document is cut into overlapping passages, twice as long as the longest item and half of that apart, so an
-item that stands in a document stands whole in a passage.  All items that a passage scores over the
+item that stands in a document stands whole in a passage.  The block bounds of many passages are summed at
+once; only blocks whose bound reaches the threshold are searched, document at a time.  All items that a passage scores over the
 threshold are retrieved, and each is verified by what the passage shares with its question and its answer.
 
 The index is broadcast: it holds at most `INDEX_BYTES` of item text; larger sets of items are split by the
@@ -25,7 +26,7 @@ from pyspark.sql.types import StructField, StructType
 from .common import LOWER, mix, span_hashes, word_spans
 from .features import NOT_ALNUM, runs, text_steps
 
-SHINGLE, BLOCK, INDEX_BYTES = 5, 64, 32 << 20
+SHINGLE, BLOCK, INDEX_BYTES = 5, 8, 32 << 20
 K1, B = 1.2, 0.75
 
 _PLACE = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -72,7 +73,7 @@ class ItemIndex:
 
     def __init__(self, ids: list[int], texts: list[str]):
         words = [_hashes(t) for t in texts]
-        kept = [i for i, w in enumerate(words) if len(w)]
+        kept = sorted((i for i, w in enumerate(words) if len(w)), key=lambda i: len(words[i]))
         self.ids, words = [ids[i] for i in kept], [words[i] for i in kept]
         parts = [tuple(map(_hashes, question_and_answer(texts[i]))) for i in kept]
         self.parts = [[(p, _shingles(p)) for p in pair] for pair in parts]
@@ -92,27 +93,47 @@ class ItemIndex:
         self.most = np.maximum.reduceat(self.impact, self.bounds[:-1]) if len(self.terms) else np.zeros(0)
         self.there = np.zeros(1 << 18, bool)
         self.there[self.terms >> np.uint64(46)] = True
+        block = self.item // BLOCK
+        new = np.ones(len(block), bool)
+        new[1:] = (block[1:] != block[:-1]) | (place[order][1:] != place[order][:-1])
+        at = np.flatnonzero(new)
+        self.block, self.block_most = block[at], np.maximum.reduceat(self.impact, at) if len(at) else np.zeros(0)
+        self.block_bounds = np.searchsorted(place[order][at], np.arange(len(self.terms) + 1))
+        self.blocks = -(-len(words) // BLOCK)
         self.cache: dict[int, tuple[list[int], list[float], list[int], list[float]]] = {}
 
     def postings(self, term: int) -> tuple[list[int], list[float], list[int], list[float]]:
-        """Items, impacts, the last item of each block, and the greatest impact of each block."""
+        """Items and impacts, blocks and the greatest impact in each."""
         if term not in self.cache:
-            at = slice(self.bounds[term], self.bounds[term + 1])
-            items, impacts = self.item[at].tolist(), self.impact[at].tolist()
-            starts = range(0, len(items), BLOCK)
-            self.cache[term] = items, impacts, [items[min(s + BLOCK, len(items)) - 1] for s in starts], [max(impacts[s : s + BLOCK]) for s in starts]
+            at, by = slice(self.bounds[term], self.bounds[term + 1]), slice(self.block_bounds[term], self.block_bounds[term + 1])
+            self.cache[term] = self.item[at].tolist(), self.impact[at].tolist(), self.block[by].tolist(), self.block_most[by].tolist()
         return self.cache[term]
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """(item, score) of all items that score the threshold at least, by block-max WAND."""
-        least = threshold - 1e-9
-        cursors = [[self.postings(t)[0][0], 0, float(self.most[t]), self.postings(t)] for t in terms]
-        found = []
+    def open_blocks(self, passage: np.ndarray, term: np.ndarray, passages: int, least: float) -> list[tuple[int, int]]:
+        """(passage, block) where the terms' block maxima sum up to least; passage is sorted, from 0."""
+        out: list[tuple[int, int]] = []
+        chunk = max(1, 2_000_000 // max(self.blocks, 1))
+        for lo in range(0, passages, chunk):
+            a, b = np.searchsorted(passage, (lo, lo + chunk))
+            t, n = term[a:b], min(chunk, passages - lo)
+            size = self.block_bounds[t + 1] - self.block_bounds[t]
+            at = np.repeat(self.block_bounds[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            key = np.repeat(passage[a:b] - lo, size) * self.blocks + self.block[at]
+            hit = np.flatnonzero(np.bincount(key, self.block_most[at], n * self.blocks) >= least)
+            out += zip((hit // self.blocks + lo).tolist(), (hit % self.blocks).tolist(), strict=True)
+        return out
+
+    def search(self, terms: list[int], threshold: float, first: int = 0, last: int = 1 << 60) -> list[tuple[int, float]]:
+        """(item, score) of the items from first to last that score the threshold, by block-max WAND."""
+        least, found = threshold - 1e-9, []
 
         def advance(c: list, item: int) -> None:
             c[1] = bisect.bisect_left(c[3][0], item, c[1])
-            c[0] = c[3][0][c[1]] if c[1] < len(c[3][0]) else -1
+            c[0] = c[3][0][c[1]] if c[1] < len(c[3][0]) and c[3][0][c[1]] <= last else -1
 
+        cursors = [[0, 0, float(self.most[t]), self.postings(t)] for t in terms]
+        for c in cursors:
+            advance(c, first)
         while True:
             cursors = sorted((c for c in cursors if c[0] >= 0), key=lambda c: c[0])
             bound, pivot = 0.0, -1
@@ -126,15 +147,17 @@ class ItemIndex:
             item = cursors[pivot][0]
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
                 pivot += 1
-            block_bound, block_end = 0.0, cursors[pivot + 1][0] - 1 if pivot + 1 < len(cursors) else 1 << 60
+            block, block_bound = item // BLOCK, 0.0
             for c in cursors[: pivot + 1]:
-                block = bisect.bisect_left(c[3][2], item)
-                if block < len(c[3][2]):
-                    block_bound += c[3][3][block]
-                    block_end = min(block_end, c[3][2][block])
+                k = bisect.bisect_left(c[3][2], block)
+                if k < len(c[3][2]) and c[3][2][k] == block:
+                    block_bound += c[3][3][k]
             if block_bound < least:
+                upto = block * BLOCK + BLOCK
+                if pivot + 1 < len(cursors):
+                    upto = min(upto, cursors[pivot + 1][0])
                 for c in cursors[: pivot + 1]:
-                    advance(c, max(block_end, item) + 1)
+                    advance(c, max(upto, item + 1))
             elif cursors[0][0] == item:
                 score = 0.0
                 for c in cursors[: pivot + 1]:
@@ -165,15 +188,21 @@ class ItemIndex:
         keys, _ = runs((passage.astype(np.uint64) << np.uint64(32)) | term.astype(np.uint64))
         passage, term = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         bound = np.bincount(passage, self.most[term], base[-1])
+        likely = bound[passage] >= threshold - 1e-9
+        passage, term = passage[likely], term[likely]
         cuts = np.searchsorted(passage, np.arange(base[-1] + 1))
-        for p in np.flatnonzero(bound >= threshold - 1e-9).tolist():
+        grams: tuple[int, np.ndarray] = (-1, words[:0])
+        for p, block in self.open_blocks(passage, term, int(base[-1]), threshold - 1e-9):
+            found = self.search(term[cuts[p] : cuts[p + 1]].tolist(), threshold, block * BLOCK, block * BLOCK + BLOCK - 1)
+            if not found:
+                continue
             r = int(np.searchsorted(base, p, "right")) - 1
             lo = first[r] + (p - base[r]) * step
             text = words[lo : min(lo + 2 * step, first[r + 1])]
-            grams = None
-            for item, score in self.search(term[cuts[p] : cuts[p + 1]].tolist(), threshold):
-                grams = _shingles(text) if grams is None else grams
-                q, a = (overlap(w, s, text, grams) for w, s in self.parts[item])
+            if grams[0] != p:
+                grams = p, _shingles(text)
+            for item, score in found:
+                q, a = (overlap(w, s, text, grams[1]) for w, s in self.parts[item])
                 old = out[r].get(item)
                 if q >= question_least and a >= answer_least and (old is None or score > old["score"]):
                     out[r][item] = {"item_id": self.ids[item], "score": score, "question_overlap": q, "answer_overlap": a}
