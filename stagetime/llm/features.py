@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 from .common import STEP_BYTES, mix, steps, text_buffer
 
@@ -75,10 +76,21 @@ def ragged(values: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), pa.array(values))
 
 
-def flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All values of the lists in a row, and the bounds of each list in them."""
-    bounds = np.cumsum([0, *map(len, lists)])
-    return (np.concatenate(lists) if lists else np.zeros(0, np.int64)), bounds
+def collected(rows: DataFrame, shuffle: int | None = None) -> pa.Table:
+    """A bounded result as an Arrow table, in random order where shuffle seeds one."""
+    got = rows.toArrow().combine_chunks()
+    return got if shuffle is None else got.take(pa.array(np.random.default_rng(shuffle).permutation(got.num_rows))).combine_chunks()
+
+
+def lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists, and the bounds of each list in them."""
+    column = table.column(name)
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    bounds = np.asarray(column.offsets, np.int64)
+    return np.asarray(column.values)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -103,4 +115,4 @@ def platt(margin: np.ndarray, label: np.ndarray, rounds: int = 100) -> tuple[flo
     return float(max(a, 1e-3)), float(b)
 
 
-__all__ = ["NOT_ALNUM", "byte_ngrams", "char_ngrams", "flat", "mix", "platt", "ragged", "row_keys", "runs", "sigmoid", "string_steps", "text_steps"]
+__all__ = ["NOT_ALNUM", "byte_ngrams", "char_ngrams", "collected", "lists", "mix", "platt", "ragged", "row_keys", "runs", "sigmoid", "string_steps", "text_steps"]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import widened
-from .features import char_ngrams, flat, ragged, row_keys, runs, string_steps
+from .features import char_ngrams, collected, lists, ragged, row_keys, runs, string_steps
 from .sampling import bounded_by_class
 
 BITS = 16
@@ -108,21 +108,22 @@ def fit(known: DataFrame, sample: int = 1500, epochs: int = 3) -> LanguageModel:
     frequencies are of all rows.  Without rows the model answers und.
     """
     known = known.filter("lang is not null").select("doc_id", "text", "lang")
-    got = known.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    rows = got.n[got.bucket == -1].sum()
+    counts = known.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    got = collected(counts)  # at most one row for each bucket
+    bucket, n = got.column("bucket").to_numpy(), got.column("n").to_numpy()
+    rows = int(n[bucket == -1].sum())
     if not rows:
         return LanguageModel([], np.zeros(1 << BITS), np.zeros((1, 0)), 1.0)
     df = np.zeros(1 << BITS)
-    df[got.bucket[got.bucket >= 0]] = got.n[got.bucket >= 0]
+    df[bucket[bucket >= 0]] = n[bucket >= 0]
     idf = np.log((1 + rows) / (1 + df)) + 1
-    some = bounded_by_class(known, "lang", sample).mapInArrow(_vectors, "lang string, buckets array<int>, counts array<int>").toPandas()
-    langs = sorted(set(some.lang))
-    label = np.array([langs.index(x) for x in some.lang])
-    order = np.random.default_rng(5).permutation(len(label))
-    label = label[order]
-    columns, bounds = flat([some.buckets[i] for i in order])
-    counts, _ = flat([some.counts[i] for i in order])
-    row = np.repeat(np.arange(len(label)), np.diff(bounds))
+    some = bounded_by_class(known, "lang", sample).mapInArrow(_vectors, "lang string, buckets array<int>, counts array<int>")
+    some = collected(some, shuffle=5)
+    names = some.column("lang").to_pylist()
+    langs = sorted(set(names))
+    label = np.array([langs.index(x) for x in names])
+    (columns, bounds), (counts, _) = lists(some, "buckets"), lists(some, "counts")
+    row = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(bounds))
     value = (1 + np.log(counts)) * idf[columns]
     value = value / np.maximum(np.sqrt(np.bincount(row, value**2, len(label))), 1e-9)[row]
     model = FollowTheLeader((1 << BITS) + 1, len(langs))

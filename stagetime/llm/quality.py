@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import widened, word_hashes
-from .features import byte_ngrams, flat, platt, ragged, row_keys, runs, sigmoid, text_steps
+from .features import byte_ngrams, collected, lists, platt, ragged, row_keys, runs, sigmoid, text_steps
 from .sampling import bounded_by_class
 
 BITS = 18
@@ -99,22 +99,22 @@ def fit(labelled: DataFrame, sample: int = 2000, smoothing: float = 1.0, cost: f
     labelled = labelled.filter("label in (0, 1)").select("doc_id", "text", F.col("label").cast("long").alias("label"))
     counts = labelled.mapInArrow(_counts, "label long, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     total, rows = np.zeros((2, 1 << BITS)), np.zeros(2)
-    got = counts.toPandas()  # at most two rows for each bucket
+    got = collected(counts)  # at most two rows for each bucket
+    label, bucket, n = (got.column(c).to_numpy() for c in ("label", "bucket", "n"))
     for c in (0, 1):
-        mine = got[got.label == c]
-        rows[c] = mine.n[mine.bucket == -1].sum()
-        total[c, mine.bucket[mine.bucket >= 0]] = mine.n[mine.bucket >= 0]
+        rows[c] = n[(label == c) & (bucket == -1)].sum()
+        mine = (label == c) & (bucket >= 0)
+        total[c, bucket[mine]] = n[mine]
     if not rows.all():
         return QualityModel(np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 1.0, 0.0)
     rate = np.log((total + smoothing) / (rows[:, None] + 2 * smoothing))
     ratio = rate[1] - rate[0]
-    some = bounded_by_class(labelled, "label", sample).mapInArrow(_vectors, "label long, buckets array<int>").toPandas()
-    label = some.label.to_numpy()
-    order = np.random.default_rng(3).permutation(len(label))
-    columns, bounds = flat([some.buckets[i] for i in order])
-    label, scaled = label[order], ratio[columns]
-    row = np.repeat(np.arange(len(label)), np.diff(bounds))
-    scaled = scaled / np.maximum(np.sqrt(np.bincount(row, scaled**2, len(label))), 1e-9)[row]
+    some = collected(bounded_by_class(labelled, "label", sample).mapInArrow(_vectors, "label long, buckets array<int>"), shuffle=3)
+    label, (columns, bounds) = some.column("label").to_numpy(), lists(some, "buckets")
+    ratio = ratio.astype(np.float32)
+    row = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(bounds))
+    scaled = ratio[columns]
+    scaled /= np.maximum(np.sqrt(np.bincount(row, scaled**2, len(label))), 1e-9).astype(np.float32)[row]
     # The bias is one more column that every row has.
     columns, values = np.insert(columns, bounds[1:], 1 << BITS), np.insert(scaled, bounds[1:], 1.0)
     bounds = bounds + np.arange(len(bounds))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, distinct_pairs, mix, span_hashes, widened, word_spans
-from .features import NOT_ALNUM, flat, ragged, sigmoid, text_steps
+from .features import NOT_ALNUM, collected, lists, ragged, sigmoid, text_steps
 from .sampling import bounded_by_class
 
 
@@ -64,20 +64,21 @@ class ToxicityModel:
         return sigmoid(np.bincount(row, self.weight[at], n) + self.bias)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least_df: int = 5, penalty: float = 4.0, epochs: int = 200, rate: float = 0.1) -> ToxicityModel:
-    """Fits on the distinct word hashes of each text; words in fewer than least_df texts are left out.
+def train(positive: tuple[np.ndarray, np.ndarray], unlabelled: tuple[np.ndarray, np.ndarray], prior: float, least_df: int = 5, penalty: float = 4.0, epochs: int = 200, rate: float = 0.1) -> ToxicityModel:
+    """Fits on the distinct word hashes of all texts of a kind and their bounds; words in fewer than least_df texts are left out.
 
     Each weight carries an absolute-value penalty of penalty standard deviations of the gradient of a word
     that is as frequent and has no bearing on the label.
     """
-    everything, bounds = flat([*positive, *unlabelled])
-    words, of, df = np.unique(everything.view(np.uint64), return_inverse=True, return_counts=True)
+    everything = np.concatenate([positive[0], unlabelled[0]]).view(np.uint64)
+    bounds = np.concatenate([positive[1], unlabelled[1][1:] + len(positive[0])])
+    words, of, df = np.unique(everything, return_inverse=True, return_counts=True)
     keep = df >= least_df
     place = np.cumsum(keep) - 1
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    row = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
     used = keep[of]
     row, column, words = row[used], place[of[used]], words[keep]
-    n, p = len(bounds) - 1, len(positive)
+    n, p = len(bounds) - 1, len(positive[1]) - 1
     share = np.bincount(column, minlength=len(words)) / n
     shrink = penalty * prior * np.sqrt(share * (1 - share) * (1 / p + 1 / (n - p)))
     w, bias = _descend(row, column, n, p, prior, shrink, epochs, rate)
@@ -129,8 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 2500, unlabelled: i
     known = docs.select("doc_id", "text").join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True))
     parts = []
     for rows, most in ((known, positives), (docs.select("doc_id", "text").withColumn("positive", F.lit(False)), unlabelled)):
-        got = bounded_by_class(rows, "positive", most).mapInArrow(_vectors, "positive boolean, words array<long>").toPandas()
-        parts.append([np.asarray(x, np.int64) for x in got.words])
+        got = collected(bounded_by_class(rows, "positive", most).mapInArrow(_vectors, "positive boolean, words array<long>"))
+        parts.append(lists(got, "words"))
     return train(*parts, prior)
 
 
