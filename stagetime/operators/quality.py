@@ -59,3 +59,23 @@ def batch_audit(batches: DataFrame, singles: DataFrame) -> DataFrame:
     rows = batches.join(own, ["action", "item"], "left")
     state = F.when(F.col("values").isNull(), "missing").when(F.size("values") > 1, "conflict").when(F.array_contains("values", F.col("value")), "agrees").otherwise("differs")
     return rows.groupBy(state.alias("state")).agg(F.count("*").alias("n"))
+
+
+def errors(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
+    """error_id, key, rule: one row for each rule that a key breaks, however many of its rows do."""
+    broken = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))
+    found = rows.select(key, F.explode(broken).alias("rule")).distinct()
+    return found.select(F.sha2(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("None")), "rule"), 256).alias("error_id"), key, "rule")
+
+
+def fill_quality(started: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """by, started, errors, rules: what was started against what is wrong, with a JSON map rule -> count.
+
+    Groups that only one side has are kept.  The map has as many entries as there are rules.
+    """
+    a = started.groupBy(*by).agg(F.count("*").alias("started"))
+    each = found.groupBy(*by, "rule").agg(F.count("*").alias("n"))
+    b = each.groupBy(*by).agg(F.sum("n").alias("errors"), F.array_sort(F.collect_list(F.struct("rule", "n"))).alias("_r"))
+    both = a.join(b, by, "full_outer")
+    rules = F.to_json(F.map_from_entries(F.coalesce("_r", F.array().cast("array<struct<rule:string,n:bigint>>"))))
+    return both.select(*by, F.coalesce("started", F.lit(0)).alias("started"), F.coalesce("errors", F.lit(0)).alias("errors"), rules.alias("rules"))

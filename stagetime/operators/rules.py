@@ -36,3 +36,37 @@ def kpi_reasons(stays: DataFrame, measured: tuple[str, ...]) -> Column:
 
 def is_pool(reasons: Column, pool: list[str]) -> Column:
     return (F.size(reasons) > 0) & (F.size(F.array_except(reasons, F.array(*map(F.lit, pool)))) == 0)
+
+
+SEVERAL = r"[,;\n\r+]|\s[&/]\s"
+
+
+def talent_reasons(names: Column, other: Column, collectives: tuple[str, ...] = ("group", "various"), squad: str = "squad") -> Column:
+    """Why a case's people aren't one person: names is the list of one column, other the text of a second.
+
+    The same name in both columns counts once.  Null and blank names are none.
+    """
+    names = F.coalesce(F.filter(F.transform(names, lambda n: F.trim(n)), lambda n: n != ""), F.array().cast("array<string>"))
+    other = F.coalesce(F.trim(other), F.lit(""))
+    every = F.filter(F.concat(names, F.array(other)), lambda n: n != "")
+    same = (F.size(names) == 1) & (folded(F.try_element_at(names, F.lit(1))) == folded(other))
+    tests = {
+        "both_columns": (F.size(names) > 0) & (other != "") & ~F.coalesce(same, F.lit(False)),
+        "none": F.size(every) == 0,
+        "several": (F.size(names) > 1) | F.exists(every, lambda n: F.regexp_like(n, F.lit(SEVERAL))),
+        "collective": F.exists(every, lambda n: folded(n).isin(*collectives)),
+        "squad": F.exists(every, lambda n: F.regexp_like(folded(n), F.lit(rf"\b{squad}\b"))),
+    }
+    return F.array_compact(F.array(*[F.when(t, F.lit(name)) for name, t in tests.items()]))
+
+
+def talent_situation(names: Column, other: Column) -> Column:
+    """How sure the one name of a register is: none, both, several, review or single; null names: unregistered."""
+    n = F.size(F.filter(names, lambda x: F.trim(x) != ""))
+    text = F.coalesce(F.trim(other), F.lit(""))
+    return F.when(names.isNull(), "unregistered").when((n == 0) & (text == ""), "none").when((n > 0) & (text != ""), "both").when(n > 1, "several").when(F.regexp_like(text, F.lit(r"[,;\n\r+&/]")), "review").otherwise("single")
+
+
+def cell_state(present: Column, value: Column) -> Column:
+    """A cell that wasn't returned is unverified; that differs from a blank one."""
+    return F.when(~F.coalesce(present, F.lit(False)), "unverified").when(F.coalesce(F.trim(value), F.lit("")) == "", "blank").otherwise("filled")
