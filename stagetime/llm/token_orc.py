@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .tokens import default_vocabulary, encoder
 
-SCHEMA = "doc_id long, part int, part_start long, ids array<int>"
+SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 _CHUNK = 256
 
 
@@ -40,7 +40,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
                 ids = [i + end for i in encoder(source).encode([t or "" for t in rows.column(1).to_pylist()])]
                 cuts = np.cumsum([0, *(len(i) // 4 for i in ids)])
                 values = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(done + cuts[:-1]), values], ["doc_id", "part", "part_start", "ids"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(done + cuts[:-1]), pa.array(np.diff(cuts), pa.int32()), values], ["doc_id", "part", "part_start", "n_tokens", "ids"])
                 done += int(cuts[-1])
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
@@ -62,19 +62,19 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, all from the files.
 
     start counts the ids of all documents before; the sums of the files, one row for each, are added up
-    over the files before.
+    over the files before; for these only the small columns are read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(3)
+            ids = batch.column(4)
             offsets = np.asarray(ids.offsets)
             values = np.ascontiguousarray(np.asarray(ids.values), "<u4")
             crc = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(offsets), pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "part", "part_start", "n_tokens", "ids_crc32"])
 
     rows = read_token_files(spark, path).mapInArrow(run, "doc_id long, part int, part_start long, n_tokens long, ids_crc32 long")
-    sums = read_token_files(spark, path).groupBy("part").agg(F.max(F.col("part_start") + F.size("ids")).alias("n"))
+    sums = read_token_files(spark, path).groupBy("part").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.select("part", before.alias("before"))
     return rows.join(F.broadcast(starts), "part").select("doc_id", (F.col("before") + F.col("part_start")).alias("start"), "n_tokens", "ids_crc32")
