@@ -4,7 +4,9 @@ Base spans (e-mail and network addresses, card and phone numbers) are the protec
 whole corpus, documents are counted that hold an entity e, a term t, and t within `WINDOW` words of e.
 The disclosure of e by t is `PMI(e; t) / IC(e)`, at most 1, which it reaches where every document with t
 has it beside e.  Beside an entity, terms whose disclosure reaches `generalise_at` are generalised, and
-those that reach `remove_at` are removed; a pair seen in fewer than `support` documents is no evidence.
+those that reach `remove_at` are removed.  Pairs of every count are scored: where fewer than `support`
+documents hold a pair, the share of t's documents with e beside it is not taken as counted, but as the
+lower Wilson bound of it at `CONFIDENCE` standard deviations.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from .common import LOWER, distinct_pairs, mix, span_hashes, stored, text_buffer
 from .features import NOT_ALNUM, text_steps
 
 WINDOW = 5
+CONFIDENCE = 1.96
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -157,18 +160,25 @@ def find(docs: DataFrame) -> DataFrame:
     return stored(keyed.mapInArrow(_find, _FOUND), "personal-data")
 
 
+def _lower_bound(k: Column, n: Column) -> Column:
+    """n times the lower Wilson bound of a share counted as k of n."""
+    p, z2 = k / n, CONFIDENCE**2
+    return n * (p + z2 / (2 * n) - CONFIDENCE * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
 def disclosures(docs: DataFrame, found: DataFrame, support: int = 3) -> DataFrame:
     """entity, term and the share of the entity's information that the term gives away, over all docs."""
     both = F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term")))
     pairs = found.select(F.explode(F.array_distinct(both)).alias("x")).groupBy("x.entity", "x.term").agg(F.count("*").alias("n_both"))
-    pairs = stored(pairs.filter(F.col("n_both") >= support), "term-pairs")
+    pairs = stored(pairs, "term-pairs")
     per_row = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
     n_entity = per_row.groupBy("entity").agg(F.count("*").alias("n_entity"))
     counted = docs.select("text").mapInArrow(_document_frequencies, "term long, n long")
-    n_term = counted.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
+    n_term = counted.groupBy("term").agg(F.sum("n").alias("n_term"))
     total = float(max(found.count(), 2))
     ic = F.log(F.lit(total) / F.col("n_entity"))
-    pmi = F.log(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
+    sure = F.when(F.col("n_both") >= support, F.col("n_both").cast("double")).otherwise(_lower_bound(F.col("n_both"), F.col("n_term")))
+    pmi = F.log(F.lit(total) * sure / (F.col("n_entity") * F.col("n_term")))
     return pairs.join(n_entity, "entity").join(n_term, "term").select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)).alias("disclosure"))
 
 

@@ -270,6 +270,21 @@ def test_disclosure_equals_counting(spark, none):
     assert {r["h"] for r in listed if r["doc_id"] == 51} == {hashlib.sha256(b"").hexdigest()}
 
 
+def test_disclosure_of_rare_entities(spark):
+    special = [(-1, "ask hapaxword a.b@mail.example.com common filler"), (-2, "ask pairword c.d@mail.example.com common filler"), (-3, "ask pairword c.d@mail.example.com common filler"), (-4, "ask spreadword 10.1.2.3 common filler"), (-5, "spreadword elsewhere")]
+    many = spark.range(3995).select(F.col("id").alias("doc_id"), F.lit("ask common filler elsewhere").alias("text"))
+    docs = spark.createDataFrame(special, "doc_id long, text string").unionByName(many)
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.all_spans(docs).filter("doc_id < 0").collect()}
+    want = {i: [x for x in pii.base_spans(t)] for i, t in special}
+    # ln(4000 / n_entity) and a lower bound of the share: 1 of 1 is 0.2065, 2 of 2 is 0.3424, 1 of 2 is 0.0945.
+    for i, word in ((-1, "hapaxword"), (-2, "pairword"), (-3, "pairword")):
+        want[i] = [(4, 4, 4 + len(word)), *want[i]]
+    assert got == want
+    score = {r["disclosure"] for r in pii.disclosures(docs, pii.find(docs)).collect()}
+    for n_entity, low in ((1, 0.20654), (2, 0.34238), (1, 0.09453)):
+        assert any(abs(x - 1 - np.log(low) / np.log(4000 / n_entity)) < 1e-4 for x in score)
+
+
 def test_licenses(spark, none):
     notice = license_scan.NOTICES["BSD"][1]
     rows = [(1, "prose\nReleased under the MIT License.\nmore"), (2, notice.replace(" with ", "\nwith ") + "\n\nother"), (3, None), (4, ""), (5, "license"), (5, "Licensed under CC BY-NC 4.0."), (6, "Licensed under the terms of nothing at all")]
