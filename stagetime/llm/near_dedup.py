@@ -3,10 +3,10 @@
 1. One pass over the texts makes each document's shingle-set fingerprint, its minima under
    `BANDS * ROWS` hash functions, a band key per `ROWS` minima, and a signature that keeps the low
    `BITS` bits of each minimum.
-2. Documents with the same shingle set form a class; its least doc_id stands for it from here on, so
-   thousands of copies cost one row.
+2. Documents with the same shingle set form a class, keyed by the set's fingerprint; thousands of copies
+   cost one row.  Links are of the classes' least doc_ids.
 3. Classes that share a band key are candidates.  Round 1 links each class to the band centre (the
-   least id of a band) with which it shares most bands.  Bands whose classes round 1 did not bring
+   least key of a band) with which it shares most bands.  Bands whose classes round 1 did not bring
    together stay open; round 2 finds what can be linked across the parts of open bands by an exact prefix
    and position filter over rare-first shingles.  No round lists the pairs inside a known component.
 4. Candidates whose collision-corrected similarity, from the bit counts of the signatures, lies more
@@ -88,14 +88,19 @@ def _per_step(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.
         yield lo, hi, np.searchsorted(row, np.arange(hi - lo + 1)), value
 
 
+def _fingerprints(cut: np.ndarray, value: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit fingerprints of each set of values."""
+    sums = np.zeros((2, len(value) + 1), np.uint64)
+    np.cumsum(value, dtype=np.uint64, out=sums[0, 1:])
+    np.cumsum(mix(value + np.uint64(1)), dtype=np.uint64, out=sums[1, 1:])
+    return [mix(s[cut[1:]] - s[cut[:-1]] + np.diff(cut).astype(np.uint64)) for s in sums]
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, cut, value in _per_step(batch):
             n = np.diff(cut)
-            sums = np.zeros((2, len(value) + 1), np.uint64)
-            np.cumsum(value, dtype=np.uint64, out=sums[0, 1:])
-            np.cumsum(mix(value + np.uint64(1)), dtype=np.uint64, out=sums[1, 1:])
-            set_a, set_b = (mix(s[cut[1:]] - s[cut[:-1]] + n.astype(np.uint64)) for s in sums)
+            set_a, set_b = _fingerprints(cut, value)
             low = np.stack([minima(value[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)])
             band, sig = signature(low)
             ids = batch.column(batch.schema.get_field_index("doc_id")).slice(lo, hi - lo)
@@ -110,8 +115,8 @@ _SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<lon
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, cut, value in _per_step(batch):
-            ids = batch.column(batch.schema.get_field_index("doc_id")).slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(value.view(np.int64)))], ["doc_id", "shingle_set"])
+            key = pa.array(_fingerprints(cut, value)[0].view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(value.view(np.int64)))], ["key", "shingle_set"])
 
 
 def estimated_similarity(left: str, right: str) -> Column:
@@ -134,38 +139,39 @@ def _floor(similarity: float) -> float:
 
 
 def _shingle_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, shingle_set of the documents that ids(doc_id) names."""
+    """key, shingle_set of all texts of the documents that ids(doc_id) names."""
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    return stored(texts.mapInArrow(_sets, "doc_id long, shingle_set array<long>").dropDuplicates(["doc_id"]), "shingle-sets")
+    return stored(texts.mapInArrow(_sets, "key long, shingle_set array<long>").dropDuplicates(["key"]), "shingle-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are as similar as percent says."""
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingle_set").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingle_set").alias("y")), "b")
+    """Links (a, b) of the documents of pairs(a, b, rep_a, rep_b) whose full shingle sets are as similar as percent says."""
+    left = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingle_set").alias("x")), "a")
+    both = left.join(sets.select(F.col("key").alias("b"), F.col("shingle_set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y")).cast("long")
-    return both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).cast("long").alias("t")).filter(F.expr(f"100 * i >= {percent} * (t - i)")).select("a", "b")
+    counted = both.select("rep_a", "rep_b", shared.alias("i"), (F.size("x") + F.size("y")).cast("long").alias("t"))
+    return counted.filter(F.expr(f"100 * i >= {percent} * (t - i)")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
 
 def _prefix_pairs(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different parts(rep, part) that can be as similar as percent says.
+    """All pairs (a, b) of keys of different parts(key, rep, part) that can be as similar as percent says.
 
     Shingles are ordered by how few of the sets hold them.  Two similar sets share one of the first
     n - ceil(percent / 100 * n) + 1 of each, and what follows the first one that they share must still
     make up the overlap; sets of unlike parts share only shingles late in that order and fall away.
     """
-    held = sets.select(F.col("doc_id").alias("rep"), F.explode("shingle_set").alias("s"))
+    held = sets.select("key", F.explode("shingle_set").alias("s"))
     common = held.groupBy("s").agg(F.count("*").alias("f")).filter("f > 1")
-    ranked = held.join(common, "s", "left").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s"))).alias("r"))
+    ranked = held.join(common, "s", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s"))).alias("r"))
     n = F.size("r")
     first = F.slice("r", 1, n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1)
-    prefix = ranked.join(parts, "rep").select("rep", "part", n.alias("n"), F.posexplode(first).alias("pos", "x")).filter("x.f > 1")
-    prefix = stored(prefix.select("rep", "part", "n", "pos", F.col("x.s").alias("s")), "prefixes")
+    prefix = ranked.join(parts, "key").select("key", "part", n.alias("n"), F.posexplode(first).alias("pos", "x")).filter("x.f > 1")
+    prefix = stored(prefix.select("key", "part", "n", "pos", F.col("x.s").alias("s")), "prefixes")
     x, y = prefix.alias("x"), prefix.alias("y")
     after = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     can = (100 + percent) * after >= percent * (F.col("x.n") + F.col("y.n"))
-    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part")) & can)
-    return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    met = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.part") != F.col("y.part")) & can)
+    return met.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -186,31 +192,33 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     firsts = [F.first(c).alias(c) for c in ("n_shingles", "bands", *SIG)]
     rep = F.min("doc_id").alias("rep")
     classes = stored(real.groupBy("set_a", "set_b").agg(rep, *firsts), "classes")
-    sizes = classes.select("rep", "n_shingles", *SIG)
-    banded = stored(classes.select("rep", F.explode("bands").alias("band")), "bands")
+    key = F.col("set_a").alias("key")
+    sizes = classes.select(key, "rep", "n_shingles", *SIG)
+    banded = stored(classes.select(key, "rep", F.explode("bands").alias("band")), "bands")
 
     def plausible(pairs: DataFrame) -> DataFrame:
         p, x, y = pairs.alias("p"), sizes.alias("x"), sizes.alias("y")
-        close = p.join(x, F.col("p.a") == F.col("x.rep")).join(y, F.col("p.b") == F.col("y.rep"))
+        close = p.join(x, F.col("p.a") == F.col("x.key")).join(y, F.col("p.b") == F.col("y.key"))
         least, most = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-        return close.filter((100 * least >= percent * most) & (estimated_similarity("x", "y") >= _floor(percent / 100))).select("p.a", "p.b")
+        return close.filter((100 * least >= percent * most) & (estimated_similarity("x", "y") >= _floor(percent / 100))).select("p.a", "p.b", F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b"))
 
-    centres = banded.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = banded.join(centres, "band").filter("rep > centre").groupBy("rep", "centre").agg(F.count("*").alias("n"))
-    best = shared.groupBy("rep").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("centre"))
-    pairs = stored(plausible(best.select(F.col("centre").alias("a"), F.col("rep").alias("b"))), "pairs-1")
-    sets = _shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs)
+    centres = banded.groupBy("band").agg(F.min("key").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = banded.join(centres, "band").filter("key > centre").groupBy("key", "centre").agg(F.count("*").alias("n"))
+    best = shared.groupBy("key").agg(F.max_by("centre", F.struct("n", F.bitwise_not("centre"))).alias("centre"))
+    pairs = stored(plausible(best.select(F.col("centre").alias("a"), F.col("key").alias("b"))), "pairs-1")
+    sets = _shingle_sets(pairs.select(F.explode(F.array("rep_a", "rep_b")).alias("doc_id")).distinct(), docs)
     links = stored(_confirmed(pairs, sets, percent), "links-1")
 
-    # A doc_id with several texts stands for several classes; it links them.
-    alias = real.select("doc_id", "set_a", "set_b").join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"])
-    alias = alias.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("a", "b")
+    # A doc_id with several texts stands for several classes; it links each to the least one.
+    held = stored(real.select("doc_id", "set_a", "set_b").join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).select("doc_id", "rep"), "held")
+    several = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("doc_id", "a")
+    alias = held.join(several, "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b"))
     links = links.union(alias)
 
     known = stored(components(links), "known")
-    labelled = banded.join(known, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("component", "rep").alias("part"))
+    labelled = banded.join(known, F.col("rep") == F.col("node"), "left").select("band", "key", "rep", F.coalesce("component", "rep").alias("part"))
     open_bands = labelled.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band")
-    parts = stored(labelled.join(open_bands, "band", "left_semi").select("rep", "part").distinct(), "open-parts")
+    parts = stored(labelled.join(open_bands, "band", "left_semi").select("key", "rep", "part").distinct(), "open-parts")
     sets = _shingle_sets(parts.select(F.col("rep").alias("doc_id")), docs)
     rest = plausible(_prefix_pairs(parts, sets, percent))
     more = _confirmed(stored(rest, "pairs-2"), sets, percent)

@@ -129,6 +129,19 @@ def brute_components(rows, percent):
     return sorted(map(repr, out))
 
 
+def test_ids_of_several_texts(spark):
+    def text(seed, changed=False):
+        w = words(100, seed, 10_000)
+        return " ".join([*w[:50], "changed", *w[51:]] if changed else w)
+
+    rows = [(k, text(70 + k)) for k in (1, 2, 3)] + [(10, text(70 + k)) for k in (1, 2, 3)]  # 10 stands in three classes
+    for i in range(20, 40, 5):  # each text of i has its own near copy
+        rows += [(i, text(100 + i + k)) for k in range(3)] + [(i + 1 + k, text(100 + i + k, True)) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])) for r in near_dedup.near_duplicates(docs, 80).collect())
+    assert got == brute_components(rows, 80) and len({r.split(", ")[2] for r in got}) == 5
+
+
 def chain_docs():
     """Groups in which neighbours are alike but the ends aren't, and copies of one base at the threshold."""
     rows, at = [], 100
