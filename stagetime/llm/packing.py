@@ -144,8 +144,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, tiers:
         for batch in batches:
             for at in range(0, batch.num_rows, _CHUNK):
                 part = batch.slice(at, _CHUNK)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(path).encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    packer.add(doc_id, ids + end)
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(path).encode([t or "" for t in part.column(1).to_pylist()], end), strict=True):
+                    packer.add(doc_id, ids)
                 if packer.rows:
                     yield out()
         packer.finish()
