@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,12 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, as spark.checkpoint.dir names it.
 
-    Only where the setting is missing, as in tests in one process, a temporary folder takes its place.
+    Only where the setting is missing and all work is in one process, as in tests, a temporary folder takes
+    its place; on a cluster a missing setting is an error.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="stagetime-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -39,12 +42,35 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/stagetime-{uuid.uuid4().hex}/{name}"
 
 
+class Scratch:
+    """Tables of one run in the shared folder: short lineage that outlives lost executors.
+
+    A name that is stored again replaces the table of that name: the older one is deleted once the newer
+    is written.  drop() deletes tables that no result still reads.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, shared_path(spark, "")
+        self.paths: dict[str, str] = {}
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            if name in self.paths:
+                path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: short lineage that outlives lost executors."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Writes df to the shared folder and reads it back."""
+    return Scratch(df.sparkSession).stored(df, name)
 
 
 def widened(schema: StructType, **types: str) -> StructType:

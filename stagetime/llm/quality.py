@@ -3,8 +3,11 @@
 Features are indicators of byte 2- and 3-grams and of words, hashed to `1 << BITS` buckets.  Class counts
 over all labelled rows of the learn fold give each bucket its log-count ratio; the indicators are scaled
 by it and each document's vector is brought to length 1.  A linear model with hinge loss is then fitted
-by dual coordinate descent on a sample of at most about `sample` rows of each class, and its margins are
+by dual coordinate descent on a sample of at most `sample` documents of each class, and its margins are
 turned into probabilities on a fifth of that sample that the fit has not seen.
+
+The texts meet their labels in one shuffle, for the counts; the sample is drawn from the labels alone, and
+its ids are broadcast.  Neither plan depends on the size of the tables.
 """
 
 from __future__ import annotations
@@ -16,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import widened, word_hashes
+from .common import stored, widened, word_hashes
 from .features import byte_ngrams, collected, lists, platt, ragged, row_keys, runs, sigmoid, text_steps
-from .sampling import bounded_by_class
+from .sampling import least_ids, one_text_each
 
 BITS = 18
 _MASK = np.uint64((1 << BITS) - 1)
@@ -90,13 +93,18 @@ class QualityModel:
         return sigmoid(self.a * margin + self.b)
 
 
-def fit(labelled: DataFrame, sample: int = 2000, smoothing: float = 1.0, cost: float = 1.0) -> QualityModel:
-    """Fits on labelled(doc_id, text, label); rows whose label is neither 0 nor 1 are ignored.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, smoothing: float = 1.0, cost: float = 1.0) -> QualityModel:
+    """Fits on docs(doc_id, text) and labels(doc_id, label), both already cut to the learn fold.
 
-    sample bounds the rows of each class that the linear model is fitted on; the class counts are of all
-    rows.  A table without rows of one class gives a model that scores every text 0.5.
+    sample bounds the documents of each class that the linear model is fitted on; the class counts are of
+    all rows.  Labels other than 0 and 1 and null ids count for nothing; repeated labels count once, and an
+    id with both labels is a member of both classes.  Repeated rows of docs count each; of an id's texts
+    one is in the sample.  Null and empty texts have no indicator, and a very long text has at most
+    `1 << BITS`.  Other columns are ignored.  Without rows of one class every text scores 0.5.
     """
-    labelled = labelled.filter("label in (0, 1)").select("doc_id", "text", F.col("label").cast("long").alias("label"))
+    known = labels.filter("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("long").alias("label")).distinct()
+    known = stored(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
+    labelled = docs.select("doc_id", "text").join(known.hint("shuffle_hash"), "doc_id")
     counts = labelled.mapInArrow(_counts, "label long, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     total, rows = np.zeros((2, 1 << BITS)), np.zeros(2)
     got = collected(counts)  # at most two rows for each bucket
@@ -109,7 +117,8 @@ def fit(labelled: DataFrame, sample: int = 2000, smoothing: float = 1.0, cost: f
         return QualityModel(np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 1.0, 0.0)
     rate = np.log((total + smoothing) / (rows[:, None] + 2 * smoothing))
     ratio = rate[1] - rate[0]
-    some = collected(bounded_by_class(labelled, "label", sample).mapInArrow(_vectors, "label long, buckets array<int>"), shuffle=3)
+    some = one_text_each(docs, least_ids(known, "label", (0, 1), sample))
+    some = collected(some.mapInArrow(_vectors, "label long, buckets array<int>"), shuffle=3)
     label, (columns, bounds) = some.column("label").to_numpy(), lists(some, "buckets")
     ratio = ratio.astype(np.float32)
     row = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(bounds))

@@ -43,8 +43,8 @@ def op9_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
-    model = quality.fit(labelled.filter(fold("doc_id", 3) != 1))
+    learn = fold("doc_id", 3) != 1
+    model = quality.fit(docs.filter(learn), labels.filter(learn).select("doc_id", F.col("quality").alias("label")))
     scored = quality.score(docs.select("doc_id", "text"), model)
     score = F.col("quality_score")
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))

@@ -50,7 +50,7 @@ def test_quality(spark, odd):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = queries.op10_nbsvm_quality(spark, SF).join(labels, "doc_id").filter("held_out").toPandas()
     assert (got.predicted == got.quality).mean() >= 0.97 and got.score.between(0, 1).all()
-    one = quality.fit(odd.select("doc_id", "text", F.lit(1).alias("label")))
+    one = quality.fit(odd, odd.select("doc_id", F.lit(1).alias("label")))
     rows = quality.score(odd, one).collect()
     assert {r["quality_score"] for r in rows} == {0.5} and len(rows) == 6
     assert quality.score(odd.limit(0), one).count() == 0
