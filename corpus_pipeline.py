@@ -17,7 +17,7 @@ from stagetime.llm.common import stored, table
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, learned from all labelled ones, doesn't reject."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    model = quality.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = quality.fit(docs, labels)
     return quality.score(docs, model).filter("quality_score >= 0.5").select(*docs.columns)
 
 
