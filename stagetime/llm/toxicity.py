@@ -15,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, distinct_pairs, mix, span_hashes, widened, word_spans
+from .common import LOWER, distinct_pairs, mix, span_hashes, stored, widened, word_spans
 from .features import NOT_ALNUM, collected, lists, ragged, sigmoid, text_steps
-from .sampling import bounded_by_class
+from .sampling import bounded_by_class, least_ids, one_text_each
 
 
 def _parts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -35,59 +35,64 @@ def _parts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(rows), np.concatenate(hashes)
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        positive = batch.column(batch.schema.get_field_index("positive"))
-        for lo, hi, buf, offsets in text_steps(batch):
-            row, word = distinct_pairs(*_parts(buf, offsets))
-            yield pa.RecordBatch.from_arrays([positive.slice(lo, hi - lo), ragged(word.view(np.int64), row, hi - lo)], ["positive", "words"])
+        for _, _, buf, offsets in text_steps(batch):
+            yield pa.RecordBatch.from_arrays([pa.array(distinct_pairs(*_parts(buf, offsets))[1].view(np.int64))], ["word"])
 
 
-class ToxicityModel:
-    """words: sorted hashes of the vocabulary; weight: of each; bias."""
+class Vocabulary:
+    """Sorted hashes of words, and where the words of texts stand among them."""
 
-    def __init__(self, words: np.ndarray, weight: np.ndarray, bias: float):
-        self.words, self.weight, self.bias = words, weight, bias
+    def __init__(self, words: np.ndarray):
+        self.words = words
         self.there = np.zeros(1 << 20, bool)
         self.there[words >> np.uint64(44)] = True
 
-    def scores(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        n = len(offsets) - 1
-        if not len(self.words):
-            return np.full(n, sigmoid(np.array(self.bias)))
+    def places(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (row, place), sorted by both."""
         row, word = _parts(buf, offsets)
+        if not len(self.words):
+            return row[:0], row[:0]
         some = self.there[word >> np.uint64(44)]
         row, word = row[some], word[some]
         at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
         hit = self.words[at] == word
-        row, at = distinct_pairs(row[hit], at[hit])
-        return sigmoid(np.bincount(row, self.weight[at], n) + self.bias)
+        return distinct_pairs(row[hit], at[hit])
 
 
-def train(positive: tuple[np.ndarray, np.ndarray], unlabelled: tuple[np.ndarray, np.ndarray], prior: float, least_df: int = 5, penalty: float = 4.0, epochs: int = 200, rate: float = 0.1) -> ToxicityModel:
-    """Fits on the distinct word hashes of all texts of a kind and their bounds; words in fewer than least_df texts are left out.
+class ToxicityModel:
+    """words: sorted hashes of the vocabulary; weight: of each; bias."""
 
-    Each weight carries an absolute-value penalty of penalty standard deviations of the gradient of a word
-    that is as frequent and has no bearing on the label.
+    def __init__(self, words: np.ndarray, weight: np.ndarray, bias: float):
+        self.vocabulary, self.weight, self.bias = Vocabulary(words), weight, bias
+
+    def scores(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        row, at = self.vocabulary.places(buf, offsets)
+        return sigmoid(np.bincount(row, self.weight[at], len(offsets) - 1) + self.bias)
+
+
+def train(row: np.ndarray, column: np.ndarray, n: int, p: int, share: np.ndarray, prior: float, penalty: float = 4.0, epochs: int = 200, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray, float]:
+    """Chosen columns, their weights and the bias from the ones of a matrix of n rows, the first p positive.
+
+    share is the part of all texts that each column's word stands in.  Each weight carries an absolute-value
+    penalty of penalty standard deviations of the gradient of a word that is as frequent and has no bearing
+    on the label.
     """
-    everything = np.concatenate([positive[0], unlabelled[0]]).view(np.uint64)
-    bounds = np.concatenate([positive[1], unlabelled[1][1:] + len(positive[0])])
-    words, of, df = np.unique(everything, return_inverse=True, return_counts=True)
-    keep = df >= least_df
-    place = np.cumsum(keep) - 1
-    row = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
-    used = keep[of]
-    row, column, words = row[used], place[of[used]], words[keep]
-    n, p = len(bounds) - 1, len(positive[1]) - 1
-    share = np.bincount(column, minlength=len(words)) / n
     shrink = penalty * prior * np.sqrt(share * (1 - share) * (1 / p + 1 / (n - p)))
     w, bias = _descend(row, column, n, p, prior, shrink, epochs, rate)
     chosen = np.flatnonzero(w)  # what bears on the label is fitted again without the penalty
-    place = np.full(len(words), -1)
+    place = np.full(len(share), -1)
     place[chosen] = np.arange(len(chosen))
     column = place[column]
     w, bias = _descend(row[column >= 0], column[column >= 0], n, p, prior, np.zeros(len(chosen)), epochs, rate)
-    return ToxicityModel(words[chosen], w, bias)
+    return chosen, w, bias
+
+
+def risk(g: np.ndarray, p: int, prior: float) -> float:
+    """The non-negative risk of margins, the first p of which are of positives."""
+    minus = np.logaddexp(0, g)
+    return float(prior * np.logaddexp(0, -g[:p]).mean() + max(0.0, minus[p:].mean() - prior * minus[:p].mean()))
 
 
 def _descend(row: np.ndarray, column: np.ndarray, n: int, p: int, prior: float, shrink: np.ndarray, epochs: int, rate: float) -> tuple[np.ndarray, float]:
@@ -116,23 +121,60 @@ def _descend(row: np.ndarray, column: np.ndarray, n: int, p: int, prior: float,
     return w, float(bias)
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = 2500, unlabelled: int = 5000) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, positives: int = 2500, unlabelled: int = 5000, least_df: int = 5, most_words: int = 200_000) -> ToxicityModel:
     """Fits on docs(doc_id, text) and labels(doc_id, toxic), both already cut to the learn fold.
 
-    positives and unlabelled bound the rows of either kind.  The class prior is the share of toxic rows
-    among all labelled ones.  Without positives every text gets the score 0.
+    positives and unlabelled bound the texts of either kind that the weights are fitted on; the vocabulary
+    is the words, most_words at most, that stand in least_df of these texts.  The share of texts that a word
+    stands in, from which its penalty comes, is of all docs, and the class prior of all labels.  Null ids
+    have no label; repeated labels and repeated texts of an id count once among the positives, and
+    repeated rows once among the unlabelled.  Null and empty texts have no words; a very long text has at
+    most the whole vocabulary.  Other columns are ignored.  Without positives every text gets the score 0.
     """
+    nothing = ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -60.0)
     counts = labels.agg(F.sum(F.expr("int(toxic = 1)")).alias("p"), F.count("toxic").alias("n")).first()
     if not counts["p"]:
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -60.0)
+        return nothing
     prior = min(max(counts["p"] / counts["n"], 1e-3), 0.9)
-    toxic = labels.filter("toxic = 1").select("doc_id").distinct()
-    known = docs.select("doc_id", "text").join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True))
-    parts = []
-    for rows, most in ((known, positives), (docs.select("doc_id", "text").withColumn("positive", F.lit(False)), unlabelled)):
-        got = collected(bounded_by_class(rows, "positive", most).mapInArrow(_vectors, "positive boolean, words array<long>"))
-        parts.append(lists(got, "words"))
-    return train(*parts, prior)
+    toxic = labels.filter("toxic = 1 and doc_id is not null").select("doc_id", F.lit(1).alias("positive")).distinct()
+    toxic = toxic.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = one_text_each(docs, least_ids(toxic, "positive", (1,), positives))
+    others = bounded_by_class(docs.select("doc_id", "text", F.lit(0).alias("positive")), "positive", unlabelled)
+    sample = stored(known.unionByName(others, allowMissingColumns=True).select("text", "positive"), "toxicity-sample")
+    words = sample.mapInArrow(_words, "word long").groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least_df)
+    words = np.sort(collected(words.orderBy(F.desc("n"), "word").limit(most_words)).column("word").to_numpy().view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(words))  # most_words at most
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            positive = batch.column(batch.schema.get_field_index("positive"))
+            for lo, hi, buf, offsets in text_steps(batch):
+                row, at = shared.value.places(buf, offsets)
+                yield pa.RecordBatch.from_arrays([positive.slice(lo, hi - lo), ragged(at.astype(np.int32), row, hi - lo)], ["positive", "places"])
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(len(shared.value.words), np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for _, _, buf, offsets in text_steps(batch):
+                total += np.bincount(shared.value.places(buf, offsets)[1], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], rows))], ["place", "n"])
+
+    got = collected(sample.mapInArrow(vectors, "positive int, places array<int>"))
+    order = np.argsort(-got.column("positive").to_numpy(), kind="stable")
+    got = got.take(pa.array(order)).combine_chunks()
+    n, p = got.num_rows, int(got.column("positive").to_numpy().sum())
+    if not p or p == n:
+        return nothing
+    column, bounds = lists(got, "places")
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
+    every = collected(docs.select("text").mapInArrow(frequencies, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")))
+    place, count = every.column("place").to_numpy(), every.column("n").to_numpy()
+    df = np.zeros(len(words))
+    df[place[place >= 0]] = count[place >= 0]
+    chosen, w, bias = train(row, column, n, p, df / max(count[place < 0].sum(), 1), prior)
+    return ToxicityModel(words[chosen], w, bias)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -142,7 +184,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     gives an empty one.
     """
     docs = docs.drop("toxic_score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # most_words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
