@@ -1,30 +1,35 @@
 """Benchmark decontamination: BM25 over test items, searched by every training passage with block-max WAND.
 
 The index is of the test items, in order of length: postings in item order with impacts, and the greatest
-impact of each term in each block of `BLOCK` items.  An impact is the BM25 weight of a term in an item over the item's score against its own
-text, so a score is the share of an item that a passage holds, and one threshold fits all items.  Every
-document is cut into overlapping passages, twice as long as the longest item and half of that apart, so an
-item that stands in a document stands whole in a passage.  The block bounds of many passages are summed at
-once; only blocks whose bound reaches the threshold are searched, document at a time.  All items that a passage scores over the
-threshold are retrieved, and each is verified by what the passage shares with its question and its answer.
-
-The index is broadcast: it holds at most `INDEX_BYTES` of item text; larger sets of items are split by the
-hash of item_id into parts of that size at most, each with an index and a pass of its own.
+impact of each term in each block of `BLOCK` items.  An impact is the BM25 weight of a term in an item over
+the item's score against its own text, so a score is the share of an item that a passage holds, and one
+threshold fits all items.  Every document is cut into overlapping passages, twice as long as the longest
+item and half of that apart, so an item that stands in a document stands whole in a passage.  The block
+bounds of many passages are summed at once; only blocks whose bound reaches the threshold are searched,
+document at a time.  All items that a passage scores over the threshold are retrieved, and each is verified
+by what the passage shares with its question and its answer.
+
+An index is broadcast, so it holds about `INDEX_BYTES` of item text at most.  More items are split by the
+hash of their texts, and each part has an index and a pass of its own; item count, document frequencies, mean
+and greatest length are those of all items in every part, so a score means the same however many parts there
+are.  Equal item texts are one item of the index, with all their ids.
 """
 
 from __future__ import annotations
 
 import bisect
+import uuid
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
-from .common import LOWER, mix, span_hashes, word_spans
-from .features import NOT_ALNUM, runs, text_steps
+from .common import LOWER, Scratch, mix, span_hashes, widened, word_spans
+from .features import NOT_ALNUM, collected, runs, text_steps
 
 SHINGLE, BLOCK, INDEX_BYTES = 5, 8, 32 << 20
 K1, B = 1.2, 0.75
@@ -68,24 +73,41 @@ def overlap(part: np.ndarray, part_shingles: np.ndarray, passage: np.ndarray, pa
     return float(covered.mean())
 
 
+class ItemStatistics(NamedTuple):
+    """Of all items with words: how many, mean and greatest length, and the items that hold each term."""
+
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class ItemIndex:
-    """Impact-ordered facts of the items: postings by term, term maxima and block maxima."""
+    """Impact-ordered facts of the items: postings by term, term maxima and block maxima.
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    ids has, for each text, the ids of the items that it stands for.  Without statistics the texts are all
+    there are.
+    """
+
+    def __init__(self, ids: list[list[int | None]], texts: list[str], statistics: ItemStatistics | None = None):
         words = [_hashes(t) for t in texts]
         kept = sorted((i for i, w in enumerate(words) if len(w)), key=lambda i: len(words[i]))
         self.ids, words = [ids[i] for i in kept], [words[i] for i in kept]
         parts = [tuple(map(_hashes, question_and_answer(texts[i]))) for i in kept]
         self.parts = [[(p, _shingles(p)) for p in pair] for pair in parts]
-        self.longest = max(map(len, words), default=0)
         size = np.array([len(w) for w in words], float)
         counts = [runs(w) for w in words]
         item = np.repeat(np.arange(len(words)), [len(c[0]) for c in counts])
         term = np.concatenate([c[0] for c in counts]) if counts else np.zeros(0, np.uint64)
         tf = np.concatenate([c[1] for c in counts]).astype(float) if counts else np.zeros(0)
         self.terms, place, df = np.unique(term, return_inverse=True, return_counts=True)
-        idf = np.log(1 + (len(words) - df + 0.5) / (df + 0.5))
-        impact = idf[place] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / max(size.mean(), 1))) if len(words) else tf
+        if statistics is None:
+            statistics = ItemStatistics(len(words), size.mean() if len(words) else 0.0, int(size.max(initial=0)), self.terms, df)
+        self.longest = statistics.longest
+        df = statistics.df[np.searchsorted(statistics.terms, self.terms)]
+        idf = np.log(1 + (statistics.items - df + 0.5) / (df + 0.5))
+        impact = idf[place] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / max(statistics.mean, 1))) if len(words) else tf
         impact = impact / np.bincount(item, impact, len(words))[item] if len(words) else impact
         order = np.lexsort((item, place))
         self.bounds = np.searchsorted(place[order], np.arange(len(self.terms) + 1))
@@ -205,49 +227,92 @@ class ItemIndex:
                 q, a = (overlap(w, s, text, grams[1]) for w, s in self.parts[item])
                 old = out[r].get(item)
                 if q >= question_least and a >= answer_least and (old is None or score > old["score"]):
-                    out[r][item] = {"item_id": self.ids[item], "score": score, "question_overlap": q, "answer_overlap": a}
-        return [sorted(x.values(), key=lambda y: (y["item_id"] is not None, y["item_id"])) for x in out]
+                    out[r][item] = {"score": score, "question_overlap": q, "answer_overlap": a}
+        named = [[{"item_id": i, **found} for item, found in x.items() for i in self.ids[item]] for x in out]
+        return [sorted(x, key=lambda y: (y["item_id"] is not None, y["item_id"])) for x in named]
 
 
 _LEAK = pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
 
 
-def _indexes(items: DataFrame) -> Iterator[ItemIndex]:
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [_hashes(t) for t in batch.column(0).to_pylist()]
+        terms = [np.unique(w) for w in words]
+        flat = np.concatenate([*terms, np.zeros(0, np.uint64)]).view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, terms)]), pa.int32()), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([len(w) for w in words], pa.int64()), lists], ["part", "size", "terms"])
+
+
+def _indexes(items: DataFrame, index_bytes: int) -> Iterator[ItemIndex]:
+    """Indexes that together hold all items; only one is in the driver at a time."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = int(-(-2 * total // INDEX_BYTES)) if total > INDEX_BYTES else 1
+    texts = items.groupBy("text").agg(F.collect_list(F.struct("item_id")).alias("ids"))
+    total = texts.agg(F.sum(F.octet_length("text") + 16 * F.size("ids"))).first()[0] or 0
+    parts = int(-(-2 * total // index_bytes)) if total > index_bytes else 1
+    scratch, statistics = Scratch(items.sparkSession), None
+    if parts > 1:
+        texts = scratch.stored(texts.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")), "items")
+        sized = scratch.stored(texts.select("text", "part").mapInArrow(_item_terms, "part int, size long, terms array<long>"), "sizes").filter("size > 0")
+        base = sized.agg(F.count("*").alias("n"), F.sum("size").alias("sum"), F.max("size").alias("most")).first()
+        held = sized.select("part", F.explode("terms").alias("term"))
+        df = scratch.stored(held.groupBy("term").agg(F.count("*").alias("df")), "frequencies")
     for k in range(parts):
-        got = (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else items).collect()
-        got.sort(key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
-        yield ItemIndex([r["item_id"] for r in got], [r["text"] for r in got])
+        got = (texts.filter(F.col("part") == k) if parts > 1 else texts).select("text", "ids").collect()
+        got.sort(key=lambda r: r["text"])
+        if parts > 1:
+            own = collected(df.join(held.filter(F.col("part") == k).select("term").distinct(), "term"))
+            term = own.column("term").to_numpy().view(np.uint64)
+            order = np.argsort(term)
+            statistics = ItemStatistics(base["n"] or 0, (base["sum"] or 0) / max(base["n"] or 0, 1), base["most"] or 0, term[order], own.column("df").to_numpy()[order])
+        yield ItemIndex([[x["item_id"] for x in r["ids"]] for r in got], [r["text"] for r in got], statistics)
+    scratch.drop("items", "sizes", "frequencies")
+
+
+_LEAKS = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
+
+
+def _searched(docs: DataFrame, index: ItemIndex, least: tuple[float, float, float]) -> DataFrame:
+    """docs, which have a text, with a column leaks from one index."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaks: list[list[dict]] = []
+            for lo, hi, buf, offsets in text_steps(batch):
+                low = LOWER[buf]
+                starts, ends, row = word_spans(low, offsets, NOT_ALNUM)
+                leaks += shared.value.leaks(span_hashes(low, starts, ends), row, hi - lo, *least)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, pa.list_(_LEAK))], [*batch.schema.names, "leaks"])
+
+    return docs.mapInArrow(run, widened(docs.schema, leaks=_LEAKS))
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, question_least: float = 0.8, answer_least: float = 0.5) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, question_least: float = 0.8, answer_least: float = 0.5, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """docs with a column leaks: the test items that each text holds, with score and overlaps, by item_id.
 
     Null, empty and wordless texts, and items without words, leak nothing.  A very long text is searched
-    passage by passage.  Repeated rows and repeated items are treated each on its own.  A column named
-    leaks in docs is replaced; without items every list is empty.
+    passage by passage.  Repeated rows are treated each on its own; items of equal texts are all returned,
+    and count once in the statistics.  A column named leaks in docs is replaced; without items every list
+    is empty.  Where items take more than index_bytes, docs are written once with a number for each row,
+    every part's finds are stored by that number, and both are joined.
     """
-    docs = docs.drop("leaks")
-    schema = StructType.fromDDL("leaks array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>")
-    context = docs.sparkSession.sparkContext
-    for k, index in enumerate(_indexes(items)):
-        shared, name = context.broadcast(index), f"leaks_{k}" if k else "leaks"
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                leaks: list[list[dict]] = []
-                for lo, hi, buf, offsets in text_steps(batch):
-                    low = LOWER[buf]
-                    starts, ends, row = word_spans(low, offsets, NOT_ALNUM)
-                    leaks += shared.value.leaks(span_hashes(low, starts, ends), row, hi - lo, threshold, question_least, answer_least)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, pa.list_(_LEAK))], [*batch.schema.names, name])
-
-        docs = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, schema[0].dataType)]))
-        if k:
-            docs = docs.withColumn("leaks", F.concat("leaks", name)).drop(name)
-    return docs
+    docs, least = docs.drop("leaks"), (threshold, question_least, answer_least)
+    indexes = _indexes(items, index_bytes)
+    first = next(indexes)
+    second = next(indexes, None)
+    if second is None:
+        return _searched(docs, first, least)
+    scratch, row = Scratch(docs.sparkSession), f"row_{uuid.uuid4().hex}"
+    numbered = scratch.stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = None
+    for k, index in enumerate(chain((first, second), indexes)):
+        one = scratch.stored(_searched(numbered.select(row, "text"), index, least).filter("size(leaks) > 0").select(row, "leaks"), f"leaks-{k}")
+        found = one if found is None else found.unionByName(one)
+    order = F.transform("leaks", lambda x: F.struct(x["item_id"].isNotNull().alias("known"), *[x[c] for c in ("item_id", "score", "question_overlap", "answer_overlap")]))
+    merged = found.groupBy(row).agg(F.flatten(F.collect_list("leaks")).alias("leaks")).select(row, F.transform(F.array_sort(order), lambda x: x.dropFields("known")).alias("leaks"))
+    joined = numbered.join(merged, row, "left")
+    return joined.select(*docs.columns, F.coalesce("leaks", F.array().cast(_LEAKS)).cast(_LEAKS).alias("leaks"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
