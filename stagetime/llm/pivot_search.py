@@ -5,6 +5,9 @@ then the greatest inner products are the least distances.  Each vector is keyed
 its distance from it, and the sorted keys are cut into annuli of `ANNULUS` vectors.  A query first looks
 into an annulus near its own key; the k-th best score there bounds how far any better vector can lie, and
 by the triangle inequality only annuli that come so close to it from their pivot are opened.
+
+Distances are of floating-point numbers and only choose annuli, with a slack beyond their rounding errors;
+scores are exact integers.  Vectors of each length are searched by themselves.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Scratch
 
 ANNULUS, GROUP = 1024, 128
 PIVOT_SAMPLE = 4096
@@ -43,8 +46,16 @@ def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
+def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Exact inner products of rows of whole numbers, cut to what a long holds."""
+    if len(q) and len(v) and np.abs(q).max() * np.abs(v).max() * q.shape[1] < 2.0**53:
+        return np.rint(q @ v.T).astype(np.int64)
+    whole = np.vectorize(int, otypes=[object])
+    return np.clip(whole(q) @ whole(v).T, -(1 << 63), (1 << 63) - 1)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
-    values = np.asarray(column.flatten(), np.int64)
+    values = np.asarray(column.flatten(), float)
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
 
 
@@ -60,51 +71,69 @@ def _blocks(frame: DataFrame, size: int, name: str) -> DataFrame:
                 for lo in range(a, b, size):
                     part = batch.slice(lo, min(size, b - lo))
                     dist, vec = part.column(3).to_numpy(), part.column(1)
-                    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (part.column(0), vec.flatten())]
-                    yield pa.RecordBatch.from_arrays([pa.array([serial]), pa.array(pivot[lo : lo + 1]), pa.array([dist.min()]), pa.array([dist.max()]), *lists], [name, "pivot", "near", "far", "ids", "vectors"])
+                    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (part.column(0), part.column(4), vec.flatten())]
+                    yield pa.RecordBatch.from_arrays([pa.array([serial]), pa.array(pivot[lo : lo + 1]), pa.array([dist.min()]), pa.array([dist.max()]), *lists], [name, "pivot", "near", "far", "ids", "rows", "vectors"])
                     serial += 1
 
-    ordered = frame.repartitionByRange("pivot", "dist", "vec_id").sortWithinPartitions("pivot", "dist", "vec_id")
-    return ordered.select("vec_id", "v", "pivot", "dist").mapInArrow(run, f"{name} long, pivot int, near double, far double, ids array<long>, vectors array<int>")
+    ordered = frame.repartitionByRange("pivot", "dist", "row").sortWithinPartitions("pivot", "dist", "row")
+    return ordered.select("vec_id", "v", "pivot", "dist", "row").mapInArrow(run, f"{name} long, pivot int, near double, far double, ids array<long>, rows array<long>, vectors array<double>")
+
+
+_RESULT = "query_id long, rank int, vec_id long, score long"
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0) -> DataFrame:
-    """query_id, rank, vec_id, score: the k greatest inner products of each query with the other rows.
+    """query_id, rank, vec_id, score: the k greatest inner products of each query with all other rows.
 
     Vectors are rows of vectors(vec_id, embedding, ...), brought to whole numbers floor(scale * x).  Ties
-    go to the smaller vec_id; fewer than k other rows give as many.  Null vectors, null ids, vectors with
-    null or non-finite components, and vectors whose length isn't the commonest (of equally common the
-    shortest) take no part.  Rows that repeat an id are candidates each, but never of a query of that id;
-    of query rows that repeat an id the one with the least vector counts.  Scores are exact while
-    |scale * x| < 2**20 and lengths are under 2**12.  Other columns are ignored; an empty table gives an
-    empty result.  The pivots are chosen from a sample of PIVOT_SAMPLE rows; every row is indexed.
+    go to the smaller vec_id; fewer than k other rows give as many.  Null and empty vectors, null ids, and
+    vectors with null or non-finite components take no part; a scaled component of 1e150 or more counts as
+    not finite.  Only vectors of one length are compared.  Rows that repeat an id are rows of their own: each
+    is a candidate of the others, and each query row has its own k rows in the result.  Scores are exact;
+    those beyond a long are cut to its ends before they are ranked.  Other columns are ignored; an empty
+    table gives an empty result.  The pivots are chosen from PIVOT_SAMPLE rows; every row is indexed.
     """
     spark = vectors.sparkSession
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    whole = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("int"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.lit(scale) * x.cast("double")) < 1e150))
+    whole = F.transform("embedding", lambda x: _floored(F.lit(scale) * x.cast("double")))
     clean = vectors.filter("vec_id is not null and size(embedding) > 0").filter(F.coalesce(finite, F.lit(False)))
     clean = clean.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"), is_query.alias("is_query"))
-    lengths = clean.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0).cast("double"), lambda s, x: s + x * x)).alias("most"))
-    common = lengths.orderBy(F.desc("n"), "d").first()
-    result = "query_id long, rank int, vec_id long, score long"
-    if common is None:
-        return spark.createDataFrame([], result)
-    clean = clean.filter(F.size("v") == common["d"])
-    most = float(common["most"])
-    sample = np.array([r[0] for r in clean.orderBy(F.xxhash64("vec_id")).select("v").limit(PIVOT_SAMPLE).collect()], float)
-    n_pivots = int(min(256, max(8, common["n"] ** 0.5 / 8)))
+    square = F.aggregate("v", F.lit(0).cast("double"), lambda s, x: s + x * x)
+    found = None
+    for size in clean.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(square).alias("most")).orderBy("d").collect():
+        one = _of_one_length(clean.filter(F.size("v") == size["d"]), size["n"], float(size["most"]), k)
+        found = one if found is None else found.unionByName(one)
+    return spark.createDataFrame([], _RESULT) if found is None else found
+
+
+def _floored(x: Column) -> Column:
+    """floor(x) as a double, which holds it at any size; at 2**52 and beyond x is whole already."""
+    return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+
+
+def _of_one_length(clean: DataFrame, n: int, most: float, k: int) -> DataFrame:
+    spark = clean.sparkSession
+    slack = 1e-3 + 4e-6 * most**0.5
+    place, share = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 62)), min(1.0, 2 * PIVOT_SAMPLE / n)
+    sample = np.array([r[0] for r in clean.filter(place < int((1 << 62) * share)).orderBy(place).select("v").limit(PIVOT_SAMPLE).collect()], float)
+    sample = sample.reshape(len(sample), -1)
+    n_pivots = int(min(256, max(8, n**0.5 / 8)))
     pivots = spark.sparkContext.broadcast(_choose_pivots(_lifted(sample, most), n_pivots))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 40
         for batch in batches:
-            far = _distances(_lifted(_matrix(batch.column(1)).astype(float), most), pivots.value)
+            far = _distances(_lifted(_matrix(batch.column(1)), most), pivots.value)
             best = far.argmin(axis=1) if len(far) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.astype(np.int32)), pa.array(far[np.arange(len(far)), best])], ["vec_id", "v", "is_query", "pivot", "dist"])
-
-    keyed = stored(clean.mapInArrow(key, "vec_id long, v array<int>, is_query boolean, pivot int, dist double"), "keyed")
-    annuli = stored(_blocks(keyed, ANNULUS, "annulus"), "annuli")
-    firsts = keyed.filter("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "pivot", "dist")).alias("x")).select("vec_id", "x.*")
-    groups = stored(_blocks(firsts, GROUP, "group"), "groups")
+            row = np.arange(at, at + len(far))
+            at += len(far)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.astype(np.int32)), pa.array(far[np.arange(len(far)), best]), pa.array(row)], ["vec_id", "v", "is_query", "pivot", "dist", "row"])
+
+    scratch = Scratch(spark)
+    keyed = scratch.stored(clean.mapInArrow(key, "vec_id long, v array<double>, is_query boolean, pivot int, dist double, row long"), "keyed")
+    annuli = scratch.stored(_blocks(keyed, ANNULUS, "annulus"), "annuli")
+    groups = scratch.stored(_blocks(keyed.filter("is_query"), GROUP, "group"), "groups")
+    scratch.drop("keyed")
     places = annuli.select("annulus", "pivot", "near", "far")
 
     def best_of(pairs: DataFrame) -> DataFrame:
@@ -113,22 +142,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for r in range(batch.num_rows):
-                    q_ids, q, ids, v = (np.asarray(batch.column(c)[r].values) for c in range(4))
-                    q, v = q.astype(float).reshape(len(q_ids), -1), v.astype(float).reshape(len(ids), -1)
-                    score = np.rint(q @ v.T).astype(np.int64)
-                    own = q_ids[:, None] == ids[None, :]
-                    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                    q_ids, q_rows, q, ids, rows, v = (np.asarray(batch.column(c)[r].values) for c in range(6))
+                    score = _products(q.reshape(len(q_ids), -1), v.reshape(len(ids), -1)).astype(np.int64)
+                    own = q_rows[:, None] == rows[None, :]
+                    out: list[tuple[np.ndarray, ...]] = []
                     for i in range(len(q_ids)):
                         free = np.flatnonzero(~own[i])
-                        top = free[np.lexsort((ids[free], -score[i, free]))[:k]]
-                        out.append((np.full(len(top), q_ids[i]), ids[top], score[i, top]))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
+                        top = free[np.lexsort((rows[free], ids[free], ~score[i, free]))[:k]]
+                        out.append((np.full(len(top), q_ids[i]), np.full(len(top), q_rows[i]), ids[top], rows[top], score[i, top]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["query_id", "query_row", "vec_id", "row", "score"])
 
-        left = pairs.join(groups.select("group", F.col("ids").alias("q_ids"), F.col("vectors").alias("q")), "group")
-        both = left.join(annuli.select("annulus", "ids", "vectors"), "annulus")
-        return both.select("q_ids", "q", "ids", "vectors").mapInArrow(run, "query_id long, vec_id long, score long")
+        left = pairs.join(groups.select("group", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("vectors").alias("q")), "group")
+        both = left.join(annuli.select("annulus", "ids", "rows", "vectors"), "annulus")
+        return both.select("q_ids", "q_rows", "q", "ids", "rows", "vectors").mapInArrow(run, "query_id long, query_row long, vec_id long, row long, score long")
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -136,9 +164,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     # The annulus of the group's own pivot whose middle is nearest to the group's; else any that holds rows.
     middle = F.abs(F.col("g.near") + F.col("g.far") - F.col("a.near") - F.col("a.far"))
     first = groups.alias("g").join(places.alias("a"), F.col("g.pivot") == F.col("a.pivot")).groupBy("g.group").agg(F.min_by("a.annulus", F.struct(middle, F.col("a.annulus"))).alias("annulus"))
-    seeds = ranked(best_of(first.select("group", "annulus"))).filter(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
-    per_query = groups.select("group", F.explode("ids").alias("query_id")).join(seeds, "query_id", "left")
-    bounds = per_query.groupBy("group").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "bound"))).alias("bounds"))
+    seeds = ranked(best_of(first.select("group", "annulus"))).filter(F.col("rank") == k).select("query_row", F.col("score").alias("bound"))
+    per_query = groups.select("group", F.explode("rows").alias("query_row")).join(seeds, "query_row", "left")
+    bounds = per_query.groupBy("group").agg(F.map_from_entries(F.collect_list(F.struct("query_row", "bound"))).alias("bounds"))  # GROUP at most
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,14 +174,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
                 ids, q = np.asarray(batch.column(1)[r].values), np.asarray(batch.column(2)[r].values)
                 q = q.astype(float).reshape(len(ids), -1)
                 bound = dict(batch.column(3)[r].as_py())
-                score = np.array([-np.inf if bound.get(i) is None else bound[i] for i in ids.tolist()], float)
-                radius = np.sqrt(np.maximum((q**2).sum(axis=1) + most - 2 * score, 0)) * (1 + 1e-9) + 1e-3
+                score = np.array([-np.inf if (b := bound.get(i)) is None or b == -(1 << 63) else b for i in ids.tolist()], float)
+                radius = np.sqrt(np.maximum((q**2).sum(axis=1) + most - 2 * score, 0)) * (1 + 1e-9) + slack
                 far = _distances(np.hstack([q, np.zeros((len(q), 1))]), pivots.value)
                 lo, hi = (far - radius[:, None]).min(axis=0), (far + radius[:, None]).max(axis=0)
                 n = len(lo)
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[r].as_py()] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array(lo), pa.array(hi)], ["group", "pivot", "lo", "hi"])
 
-    rings = stored(groups.select("group", "ids", "vectors").join(bounds, "group").mapInArrow(reach, "group long, pivot int, lo double, hi double"), "rings")
+    rings = scratch.stored(groups.select("group", "rows", "vectors").join(bounds, "group").mapInArrow(reach, "group long, pivot int, lo double, hi double"), "rings")
     open_rings = rings.alias("r").join(places.alias("a"), (F.col("r.pivot") == F.col("a.pivot")) & (F.col("a.far") >= F.col("r.lo")) & (F.col("a.near") <= F.col("r.hi")))
     found = ranked(best_of(open_rings.select("group", "annulus")))
     return found.select("query_id", "rank", "vec_id", "score")
