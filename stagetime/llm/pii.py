@@ -12,6 +12,7 @@ lower Wilson bound of it at `CONFIDENCE` standard deviations.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,9 +83,11 @@ def _near(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int,
     if len(raw) != len(text):
         point = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         starts, ends = point[starts], point[ends]
-    free = ends - starts >= 3
-    for s, _, e in spans:
-        free &= (ends <= s) | (starts >= e)
+    edges = np.array([(s, e) for s, _, e in spans])
+    cover = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(cover, np.searchsorted(ends, edges[:, 0], "right"), 1)
+    np.add.at(cover, np.searchsorted(starts, edges[:, 1], "left"), -1)
+    free = (ends - starts >= 3) & (np.cumsum(cover[:-1]) == 0)
     term, starts, ends = term[free], starts[free], ends[free]
     out = []
     for s, kind, e in spans:
@@ -208,6 +211,11 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _level_above(term: str) -> str:
+    """The class that a generalised term is replaced by."""
+    return "[NUMBER]" if any(map(str.isdigit, term)) else "[NAME]" if term[:1].isupper() else "[WORD]"
+
+
 def _rewrite(text: str, spans: list[dict]) -> str:
     """Spans that overlap are replaced as one, by the mark of the first."""
     out, done = [], 0
@@ -216,7 +224,7 @@ def _rewrite(text: str, spans: list[dict]) -> str:
             continue
         if x["start"] >= done:
             kind = KINDS[x["kind"]]
-            mark = "" if kind == "remove" else "[TERM]" if kind == "generalise" else f"[{kind.upper()}]"
+            mark = "" if kind == "remove" else _level_above(text[x["start"] : x["end"]]) if kind == "generalise" else f"[{kind.upper()}]"
             out += [text[done : x["start"]], mark]
         done = x["end"]
     return "".join([*out, text[done:]])
@@ -233,8 +241,14 @@ def _sanitise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
-    """docs with personal data and what reveals it replaced in text; a null text stays null."""
+    """docs with personal data and what reveals it replaced in text, in docs' own columns.
+
+    Base spans become [EMAIL], [IP], [CARD] or [PHONE]; terms to be generalised become their class, [NUMBER],
+    [NAME] or [WORD], and those to be removed go.  A null text stays null.  Repeated rows stay and are
+    treated alike; columns of any name may stand in docs; an empty table gives an empty one.
+    """
+    doc_id, key, found = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "key", "spans"))
     spans = all_spans(docs, **thresholds).filter("size(spans) > 0")
-    spans = spans.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.col("spans").alias("_spans")).dropDuplicates(["_d", "_k"])
-    joined = docs.join(spans, (F.xxhash64("text") == F.col("_k")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_d")), "left")
-    return joined.select(*docs.columns, "_spans").mapInArrow(_sanitise, docs.schema)
+    spans = spans.select(F.col("doc_id").alias(doc_id), F.col("text_key").alias(key), F.col("spans").alias(found)).dropDuplicates([doc_id, key])
+    joined = docs.join(spans, (F.xxhash64("text") == F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)), "left")
+    return joined.select(*docs.columns, found).mapInArrow(_sanitise, docs.schema)
