@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Scratch
 
 
 def _both(links: DataFrame) -> DataFrame:
@@ -30,14 +30,17 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, most_rounds: int = 64) -> DataFrame:
     """node, component (its least reachable node) for every node of links(a, b).
 
+    The result reads one table in the shared folder; those of earlier rounds are deleted.
+
     Links with a null end or with a = b count for nothing; an empty table gives an empty one.  Each
     round halves the depth of the trees at least, and a round that changes nothing ends the work;
     more than most_rounds rounds raise an error rather than return unfinished labels.
     """
-    now = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
+    scratch = Scratch(links.sparkSession)
+    now = scratch.stored(links.select("a", "b").filter("a <> b").distinct(), "star")
     was = None
     for _ in range(most_rounds):
-        now = stored(_small_star(_large_star(now)), "star")
+        now = scratch.stored(_small_star(_large_star(now)), "star")
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if state == was or not state["n"]:
             break

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct_pairs, mix, shared_path, steps, stored, text_buffer, word_hashes
+from .common import Scratch, distinct_pairs, mix, steps, text_buffer, word_hashes
 from .components import components
 
 SHINGLE, BANDS, ROWS, BITS = 5, 32, 4, 4
@@ -141,7 +141,7 @@ def _floor(similarity: float) -> float:
 def _shingle_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
     """key, shingle_set of all texts of the documents that ids(doc_id) names."""
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    return stored(texts.mapInArrow(_sets, "key long, shingle_set array<long>").dropDuplicates(["key"]), "shingle-sets")
+    return texts.mapInArrow(_sets, "key long, shingle_set array<long>").dropDuplicates(["key"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -153,7 +153,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.filter(F.expr(f"100 * i >= {percent} * (t - i)")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
 
-def _prefix_pairs(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _prefix_pairs(parts: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """All pairs (a, b) of keys of different parts(key, rep, part) that can be as similar as percent says.
 
     Shingles are ordered by how few of the sets hold them.  Two similar sets share one of the first
@@ -166,7 +166,7 @@ def _prefix_pairs(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     n = F.size("r")
     first = F.slice("r", 1, n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1)
     prefix = ranked.join(parts, "key").select("key", "part", n.alias("n"), F.posexplode(first).alias("pos", "x")).filter("x.f > 1")
-    prefix = stored(prefix.select("key", "part", "n", "pos", F.col("x.s").alias("s")), "prefixes")
+    prefix = scratch.stored(prefix.select("key", "part", "n", "pos", F.col("x.s").alias("s")), "prefixes")
     x, y = prefix.alias("x"), prefix.alias("y")
     after = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     can = (100 + percent) * after >= percent * (F.col("x.n") + F.col("y.n"))
@@ -187,14 +187,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = stored(docs.mapInArrow(_sketch, _SKETCH), "sketch")
+    scratch = Scratch(docs.sparkSession)
+    sketch = scratch.stored(docs.mapInArrow(_sketch, _SKETCH), "sketch")
     real = sketch.filter("n_shingles > 0 and doc_id is not null")
     firsts = [F.first(c).alias(c) for c in ("n_shingles", "bands", *SIG)]
     rep = F.min("doc_id").alias("rep")
-    classes = stored(real.groupBy("set_a", "set_b").agg(rep, *firsts), "classes")
+    classes = scratch.stored(real.groupBy("set_a", "set_b").agg(rep, *firsts), "classes")
     key = F.col("set_a").alias("key")
     sizes = classes.select(key, "rep", "n_shingles", *SIG)
-    banded = stored(classes.select(key, "rep", F.explode("bands").alias("band")), "bands")
+    banded = scratch.stored(classes.select(key, "rep", F.explode("bands").alias("band")), "bands")
 
     def plausible(pairs: DataFrame) -> DataFrame:
         p, x, y = pairs.alias("p"), sizes.alias("x"), sizes.alias("y")
@@ -205,24 +206,27 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     centres = banded.groupBy("band").agg(F.min("key").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = banded.join(centres, "band").filter("key > centre").groupBy("key", "centre").agg(F.count("*").alias("n"))
     best = shared.groupBy("key").agg(F.max_by("centre", F.struct("n", F.bitwise_not("centre"))).alias("centre"))
-    pairs = stored(plausible(best.select(F.col("centre").alias("a"), F.col("key").alias("b"))), "pairs-1")
-    sets = _shingle_sets(pairs.select(F.explode(F.array("rep_a", "rep_b")).alias("doc_id")).distinct(), docs)
-    links = stored(_confirmed(pairs, sets, percent), "links-1")
+    pairs = scratch.stored(plausible(best.select(F.col("centre").alias("a"), F.col("key").alias("b"))), "pairs-1")
+    sets = scratch.stored(_shingle_sets(pairs.select(F.explode(F.array("rep_a", "rep_b")).alias("doc_id")).distinct(), docs), "sets")
+    links = scratch.stored(_confirmed(pairs, sets, percent), "links-1")
+    scratch.drop("pairs-1", "sets")
 
     # A doc_id with several texts stands for several classes; it links each to the least one.
-    held = stored(real.select("doc_id", "set_a", "set_b").join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).select("doc_id", "rep"), "held")
+    held = scratch.stored(real.select("doc_id", "set_a", "set_b").join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).select("doc_id", "rep"), "held")
     several = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("doc_id", "a")
     alias = held.join(several, "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b"))
     links = links.union(alias)
 
-    known = stored(components(links), "known")
+    known = scratch.stored(components(links), "known")
     labelled = banded.join(known, F.col("rep") == F.col("node"), "left").select("band", "key", "rep", F.coalesce("component", "rep").alias("part"))
     open_bands = labelled.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band")
-    parts = stored(labelled.join(open_bands, "band", "left_semi").select("key", "rep", "part").distinct(), "open-parts")
-    sets = _shingle_sets(parts.select(F.col("rep").alias("doc_id")), docs)
-    rest = plausible(_prefix_pairs(parts, sets, percent))
-    more = _confirmed(stored(rest, "pairs-2"), sets, percent)
+    parts = scratch.stored(labelled.join(open_bands, "band", "left_semi").select("key", "rep", "part").distinct(), "open-parts")
+    scratch.drop("bands")
+    sets = scratch.stored(_shingle_sets(parts.select(F.col("rep").alias("doc_id")), docs), "sets")
+    rest = plausible(_prefix_pairs(parts, sets, percent, scratch))
+    more = _confirmed(scratch.stored(rest, "pairs-2"), sets, percent)
     final = components(links.union(more))
+    scratch.drop("links-1", "held", "known", "open-parts", "sets", "prefixes", "pairs-2")
 
     by_class = classes.join(final, F.col("rep") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
     empty = sketch.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
