@@ -97,6 +97,26 @@ def test_token_files(spark, docs, none, tokenizer):
         total += r["n_tokens"]
         assert (r["n_tokens"], r["ids_crc32"]) in {(len(x), zlib.crc32(x.tobytes())) for x in texts[r["doc_id"]]}
     assert [r["ids"] for r in token_orc.find_documents(spark, path, [9]).collect()] == [texts[9][0].tolist()]
+    order = np.array([r["start"] for r in got if r["doc_id"] == 3])
+    assert len(order) == 2 and spark.read.orc(path).count() == len(odd_docs())
+    jvm = spark.sparkContext._jvm
+    files = [f for f in spark.read.orc(path).inputFiles() if f]
+    kinds, encodings, strides = set(), set(), set()
+    for f in files:
+        reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.orc.OrcFile.readerOptions(spark.sparkContext._jsc.hadoopConfiguration()))
+        strides.add(reader.getRowIndexStride())
+        records = reader.rows()
+        for stripe in reader.getStripes():
+            footer = records.readStripeFooter(stripe)
+            kinds |= {(x.getColumn(), x.getKind().toString()) for x in footer.getStreamsList()}
+            encodings |= {footer.getColumns(6).getKind().toString()}
+        records.close()
+    assert {(1, "ROW_INDEX"), (1, "BLOOM_FILTER_UTF8"), (6, "DATA")} <= kinds and encodings == {"DIRECT_V2"} and strides == {2000}
+    hot = spark.createDataFrame([(5, f"text {k}") for k in range(4000)] + [(None, "x")] * 50, "doc_id long, text string")
+    many = shared_path(spark, "hot")
+    token_orc.write_token_files(hot, many)
+    starts = token_orc.digests(spark, many).orderBy("start").collect()
+    assert len(starts) == 4050 and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(starts, starts[1:], strict=False)) and starts[0]["doc_id"] is None
     empty = shared_path(spark, "none")
     token_orc.write_token_files(none, empty)
     assert token_orc.digests(spark, empty).count() == 0
@@ -171,6 +191,37 @@ def test_near_duplicates(spark, percent):
     assert sorted(repr(tuple(r)) for r in got.collect()) == brute_components(rows, percent)
 
 
+def test_near_duplicates_of_a_given_table_miss_no_link(spark):
+    """Recall of all links of the given small table, and what each round finds of the classes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    holders, sets = defaultdict(list), {}
+    for i, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+        for x in sets[i]:
+            holders[x].append(i)
+    met = defaultdict(int)
+    for ids in holders.values():
+        for a in range(len(ids)):
+            for b in range(a):
+                met[ids[a], ids[b]] += 1
+    label = {i: i for i in sets}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for (a, b), n in met.items():
+        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            x, y = sorted((root(a), root(b)))
+            label[y] = x
+    want = {i: (len(sets[i]), root(i)) for i in sets}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs, 85).collect()}
+    assert got == want and len({c for _, c in got.values()}) < len(got)
+
+
 def test_without_near_duplicates(spark, docs, none):
     kept = near_dedup.without_near_duplicates(docs).collect()
     ids = [r["doc_id"] for r in kept]
@@ -203,10 +254,84 @@ def test_decontamination(spark, none):
     assert decontam.find_leaks(frame, bench.limit(0)).filter("size(leaks) > 0").count() == 0
 
 
+def plain_words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", low)
+
+
+def brute_bm25(texts, items, threshold=0.6, question_least=0.8, answer_least=0.5):
+    """For each text, {item text: best score} by scoring every passage against every item."""
+    import math
+    from collections import Counter
+
+    items = [(t, Counter(plain_words(t))) for t in sorted({t for t in items if t and plain_words(t)})]
+    df = Counter(w for _, c in items for w in c)
+    sizes = [sum(c.values()) for _, c in items]
+    mean, step = sum(sizes) / max(len(sizes), 1), max(32, *sizes)
+    impacts = []
+    for (_, c), size in zip(items, sizes, strict=True):
+        raw = {w: math.log(1 + (len(items) - df[w] + 0.5) / (df[w] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * size / mean)) for w, n in c.items()}
+        impacts.append({w: x / sum(raw.values()) for w, x in raw.items()})
+
+    def share(part, passage):
+        part = plain_words(part)
+        n = min(5, len(part))
+        if not part:
+            return 1.0
+        there = {tuple(passage[k : k + n]) for k in range(len(passage) - n + 1)}
+        hits = [k for k in range(len(part) - n + 1) if tuple(part[k : k + n]) in there]
+        return len({j for k in hits for j in range(k, k + n)}) / len(part)
+
+    out = []
+    for text in texts:
+        w, best = plain_words(text), {}
+        for lo in range(0, len(w), step):
+            passage = w[lo : lo + 2 * step]
+            there = set(passage)
+            for (item, _), impact in zip(items, impacts, strict=True):
+                score = sum(x for t, x in impact.items() if t in there)
+                if score >= threshold - 1e-9 and score > best.get(item, 0):
+                    q, a = (share(x, passage) for x in decontam.question_and_answer(item))
+                    if q >= question_least and a >= answer_least:
+                        best[item] = score
+        out.append(best)
+    return out
+
+
+def test_parts_score_as_one_index_and_as_brute_force(spark):
+    r = random.Random(12)
+    items = [(k, " ".join(f"t{int(r.paretovariate(0.7)) % 300}" for _ in range(r.randint(4, 40))) + ". " + " ".join(words(r.randint(1, 6), 60 + k, 200)) + ".") for k in range(60)]
+    items += [(100, items[3][1]), (None, items[4][1]), (101, None), (102, "")]
+    texts = []
+    for k in range(120):
+        w = items[k % 60][1].split()
+        gone = set(r.sample(range(len(w)), int(len(w) * r.choice([0, 0.1, 0.3, 0.5]))))
+        texts.append(" ".join([*words(r.randint(0, 90), k, 300), *(x for i, x in enumerate(w) if i not in gone), *words(r.randint(0, 40), k + 1, 300)]))
+    docs = spark.createDataFrame([*enumerate(texts), (0, texts[0]), (None, None)], "doc_id long, text string").withColumn("row", F.lit(1)).repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    loose = {"question_least": 0.3, "answer_least": 0.0}
+    by_text = defaultdict(list)
+    for i, t in items:
+        by_text[t].append(i)
+    for settings in ({}, loose):
+        want = [{i: s for t, s in x.items() for i in by_text[t]} for x in brute_bm25([*texts, texts[0], None], [t for _, t in items], **settings)]
+        for index_bytes in (1 << 25, 800):
+            got = decontam.find_leaks(docs, bench, index_bytes=index_bytes, **settings)
+            assert got.columns == ["doc_id", "text", "row", "leaks"]
+            rows = sorted(got.collect(), key=lambda x: (x["doc_id"] is None, x["doc_id"]))
+            expected = sorted(zip([*range(120), 0, None], want, strict=True), key=lambda x: (x[0] is None, x[0]))
+            assert [x["doc_id"] for x in rows] == [i for i, _ in expected]
+            for x, (_, leaks) in zip(rows, expected, strict=True):
+                ids = [y["item_id"] for y in x["leaks"]]
+                assert set(ids) == set(leaks) and len(ids) == len(leaks) and ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+                assert all(abs(y["score"] - leaks[y["item_id"]]) < 1e-9 for y in x["leaks"])
+        assert sum(map(len, want)) > 20
+
+
 def test_block_max_wand_equals_full_scoring():
     r = random.Random(8)
     texts = [" ".join(f"t{int(r.paretovariate(0.6)) % 80}" for _ in range(r.randint(3, 30))) for _ in range(400)]
-    index = decontam.ItemIndex(list(range(400)), texts)
+    index = decontam.ItemIndex([[i] for i in range(400)], texts)
     for _ in range(40):
         terms = sorted(r.sample(range(len(index.terms)), min(20, len(index.terms))))
         score = defaultdict(float)
@@ -298,6 +423,25 @@ def test_disclosure_of_rare_entities(spark):
         assert any(abs(x - 1 - np.log(low) / np.log(4000 / n_entity)) < 1e-4 for x in score)
 
 
+def test_sanitise_whatever_the_columns_are_called(spark):
+    docs = spark.createDataFrame(pii_rows(), DOCS).selectExpr("doc_id", "text", "bands as _k", "near as _d", "ids as _spans", "rep as more")
+    out = pii.sanitise(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert [pii._level_above(x) for x in ("a1", "Name", "word")] == ["[NUMBER]", "[NAME]", "[WORD]"]
+
+
+def test_terms_near_many_spans_equal_plain_search():
+    r = random.Random(9)
+    text = " ".join(r.choice(["alpha", "be", "gamma", "x@y.example", "10.0.0.1", "ünder", "42 4041894974608795", "delta."]) for _ in range(600))
+    spans = pii.base_spans(text)
+    free = [(m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text) if len(m[0].encode()) >= 3 and all(m.end() <= s or m.start() >= e for s, _, e in spans)]
+    want = []
+    for s, _, _ in spans:
+        k = sum(a < s for a, _ in free)
+        want += free[max(0, k - 5) : k + 5]
+    assert [x[2:] for x in pii._near(text, spans)] == want and len(spans) > 50
+
+
 def test_licenses(spark, none):
     notice = license_scan.NOTICES["BSD"][1]
     rows = [(1, "prose\nReleased under the MIT License.\nmore"), (2, notice.replace(" with ", "\nwith ") + "\n\nother"), (3, None), (4, ""), (5, "license"), (5, "Licensed under CC BY-NC 4.0."), (6, "Licensed under the terms of nothing at all")]
@@ -330,6 +474,24 @@ def test_every_match_has_an_anchor():
             assert any(w in words_ for b in kept for w in b.split())
 
 
+def test_pivot_search_of_odd_vectors(spark):
+    """Great components, lengths of every kind and rows that repeat an id, against exact whole numbers."""
+    import math
+
+    r = random.Random(4)
+    rows = [(i, [r.uniform(-1, 1) * 10.0 ** r.choice([0, 6, 12, 30]) for _ in range(r.choice([2, 2, 3]))]) for i in range(120)]
+    rows += [(50, [1.0, 2.0]), (50, [1.0, 2.0]), (100, [3.0]), (7, [1.0, 2.0]), (8, []), (9, [float("inf"), 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(x) for x in pivot_search.top_k(frame, F.col("vec_id") % 50 == 0).collect())
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v and all(map(math.isfinite, v))]
+    want = []
+    for a, (i, v) in enumerate(whole):
+        if i % 50 == 0:
+            scores = sorted((-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(v, w, strict=True)))), j) for b, (j, w) in enumerate(whole) if a != b and len(w) == len(v))
+            want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(scores[:5])]
+    assert got == sorted(want) and any(abs(x[3]) > 2**62 for x in got)
+
+
 def test_pivot_search(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(5, 16))
