@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
@@ -37,27 +39,35 @@ def easter(year: int) -> date:
 
 
 # Month and day of the national holidays, and the first year of the latest.
-FIXED_HOLIDAYS = ((1, 1), (4, 21), (5, 1), (9, 7), (10, 12), (11, 2), (11, 15), (12, 25))
+FIXED_HOLIDAYS = {(1, 1): "New Year", (4, 21): "Tiradentes", (5, 1): "Labour Day", (9, 7): "Independence", (10, 12): "Our Lady of Aparecida", (11, 2): "All Souls", (11, 15): "Republic", (12, 25): "Christmas"}
 LATEST_HOLIDAY = (11, 20, 2024)
 
 
 @dataclass(frozen=True)
 class CalendarSpec:
-    """Monday to Friday, in windows of local hours, but for holidays."""
+    """Monday to Friday, in windows of local hours, but for holidays; outside the years nothing is known."""
 
     zone: str = "America/Sao_Paulo"
     windows: tuple[tuple[int, int], ...] = ((10, 13), (14, 19))
-    years: tuple[int, int] = (2020, 2030)
+    years: tuple[int, int] = (1970, 2100)
     extra: tuple[date, ...] = field(default=())
 
-    def holidays(self) -> list[date]:
-        days = list(self.extra)
+    def named_holidays(self) -> dict[date, str]:
+        days = {d: "extra" for d in self.extra if self.years[0] <= d.year <= self.years[1]}
         for year in range(self.years[0], self.years[1] + 1):
-            days += [date(year, m, d) for m, d in FIXED_HOLIDAYS]
-            days.append(easter(year) - timedelta(days=2))
+            days |= {date(year, m, d): name for (m, d), name in FIXED_HOLIDAYS.items()}
+            days[easter(year) - timedelta(days=2)] = "Good Friday"
             if year >= LATEST_HOLIDAY[2]:
-                days.append(date(year, *LATEST_HOLIDAY[:2]))
-        return sorted(set(days))
+                days[date(year, *LATEST_HOLIDAY[:2])] = "Black Consciousness Day"
+        return days
+
+    def holidays(self) -> list[date]:
+        return sorted(self.named_holidays())
+
+    def version(self) -> str:
+        """A key of all that the calendar consists of."""
+        facts = [self.zone, self.windows, [f"{d}:{n}" for d, n in sorted(self.named_holidays().items())]]
+        return hashlib.sha256(json.dumps(facts).encode()).hexdigest()
 
 
 @dataclass(frozen=True)

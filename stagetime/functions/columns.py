@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CalendarSpec
 
-HOUR = 3_600_000_000
+HOUR, DAY = 3_600_000_000, 86_400_000_000
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -18,35 +19,52 @@ def micros(at: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, {at})")
 
 
-def local(at: Column, zone: str) -> Column:
-    """Local wall time of microseconds in UTC."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (at / F.lit(1_000_000)).cast("decimal(18,6)")))
+def local_micros(at: Column, zone: str) -> Column:
+    """Microseconds of the local wall clock since 1970; the session's zone plays no part."""
+    return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(at), zone))
+
+
+def _day_and_clock(at: Column, zone: str) -> tuple[Column, Column]:
+    wall = local_micros(at, zone)
+    clock = F.pmod(wall, F.lit(DAY))
+    return ((wall - clock) / DAY).cast("int"), clock
 
 
 def local_day(at: Column, zone: str) -> Column:
-    return F.to_date(local(at, zone))
-
-
-def _business_until(at: Column, spec: CalendarSpec) -> Column:
-    """Business microseconds from a fixed Monday up to an instant; differences of it are durations."""
-    wall = local(at, spec.zone)
-    day = F.to_date(wall)
-    index = F.unix_date(day) + 3  # 1969-12-29 was a Monday
-    holidays = F.array(*[F.lit(d) for d in spec.holidays()])
-    per_day = sum(b - a for a, b in spec.windows) * HOUR
-    lost = F.size(F.filter(holidays, lambda h: (h < day) & (F.weekday(h) < 5)))
-    full = F.lit(5) * F.floor(index / 7) + F.least(F.pmod(index, F.lit(7)), F.lit(5)) - lost
-    clock = (F.hour(wall) * 3600 + F.minute(wall) * 60).cast("long") * 1_000_000 + (F.extract(F.lit("SECOND"), wall) * 1_000_000).cast("long")
-    today = F.lit(0)
+    return F.date_from_unix_date(_day_and_clock(at, zone)[0])
+
+
+def _open_days(spec: CalendarSpec) -> tuple[int, Column]:
+    """The first day of the calendar since 1970, and how many open days lie before each of its days.
+
+    The column is a constant, which the optimizer folds into one array of a number for each day.
+    """
+    closed, day, upto = set(spec.holidays()), date(spec.years[0], 1, 1), [0]
+    first = (day - date(1970, 1, 1)).days
+    while day.year <= spec.years[1]:
+        upto.append(upto[-1] + (day.weekday() < 5 and day not in closed))
+        day += timedelta(days=1)
+    return first, F.split(F.lit(" ".join(map(str, upto))), " ").cast("array<int>")
+
+
+def _business_until(at: Column, spec: CalendarSpec, first: int, upto: Column) -> Column:
+    """Business microseconds from the calendar's first day up to an instant; differences are durations."""
+    day, clock = _day_and_clock(at, spec.zone)
+    before, after = F.get(upto, day - first), F.get(upto, day - first + 1)
+    today = F.lit(0).cast("long")
     for a, b in spec.windows:
         today = today + F.greatest(F.lit(0), F.least(clock, F.lit(b * HOUR)) - F.lit(a * HOUR))
-    open_today = (F.weekday(day) < 5) & ~F.array_contains(holidays, day)
-    return full * per_day + F.when(open_today, today).otherwise(F.lit(0))
+    return before.cast("long") * (sum(b - a for a, b in spec.windows) * HOUR) + (after - before) * today
 
 
 def business_micros(start: Column, end: Column, spec: CalendarSpec = CalendarSpec()) -> Column:
-    """Business time between two instants in microseconds; null if either is null, 0 if end <= start."""
-    return F.greatest(F.lit(0), _business_until(end, spec) - _business_until(start, spec)).cast("long")
+    """Business time between two instants in microseconds; 0 if end <= start.
+
+    Null if either is null or lies outside the calendar's years.
+    """
+    first, upto = _open_days(spec)
+    spent = _business_until(end, spec, first, upto) - _business_until(start, spec, first, upto)
+    return F.when(spent.isNotNull(), F.greatest(F.lit(0), spent))
 
 
 def strict_sum(value: Column) -> Column:

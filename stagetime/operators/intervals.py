@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.columns import local_day
+from ..functions.columns import DAY, local_day
 
 
 def by_case() -> WindowSpec:
@@ -45,7 +45,7 @@ def split_days(intervals: DataFrame, zone: str) -> DataFrame:
 
 
 def _day_start(day: Column, zone: str) -> Column:
-    return F.unix_micros(F.to_utc_timestamp(day.cast("timestamp"), zone))
+    return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(F.unix_date(day).cast("long") * DAY), zone))
 
 
 def as_of(left: DataFrame, right: DataFrame, value: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import local_day, strict_sum
 from .intervals import by_case, in_order
+from .quantiles import quantiles, running_total, with_quantiles
 
 DAY = 86_400_000_000
 
@@ -56,39 +57,30 @@ def daily(stays: DataFrame, zone: str, cut: int) -> DataFrame:
 def delivery_times(projects: DataFrame) -> DataFrame:
     """Percent rank, band and box-plot outlier of the time to the first delivery."""
     done = projects.filter("to_first_delivery is not null").select("case_id", "to_first_delivery")
-    # The rank counts over all rows, without a window of one partition: values are counted first.
     counts = done.groupBy("to_first_delivery").agg(F.count("*").alias("n"))
-    total = done.agg(F.count("*").alias("total"), *[F.percentile("to_first_delivery", p).alias(f"p{int(p * 100)}") for p in (0.25, 0.75)])
     below = running_total(counts, "to_first_delivery", "n")
-    rows = done.join(below, "to_first_delivery").crossJoin(F.broadcast(total))  # one row
+    box = quantiles(done, (), F.col("to_first_delivery"), {"p25": 0.25, "p75": 0.75}, 9).select("p25", "p75")
+    rows = done.join(below, "to_first_delivery").crossJoin(F.broadcast(box))  # one row
     days = F.col("to_first_delivery") / DAY
     band = F.when(days < 1, "under a day").when(days < 7, "under a week").otherwise("a week or more")
     return rows.select("case_id", "to_first_delivery", (F.col("upto") * 100.0 / F.col("total")).alias("percent_rank"), band.alias("band"), (F.col("to_first_delivery") > F.col("p75") + 1.5 * (F.col("p75") - F.col("p25"))).alias("outlier"))
 
 
-def running_total(rows: DataFrame, key: str, value: str, buckets: int = 64) -> DataFrame:
-    """key and upto, the sum of value over all keys up to it, without bringing all rows together.
+def references(stays: DataFrame, least: int = 15, cut: int | None = None, days: int = 365) -> DataFrame:
+    """P50, P80 and P90 of closed stays by status, null under least samples.
 
-    Keys are cut into ranges at quantiles; sums of the ranges, one row each, carry over.
+    With a cut, only stays that ended in the days before it are samples.
     """
-    edges = rows.select(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 10_000).alias("e"))
-    parted = rows.crossJoin(F.broadcast(edges)).withColumn("_part", F.size(F.filter("e", lambda x: x < F.col(key)))).drop("e")
-    inside = F.sum(value).over(Window.partitionBy("_part").orderBy(key))
-    sums = parted.groupBy("_part").agg(F.sum(value).alias("_n"))
-    carried = sums.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return parted.withColumn("_inside", inside).join(F.broadcast(carried), "_part").select(key, (F.col("_inside") + F.col("_before")).alias("upto"))
-
-
-def references(stays: DataFrame, least: int = 15) -> DataFrame:
-    """P50, P80 and P90 of closed stays by status, null under least samples."""
-    closed = stays.filter("ended is not null and status is not null").withColumn("v", (F.col("ended") - F.col("started")).cast("double"))
-    marks = [F.when(F.count("*") >= least, F.round(F.percentile("v", p), 3)).alias(f"p{int(p * 100)}") for p in (0.5, 0.8, 0.9)]
-    return closed.groupBy("status").agg(F.count("*").alias("samples"), *marks)
+    closed = stays.filter("ended is not null and status is not null")
+    if cut is not None:
+        closed = closed.filter((F.col("ended") > cut - days * DAY) & (F.col("ended") <= cut))
+    got = quantiles(closed, ("status",), F.col("ended") - F.col("started"), {"p50": 0.5, "p80": 0.8, "p90": 0.9})
+    return got.select("status", F.col("n").alias("samples"), *[F.when(F.col("n") >= least, F.col(p)).alias(p) for p in ("p50", "p80", "p90")])
 
 
 def alerts(open_stays: DataFrame, references: DataFrame) -> DataFrame:
     """Level of each open stay against its status' reference; unknown where there is none."""
-    rows = open_stays.join(F.broadcast(references), "status", "left")  # one row for each status
+    rows = open_stays.join(references, "status", "left")
     level = F.when(F.col("p80").isNull(), "unknown").when(F.col("age") > F.col("p90"), "critical").when(F.col("age") > F.col("p80"), "attention").otherwise("ok")
     return rows.select("case_id", "status", "age", level.alias("level"))
 
@@ -96,7 +88,9 @@ def alerts(open_stays: DataFrame, references: DataFrame) -> DataFrame:
 def bottlenecks(stays: DataFrame, zone: str) -> DataFrame:
     """By month of start and status: stays, closed ones, mean and median time."""
     value = (F.col("ended") - F.col("started")).cast("double")
-    return stays.filter("status is not null").groupBy(F.trunc(local_day(F.col("started"), zone), "month").alias("month"), "status").agg(F.count("*").alias("stays"), F.count("ended").alias("closed"), F.round(F.avg(value), 3).alias("mean_us"), F.round(F.percentile(value, 0.5), 3).alias("median_us"))
+    rows = stays.filter("status is not null").select(F.trunc(local_day(F.col("started"), zone), "month").alias("month"), "status", "started", "ended")
+    got = rows.groupBy("month", "status").agg(F.count("*").alias("stays"), F.count("ended").alias("closed"), F.round(F.avg(value), 3).alias("mean_us"))
+    return with_quantiles(got, rows, ("month", "status"), value, {"median_us": 0.5})
 
 
 def by_month(populations: dict[str, tuple[DataFrame, Column]]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import cycles, identity, intervals, model, quality, rules
+from ..operators import cycles, identity, intervals, model, quality, quantiles, rules
 from ..sources import logs
 from .binding import CUT, MODEL, SPEC, events_sql, intervals_sql, read, stays_sql, status_events
 from .binding import intervals as all_intervals
@@ -58,10 +58,8 @@ SELECT status, count(*) AS stays, count(ended) AS closed, round(avg((ended - sta
 def status_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.col("ended") - F.col("started")).cast("double")
     rows = all_intervals(spark, sf_dir).withColumn("b", C.business_micros(F.col("started"), F.col("seen_until"), SPEC))
-    return rows.groupBy("status").agg(
-        F.count("*").alias("stays"), F.count("ended").alias("closed"), F.round(F.avg(value), 3).alias("mean_us"), F.round(F.percentile(value, 0.5), 3).alias("median_us"),
-        F.round(F.percentile(value, 0.9), 3).alias("p90_us"), F.sum("b").alias("business"),
-    )
+    got = rows.groupBy("status").agg(F.count("*").alias("stays"), F.count("ended").alias("closed"), F.round(F.avg(value), 3).alias("mean_us"), F.sum("b").alias("business"))
+    return quantiles.with_quantiles(got, rows, ("status",), value, {"median_us": 0.5, "p90_us": 0.9})
 
 
 @query(intervals_sql(f"""SELECT case_id, status, make_timestamp(d)::DATE AS day, sum(least(seen_until {LOCAL}, d + 86400000000) - greatest(started {LOCAL}, d))::BIGINT AS spent
@@ -139,7 +137,9 @@ def cycle_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 round(avg(worked::DOUBLE), 3) AS mean_worked FROM cyc GROUP BY kind, state""", _CYCLES))
 def delivery_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     took = (F.col("closed") - F.col("started")).cast("double")
-    return cycles.cycle_table(all_stays(spark, sf_dir)).groupBy("kind", "state").agg(F.count("*").alias("cycles"), F.round(F.avg(took), 3).alias("mean_us"), F.round(F.percentile(took, 0.5), 3).alias("median_us"), F.round(F.avg(F.col("worked").cast("double")), 3).alias("mean_worked"))
+    rows = cycles.cycle_table(all_stays(spark, sf_dir))
+    got = rows.groupBy("kind", "state").agg(F.count("*").alias("cycles"), F.round(F.avg(took), 3).alias("mean_us"), F.round(F.avg(F.col("worked").cast("double")), 3).alias("mean_worked"))
+    return quantiles.with_quantiles(got, rows, ("kind", "state"), took, {"median_us": 0.5})
 
 
 @query(intervals_sql(""", t AS (SELECT *, (SELECT count(*) FROM iv a WHERE a.case_id = i.case_id AND a.position <= i.position AND a.status = 'Intake')

@@ -42,30 +42,34 @@ def decode(items: DataFrame, spec: dict[str, tuple[str, str]], labels: dict[str,
     by ' + '), people (sorted kind:id), text.  labels are those of the board's settings, of the size of a
     board's schema.  An unset or missing cell is null; a set one that can't be read is named in `unread`.
     """
-    cell = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["id"], c["value"])))
-    rows = items.withColumn("_cells", cell)
-    made, unread = [], []
+    by_id = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["id"], c["value"])))
+    rows = items.select("item_id", by_id.alias("_cells"))
+    raw, parsed, made, unread = [], [], [], []
     for field, (column, kind) in spec.items():
-        raw = F.nullif(F.try_element_at(F.col("_cells"), F.lit(column)), F.lit("null"))
-        known = labels.get(column, {})
+        value, known = F.col(f"_raw_{field}"), labels.get(column, {})
+        raw.append(F.nullif(F.try_element_at(F.col("_cells"), F.lit(column)), F.lit("null")).alias(f"_raw_{field}"))
         table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair]) if known else F.lit(None).cast("map<string,string>")
+        got = F.col(f"_in_{field}")
         if kind == "status":
-            index = F.get_json_object(raw, "$.index")
-            value, bad = F.try_element_at(table, index), index.isNotNull()
+            parsed.append(F.get_json_object(value, "$.index").alias(f"_in_{field}"))
+            cell = F.try_element_at(table, got)
         elif kind == "dropdown":
-            ids = F.from_json(F.get_json_object(raw, "$.ids"), "array<string>")
-            got = _looked_up(ids, table)
-            value, bad = F.when(~F.exists(got, lambda x: x.isNull()), F.array_join(got, " + ")), raw.isNotNull()
+            parsed.append(_looked_up(F.from_json(value, "ids array<string>")["ids"], table).alias(f"_in_{field}"))
+            cell = F.when(~F.exists(got, lambda x: x.isNull()), F.array_join(got, " + "))
         elif kind == "people":
-            entries = F.from_json(raw, PEOPLE)["personsAndTeams"]
-            value, bad = F.array_join(F.array_sort(F.transform(entries, lambda p: F.concat_ws(":", p["kind"], p["id"]))), " + "), raw.isNotNull()
+            parsed.append(F.from_json(value, PEOPLE)["personsAndTeams"].alias(f"_in_{field}"))
+            cell = F.array_join(F.array_sort(F.transform(got, lambda p: F.concat_ws(":", p["kind"], p["id"]))), " + ")
         elif kind == "text":
-            value, bad = F.from_json(F.concat(F.lit('{"v":'), raw, F.lit("}")), "v string")["v"], raw.isNotNull()
+            parsed.append(F.from_json(F.concat(F.lit('{"v":'), value, F.lit("}")), "v string")["v"].alias(f"_in_{field}"))
+            cell = got
         else:
             raise ValueError(f"unknown kind {kind}")
-        made.append(value.alias(field))
-        unread.append(F.when(bad & value.isNull(), F.lit(field)))
-    return rows.select("item_id", *made, F.array_join(F.array_compact(F.array(*unread)), ",").alias("unread"))
+        made.append(cell.alias(field))
+        unread.append(F.when(F.col(f"_set_{field}") & F.col(field).isNull(), F.lit(field)))
+        parsed.append((parsed[-1] if kind == "status" else value).isNotNull().alias(f"_set_{field}"))
+    # One projection after another, so that each cell is parsed once and not again for every use of it.
+    rows = rows.select("item_id", *raw).select("item_id", *parsed).select("item_id", *made, *[f"_set_{f}" for f in spec])
+    return rows.select("item_id", *spec, F.array_join(F.array_compact(F.array(*unread)), ",").alias("unread"))
 
 
 def catalogue(previous: DataFrame, current: DataFrame, at: int) -> DataFrame:

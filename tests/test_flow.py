@@ -1,6 +1,8 @@
 """Golden cases, invariants, sources and streams of the status flow."""
 
-from datetime import datetime, timezone
+import random
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,22 +16,57 @@ from stagetime.sources import logs
 SF = "/root/testdata/sf0.001"
 
 
+ZONE = ZoneInfo("America/Sao_Paulo")
+
+
 def at(text: str) -> int:
-    """Microseconds of local time in Sao Paulo, three hours behind UTC."""
-    return int(datetime.fromisoformat(text).replace(tzinfo=timezone.utc).timestamp() * 1e6) + 3 * HOUR
+    """Microseconds of local time in Sao Paulo."""
+    return int(datetime.fromisoformat(text).replace(tzinfo=ZONE).timestamp() * 1e6)
 
 
 @pytest.mark.parametrize(
     ("start", "end", "hours"),
     [
-        ("2026-09-01T00:00", "2026-09-02T00:00", 8), ("2026-09-01T12:30", "2026-09-01T14:30", 1), ("2026-09-01T13:00", "2026-09-01T14:00", 0), ("2026-09-01T07:00", "2026-09-01T10:00", 0),
-        ("2026-09-01T19:00", "2026-09-02T10:00", 0), ("2026-09-04T18:00", "2026-09-08T11:00", 2), ("2026-04-02T18:00", "2026-04-06T11:00", 2), ("2026-11-20T00:00", "2026-11-21T00:00", 0),
-        ("2023-11-20T00:00", "2023-11-21T00:00", 8), ("2026-02-17T00:00", "2026-02-18T00:00", 8), ("2026-01-01T00:00", "2026-01-02T00:00", 0), ("2026-09-01T11:00", "2026-09-01T11:00", 0),
+        ("2033-06-07T00:00", "2033-06-08T00:00", 8), ("2033-06-07T11:15", "2033-06-07T15:15", 3), ("2033-06-07T13:05", "2033-06-07T13:55", 0), ("2033-06-07T02:00", "2033-06-07T10:00", 0),
+        ("2033-06-07T19:00", "2033-06-08T10:00", 0), ("2033-06-10T17:30", "2033-06-13T10:45", 2.25), ("2033-04-14T16:00", "2033-04-18T12:00", 5), ("2034-11-20T00:00", "2034-11-21T00:00", 0),
+        ("2019-11-20T00:00", "2019-11-21T00:00", 8), ("2033-03-01T00:00", "2033-03-02T00:00", 8), ("2036-01-01T00:00", "2036-01-02T00:00", 0), ("2033-06-07T15:00", "2033-06-07T15:00", 0),
+        ("2033-06-08T15:00", "2033-06-07T15:00", 0), ("2101-02-01T00:00", "2101-02-02T00:00", None),
     ],
 )
 def test_business_hours(spark, start, end, hours):
     df = spark.createDataFrame([(at(start), at(end))], "a long, b long")
-    assert df.select(business_micros(F.col("a"), F.col("b"), CalendarSpec())).first()[0] == hours * HOUR
+    assert df.select(business_micros(F.col("a"), F.col("b"), CalendarSpec())).first()[0] == (None if hours is None else hours * HOUR)
+
+
+def test_business_hours_equal_a_day_loop(spark):
+    r, closed = random.Random(5), set(CalendarSpec().holidays())
+    rows = []
+    for _ in range(300):
+        a = datetime(r.randint(1995, 2060), r.randint(1, 12), r.randint(1, 28), r.randint(0, 23), r.randint(0, 59))
+        b = a + timedelta(minutes=r.randint(0, 200_000))
+        want, day = timedelta(), datetime(a.year, a.month, a.day)
+        while day <= b:
+            if day.weekday() < 5 and day.date() not in closed:
+                for lo, hi in ((10, 13), (14, 19)):
+                    want += max(timedelta(), min(b, day + timedelta(hours=hi)) - max(a, day + timedelta(hours=lo)))
+            day += timedelta(days=1)
+        rows.append((at(a.isoformat()), at(b.isoformat()), int(want / timedelta(microseconds=1))))
+    df = spark.createDataFrame(rows, "a long, b long, want long")
+    assert df.filter(~business_micros(F.col("a"), F.col("b")).eqNullSafe(F.col("want"))).count() == 0
+
+
+def test_quantiles_equal_numpy(spark):
+    import numpy as np
+
+    from stagetime.operators.quantiles import quantiles
+
+    r = random.Random(2)
+    rows = [(g, float(r.choice([r.randint(0, 5), r.randint(0, 10**6)]))) for g in ("a", "b", None) for _ in range(500)] + [("c", 7.0), ("d", None)]
+    got = quantiles(spark.createDataFrame(rows, "g string, v double"), ("g",), F.col("v"), {"p10": 0.1, "p50": 0.5, "p93": 0.93}).collect()
+    for x in got:
+        v = [b for a, b in rows if a == x["g"] and b is not None]
+        assert x["n"] == len(v) and [x["p10"], x["p50"], x["p93"]] == [round(float(q), 3) for q in np.quantile(v, [0.1, 0.5, 0.93])]
+    assert {x["g"] for x in got} == {"a", "b", "c", None}
 
 
 def test_event_times(spark):
