@@ -20,7 +20,9 @@ class StatusModel:
     waiting: tuple[str, ...] = ("Waiting on brand",)
     standby: tuple[str, ...] = ("Standby",)
     delivery: tuple[str, ...] = ("Awaiting feedback",)
-    terminal: tuple[str, ...] = ("Closed",)
+    terminal: tuple[str, ...] = ("Closed", "Approved", "Declined", "No return")
+    #: What a terminal status says about a delivery before it; any other is a closing without an answer.
+    answers: tuple[tuple[str, str], ...] = (("Approved", "approved"), ("Declined", "declined"), ("No return", "no_return"))
 
     def role(self, status: Column) -> Column:
         out = F.when(status.isin(*self.delivery), "delivery").when(status.isin(*self.standby), "standby")
@@ -70,6 +72,10 @@ class CalendarSpec:
         return hashlib.sha256(json.dumps(facts).encode()).hexdigest()
 
 
+# What separates names in one text.
+SEPARATORS = r"[,;\n\r+]|\s[&/]\s"
+
+
 @dataclass(frozen=True)
 class ScopeRules:
     """Titles that are out of scope: words anywhere, and prefixes past opening brackets."""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import strict_sum
+from ..config import StatusModel
+from ..functions.columns import local_day, strict_sum
 from .intervals import by_case, in_order
 
 
@@ -76,17 +77,35 @@ def merged_deliveries(stays: DataFrame) -> DataFrame:
     return rows.groupBy("case_id", "_island").agg(F.min("position").alias("position"), F.max("position").alias("last_position"), F.min("started").alias("started"), F.max_by("ended", "position").alias("ended")).drop("_island")
 
 
-def client_responses(stays: DataFrame, zone_days: int = 28, zone_until: int = 31) -> DataFrame:
+def client_responses(stays: DataFrame, model: StatusModel, zone: str, automatic: tuple[int, int] = (28, 31)) -> DataFrame:
     """What came after each delivery: the next decisive stay, or why there is none.
 
-    Work means changes were asked for, another delivery a new version, terminal an approval; a terminal
-    stay that comes zone_days to zone_until days after is the automatic closing.
+    Work means changes were asked for, another delivery a new version; a terminal status is the answer that
+    the model names for it.  Any other terminal status is the automatic closing if it came so many local days
+    after, else a closing.  With only pauses after it the delivery is paused, with nothing it is waiting.
+    counts says whether the outcome is the client's own doing.
     """
     after = in_order().rowsBetween(1, Window.unboundedFollowing)
-    decisive = F.first(F.when(F.col("role").isin("work", "delivery", "terminal"), F.struct("role", "started")), ignorenulls=True).over(after)
-    rows = stays.withColumn("_d", decisive).withColumn("_next", F.lead("role").over(in_order())).filter("role = 'delivery'")
-    days = F.floor((F.col("_d.started") - F.col("started")) / F.lit(86_400_000_000))
-    outcome = F.when(F.col("_d.role") == "work", "changes").when(F.col("_d.role") == "delivery", "new_version")
-    outcome = outcome.when((F.col("_d.role") == "terminal") & days.between(zone_days, zone_until), "closed_automatically").when(F.col("_d.role") == "terminal", "approved")
-    outcome = outcome.when(F.col("_next").isNotNull(), "paused").otherwise("waiting")
-    return rows.select("case_id", "position", "started", outcome.alias("outcome"), (F.col("_d.started") - F.col("started")).alias("waited"))
+    decisive = F.first(F.when(F.col("role").isin("work", "delivery", "terminal"), F.struct("role", "status", "started")), ignorenulls=True).over(after)
+    rows = stays.withColumn("_d", decisive).withColumn("_p", F.lead(F.struct("role", "status", "started")).over(in_order())).filter("role = 'delivery'")
+    rows = rows.withColumn("_n", F.coalesce("_d", "_p"))
+    days = F.date_diff(local_day(F.col("_n.started"), zone), local_day(F.col("started"), zone))
+    answer = F.when(days.between(*automatic), "closed_automatically").otherwise("closed")
+    for status, name in model.answers:
+        answer = F.when(F.col("_d.status") == status, name).otherwise(answer)
+    outcome = F.when(F.col("_d.role") == "work", "changes").when(F.col("_d.role") == "delivery", "new_version").when(F.col("_d").isNotNull(), answer)
+    outcome = outcome.when(F.col("_p").isNotNull(), "paused").otherwise("waiting")
+    rows = rows.withColumn("outcome", outcome).withColumn("counts", ~F.col("outcome").isin("paused", "no_return", "closed_automatically"))
+    return rows.select("case_id", "position", "status", "started", "ended", "outcome", F.col("_n.status").alias("next_status"), "counts", days.alias("days"), (F.col("_d.started") - F.col("started")).alias("waited"))
+
+
+def cycle_steps(stays: DataFrame) -> DataFrame:
+    """One row for each cycle and status of assign_cycles(stays): visits, null-strict time, share of the cycle's work."""
+    inside = Window.partitionBy("case_id", "cycle", "status").orderBy("position")
+    rows = stays.filter("cycle is not null and status is not null").withColumn("_v", F.coalesce((F.lag("position").over(inside) != F.col("position") - 1).cast("int"), F.lit(1)))
+    steps = rows.groupBy("case_id", "cycle", "kind", "status", "role").agg(F.sum("_v").alias("visits"), F.min("started").alias("first_entered"), strict_sum(F.col("ended") - F.col("started")).alias("spent"))
+    whole, is_work = Window.partitionBy("case_id", "cycle"), F.col("role") == "work"
+    unknown = F.max((is_work & F.col("spent").isNull()).cast("int")).over(whole)
+    steps = steps.withColumn("worked", F.when(unknown == 0, F.coalesce(F.sum(F.when(is_work, F.col("spent"))).over(whole), F.lit(0).cast("long"))))
+    share = F.when((F.col("role") == "work") & (F.col("worked") > 0), F.round(100.0 * F.col("spent") / F.col("worked"), 6))
+    return steps.withColumn("share", share)

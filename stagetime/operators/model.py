@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import SEPARATORS, CalendarSpec
 from ..functions.columns import local_day, strict_sum
 from .intervals import by_case, in_order
 from .quantiles import quantiles, running_total, with_quantiles
@@ -66,15 +69,16 @@ def delivery_times(projects: DataFrame) -> DataFrame:
     return rows.select("case_id", "to_first_delivery", (F.col("upto") * 100.0 / F.col("total")).alias("percent_rank"), band.alias("band"), (F.col("to_first_delivery") > F.col("p75") + 1.5 * (F.col("p75") - F.col("p25"))).alias("outlier"))
 
 
-def references(stays: DataFrame, least: int = 15, cut: int | None = None, days: int = 365) -> DataFrame:
-    """P50, P80 and P90 of closed stays by status, null under least samples.
+def references(stays: DataFrame, responses: DataFrame, cut: int, days: int = 365, least: int = 15) -> DataFrame:
+    """P50, P80 and P90 by status over the stays that began in the days before the cut, null under least samples.
 
-    With a cut, only stays that ended in the days before it are samples.
+    Samples are closed work and waiting stays, and deliveries whose response counts: an automatic closing
+    would measure the automation.
     """
-    closed = stays.filter("ended is not null and status is not null")
-    if cut is not None:
-        closed = closed.filter((F.col("ended") > cut - days * DAY) & (F.col("ended") <= cut))
-    got = quantiles(closed, ("status",), F.col("ended") - F.col("started"), {"p50": 0.5, "p80": 0.8, "p90": 0.9})
+    recent = (F.col("ended").isNotNull()) & (F.col("started") >= cut - days * DAY)
+    own = stays.filter(recent & F.col("role").isin("work", "waiting")).select("status", "started", "ended")
+    answered = responses.filter(recent & F.col("counts") & (F.col("outcome") != "waiting")).select("status", "started", "ended")
+    got = quantiles(own.unionByName(answered), ("status",), F.col("ended") - F.col("started"), {"p50": 0.5, "p80": 0.8, "p90": 0.9})
     return got.select("status", F.col("n").alias("samples"), *[F.when(F.col("n") >= least, F.col(p)).alias(p) for p in ("p50", "p80", "p90")])
 
 
@@ -112,15 +116,24 @@ def coverage(sources: list[tuple[str, DataFrame]]) -> DataFrame:
     return out.groupBy("case_id").agg(F.min("rank").alias("rank")).groupBy(F.element_at(names, F.col("rank") + 1).alias("source")).agg(F.count("*").alias("cases"))
 
 
-def status_dimension(intervals: DataFrame) -> DataFrame:
-    return intervals.filter("status is not null").groupBy("status", "role").agg(F.count("*").alias("uses"), F.count_distinct("case_id").alias("cases"), F.min("started").alias("first_use"), F.max("started").alias("last_use"))
+def status_dimension(intervals: DataFrame, zone: str, cut: int) -> DataFrame:
+    """Use of each status: in all, in the 365 days before the cut and in its year; first and last use."""
+    last = local_day(F.lit(cut - 1), zone)
+    recent, this_year = F.col("started") >= cut - 365 * DAY, F.year(local_day(F.col("started"), zone)) == F.year(last)
+    return intervals.filter("status is not null").groupBy("status", "role").agg(
+        F.count("*").alias("uses"), F.count_if(recent).alias("uses_in_365_days"), F.count_if(this_year).alias("uses_this_year"), F.count_distinct("case_id").alias("cases"), F.min("started").alias("first_use"), F.max("started").alias("last_use")
+    )
 
 
-def calendar(first: Column, last: Column, one_row: DataFrame) -> DataFrame:
-    days = one_row.select(F.explode(F.sequence(first, last)).alias("day"))
-    return days.select("day", F.year("day").alias("year"), F.month("day").alias("month"), F.weekofyear("day").alias("iso_week"), F.extract(F.lit("YEAROFWEEK"), "day").cast("int").alias("iso_year"), (F.weekday("day") + 1).alias("iso_weekday"))
+def calendar(first: Column, last: Column, one_row: DataFrame, spec: CalendarSpec) -> DataFrame:
+    """One row for each day: parts of the date, the holiday's name, whether it is a business day, the calendar's version."""
+    names = spec.named_holidays()
+    known = F.from_json(F.lit(json.dumps({str(d): n for d, n in names.items()})), "map<string,string>")
+    days = one_row.select(F.explode(F.sequence(first, last)).alias("day")).withColumn("holiday", F.try_element_at(known, F.col("day").cast("string")))
+    parts = F.year("day").alias("year"), F.month("day").alias("month"), F.weekofyear("day").alias("iso_week"), F.extract(F.lit("YEAROFWEEK"), "day").cast("int").alias("iso_year"), (F.weekday("day") + 1).alias("iso_weekday")
+    return days.select("day", *parts, "holiday", ((F.weekday("day") < 5) & F.col("holiday").isNull()).alias("is_business_day"), F.lit(spec.version()).alias("version"))
 
 
 def name_bridge(rows: DataFrame, key: str, names: str) -> DataFrame:
     """key and each name of a list in one text, split at commas, semicolons, plus signs, line ends, & and /."""
-    return rows.select(key, F.explode(F.split(names, r"[,;\n\r+]|\s[&/]\s")).alias("name")).select(key, F.trim("name").alias("name")).filter("name <> ''").distinct()
+    return rows.select(key, F.explode(F.split(names, SEPARATORS)).alias("name")).select(key, F.trim("name").alias("name")).filter("name <> ''").distinct()

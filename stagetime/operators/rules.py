@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ScopeRules
+from ..config import SEPARATORS, ScopeRules
 from ..functions.columns import folded
 
 
@@ -38,9 +38,6 @@ def is_pool(reasons: Column, pool: list[str]) -> Column:
     return (F.size(reasons) > 0) & (F.size(F.array_except(reasons, F.array(*map(F.lit, pool)))) == 0)
 
 
-SEVERAL = r"[,;\n\r+]|\s[&/]\s"
-
-
 def talent_reasons(names: Column, other: Column, collectives: tuple[str, ...] = ("group", "various"), squad: str = "squad") -> Column:
     """Why a case's people aren't one person: names is the list of one column, other the text of a second.
 
@@ -53,7 +50,7 @@ def talent_reasons(names: Column, other: Column, collectives: tuple[str, ...] =
     tests = {
         "both_columns": (F.size(names) > 0) & (other != "") & ~F.coalesce(same, F.lit(False)),
         "none": F.size(every) == 0,
-        "several": (F.size(names) > 1) | F.exists(every, lambda n: F.regexp_like(n, F.lit(SEVERAL))),
+        "several": (F.size(names) > 1) | F.exists(every, lambda n: F.regexp_like(n, F.lit(SEPARATORS))),
         "collective": F.exists(every, lambda n: folded(n).isin(*collectives)),
         "squad": F.exists(every, lambda n: F.regexp_like(folded(n), F.lit(rf"\b{squad}\b"))),
     }
@@ -64,7 +61,7 @@ def talent_situation(names: Column, other: Column) -> Column:
     """How sure the one name of a register is: none, both, several, review or single; null names: unregistered."""
     n = F.size(F.filter(names, lambda x: F.trim(x) != ""))
     text = F.coalesce(F.trim(other), F.lit(""))
-    return F.when(names.isNull(), "unregistered").when((n == 0) & (text == ""), "none").when((n > 0) & (text != ""), "both").when(n > 1, "several").when(F.regexp_like(text, F.lit(r"[,;\n\r+&/]")), "review").otherwise("single")
+    return F.when(names.isNull(), "unregistered").when((n == 0) & (text == ""), "none").when((n > 0) & (text != ""), "both").when(n > 1, "several").when(F.regexp_like(F.concat(F.lit(" "), F.regexp_replace(text, "([&/])", " $1 ")), F.lit(SEPARATORS)), "review").otherwise("single")
 
 
 def cell_state(present: Column, value: Column) -> Column:

@@ -25,7 +25,7 @@ def status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     status = F.when(kind == "signup", "Intake").when(kind == "view", F.when(k % 2 == 0, "Drafting").otherwise("In review"))
     status = status.when(kind == "click", F.when(k % 3 == 0, "Standby").when(k % 3 == 1, "Waiting on brand").otherwise("Drafting"))
-    status = status.when(kind == "purchase", "Awaiting feedback").when((kind == "error") & (k % 5 != 0), "Closed")
+    status = status.when(kind == "purchase", "Awaiting feedback").when((kind == "error") & (k % 5 != 0), F.when(k % 5 == 1, "Approved").when(k % 5 == 2, "Declined").when(k % 5 == 3, "No return").otherwise("Closed"))
     case = F.col("user_id") * 10 + F.floor((F.dayofmonth("ts") - 1) / 5)
     account = F.when(F.col("ts") < F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'"), "A").otherwise("B")
     return read(spark, sf_dir, "events").select(case.alias("case_id"), "event_id", micros("ts").alias("at"), account.alias("account"), status.alias("status"), "user_id", k.alias("k"), "event_type")
@@ -47,7 +47,7 @@ ev AS (SELECT event_id, user_id, epoch_us(ts) AS "at", user_id * 10 + (day(ts) -
 bound AS (SELECT *, CASE event_type WHEN 'signup' THEN 'Intake' WHEN 'purchase' THEN 'Awaiting feedback'
        WHEN 'view' THEN CASE WHEN k % 2 = 0 THEN 'Drafting' ELSE 'In review' END
        WHEN 'click' THEN CASE k % 3 WHEN 0 THEN 'Standby' WHEN 1 THEN 'Waiting on brand' ELSE 'Drafting' END
-       WHEN 'error' THEN CASE WHEN k % 5 <> 0 THEN 'Closed' END END AS status FROM ev)"""
+       WHEN 'error' THEN CASE k % 5 WHEN 1 THEN 'Approved' WHEN 2 THEN 'Declined' WHEN 3 THEN 'No return' WHEN 4 THEN 'Closed' END END AS status FROM ev)"""
 _INTERVALS = (
     _EVENTS
     + f""",
@@ -56,7 +56,7 @@ changed AS (SELECT * FROM marked WHERE rn = 1 OR was IS DISTINCT FROM status),
 iv AS (SELECT case_id, event_id, account, status, "at" AS started, lead("at") OVER w AS ended, row_number() OVER w AS position,
        row_number() OVER (PARTITION BY case_id, status ORDER BY "at", event_id) AS visit, coalesce(lead("at") OVER w, {CUT}) AS seen_until,
        CASE WHEN status IN ('Intake', 'Drafting', 'In review') THEN 'work' WHEN status = 'Waiting on brand' THEN 'waiting' WHEN status = 'Standby' THEN 'standby'
-            WHEN status = 'Awaiting feedback' THEN 'delivery' WHEN status = 'Closed' THEN 'terminal' ELSE 'unknown' END AS role
+            WHEN status = 'Awaiting feedback' THEN 'delivery' WHEN status IN ('Closed', 'Approved', 'Declined', 'No return') THEN 'terminal' ELSE 'unknown' END AS role
        FROM changed WINDOW w AS (PARTITION BY case_id ORDER BY "at", event_id))"""
 )
 _STAYS = (

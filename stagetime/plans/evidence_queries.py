@@ -72,7 +72,7 @@ def _two_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TWO = f""", tw AS (SELECT *, user_id * 4 + "at" // {HOUR} % 24 // 6 AS c FROM bound WHERE "at" < {CUT}),
 tm AS (SELECT *, row_number() OVER w AS rn, lag(status) OVER w AS was FROM tw WINDOW w AS (PARTITION BY c, account ORDER BY "at", event_id)),
 ta AS (SELECT c AS case_id, event_id, account, status, "at" AS started, lead("at") OVER (PARTITION BY c, account ORDER BY "at", event_id) AS ended,
-  CASE WHEN status IN ('Intake', 'Drafting', 'In review') THEN 'work' WHEN status = 'Waiting on brand' THEN 'waiting' WHEN status = 'Standby' THEN 'standby' WHEN status = 'Awaiting feedback' THEN 'delivery' WHEN status = 'Closed' THEN 'terminal' ELSE 'unknown' END AS role
+  CASE WHEN status IN ('Intake', 'Drafting', 'In review') THEN 'work' WHEN status = 'Waiting on brand' THEN 'waiting' WHEN status = 'Standby' THEN 'standby' WHEN status = 'Awaiting feedback' THEN 'delivery' WHEN status IN ('Closed', 'Approved', 'Declined', 'No return') THEN 'terminal' ELSE 'unknown' END AS role
   FROM tm WHERE rn = 1 OR was IS DISTINCT FROM status)"""
 _LIVE = _TWO + f""", tp AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY started, event_id) AS p FROM ta),
 tk AS (SELECT case_id, min(p) AS f FROM tp WHERE role <> 'unknown' GROUP BY case_id),

@@ -158,24 +158,39 @@ def merged_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cycles.merged_deliveries(all_stays(spark, sf_dir))
 
 
-_RESPONSES = """, nxt AS (SELECT s.case_id, s.position, s.started, (SELECT min(n.position) FROM stays n WHERE n.case_id = s.case_id AND n.position > s.position AND n.role IN ('work', 'delivery', 'terminal')) AS d,
-(SELECT count(*) FROM stays n WHERE n.case_id = s.case_id AND n.position > s.position) AS follow FROM stays s WHERE s.role = 'delivery'),
-resp AS (SELECT x.case_id, x.position, x.started, CASE WHEN n.role = 'work' THEN 'changes' WHEN n.role = 'delivery' THEN 'new_version'
-  WHEN n.role = 'terminal' AND (n.started - x.started) // 86400000000 BETWEEN 28 AND 31 THEN 'closed_automatically' WHEN n.role = 'terminal' THEN 'approved' WHEN follow > 0 THEN 'paused' ELSE 'waiting' END AS outcome,
-  n.started - x.started AS waited FROM nxt x LEFT JOIN stays n ON n.case_id = x.case_id AND n.position = x.d)"""
+_RESPONSES = f""", nxt AS (SELECT s.case_id, s.position, s.status, s.started, s.ended, (SELECT min(n.position) FROM stays n WHERE n.case_id = s.case_id AND n.position > s.position AND n.role IN ('work', 'delivery', 'terminal')) AS d,
+(SELECT min(n.position) FROM stays n WHERE n.case_id = s.case_id AND n.position > s.position) AS f FROM stays s WHERE s.role = 'delivery'),
+rd AS (SELECT x.*, n.status AS next_status, n.role AS nr, (n.started {LOCAL}) // 86400000000 - (x.started {LOCAL}) // 86400000000 AS days, CASE WHEN d IS NOT NULL THEN n.started - x.started END AS waited
+  FROM nxt x LEFT JOIN stays n ON n.case_id = x.case_id AND n.position = coalesce(x.d, x.f)),
+ro AS (SELECT *, CASE WHEN d IS NULL THEN CASE WHEN f IS NULL THEN 'waiting' ELSE 'paused' END WHEN nr = 'work' THEN 'changes' WHEN nr = 'delivery' THEN 'new_version' WHEN next_status = 'Approved' THEN 'approved'
+  WHEN next_status = 'Declined' THEN 'declined' WHEN next_status = 'No return' THEN 'no_return' WHEN days BETWEEN 28 AND 31 THEN 'closed_automatically' ELSE 'closed' END AS outcome FROM rd),
+resp AS (SELECT case_id, position, status, started, ended, outcome, next_status, outcome NOT IN ('paused', 'no_return', 'closed_automatically') AS counts, days, waited FROM ro)"""
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cycles.client_responses(all_stays(spark, sf_dir), MODEL, ZONE)
 
 
 @query(stays_sql("SELECT * FROM resp", _RESPONSES))
 def client_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.client_responses(all_stays(spark, sf_dir))
+    return _responses(spark, sf_dir)
 
 
 @query(stays_sql("SELECT outcome, count(*) AS deliveries, round(avg(waited::DOUBLE), 3) AS mean_wait, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS share FROM resp GROUP BY outcome", _RESPONSES))
 def outcome_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = cycles.client_responses(all_stays(spark, sf_dir)).groupBy("outcome").agg(F.count("*").alias("deliveries"), F.round(F.avg(F.col("waited").cast("double")), 3).alias("mean_wait"))
+    got = _responses(spark, sf_dir).groupBy("outcome").agg(F.count("*").alias("deliveries"), F.round(F.avg(F.col("waited").cast("double")), 3).alias("mean_wait"))
     return got.withColumn("share", F.round(F.col("deliveries") * 100.0 / F.sum("deliveries").over(Window.partitionBy()), 6))
 
 
+@query(stays_sql("""SELECT case_id, cycle, kind, status, role, sum(v)::BIGINT AS visits, min(started) AS first_entered, CASE WHEN count(*) = count(ended) THEN sum(ended - started) END::BIGINT AS spent, any_value(w)::BIGINT AS worked,
+CASE WHEN role = 'work' AND any_value(w) > 0 THEN round(100.0::DOUBLE * CASE WHEN count(*) = count(ended) THEN sum(ended - started) END / any_value(w), 6) END AS share
+FROM (SELECT *, CASE WHEN coalesce(lag(position) OVER (PARTITION BY case_id, cycle, status ORDER BY position) <> position - 1, true) THEN 1 ELSE 0 END AS v,
+  CASE WHEN count_if(role = 'work' AND ended IS NULL) OVER c = 0 THEN coalesce(sum(CASE WHEN role = 'work' THEN ended - started END) OVER c, 0) END AS w
+  FROM stays WHERE cycle IS NOT NULL AND status IS NOT NULL WINDOW c AS (PARTITION BY case_id, cycle)) GROUP BY case_id, cycle, kind, status, role"""))
+def cycle_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cycles.cycle_steps(all_stays(spark, sf_dir))
+
+
 _PROJECTS = f""", lastp AS (SELECT case_id, max(position) AS p FROM stays GROUP BY case_id),
 proj AS (SELECT s.case_id, min(s.started) AS opened, count(*) AS stays, count_if(s.role = 'delivery')::BIGINT AS deliveries, count(DISTINCT s.cycle) AS cycles, min(CASE WHEN s.role = 'delivery' THEN s.started END) AS first_delivery,
   min(CASE WHEN s.role = 'delivery' THEN s.started END) - min(s.started) AS to_first_delivery, string_agg(DISTINCT s.account, '+' ORDER BY s.account) AS accounts, any_value(l.status) AS status,
@@ -224,20 +239,24 @@ def delivery_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.delivery_times(model.projects(all_stays(spark, sf_dir), CUT)).withColumn("percent_rank", F.round("percent_rank", 6))
 
 
-_REFERENCES = """, ref AS (SELECT status, count(*) AS samples, CASE WHEN count(*) >= 15 THEN round(quantile_cont((ended - started)::DOUBLE, 0.5), 3) END AS p50, CASE WHEN count(*) >= 15 THEN round(quantile_cont((ended - started)::DOUBLE, 0.8), 3) END AS p80,
-CASE WHEN count(*) >= 15 THEN round(quantile_cont((ended - started)::DOUBLE, 0.9), 3) END AS p90 FROM stays WHERE ended IS NOT NULL AND status IS NOT NULL GROUP BY status)"""
+_REFERENCES = _RESPONSES + f""", smp AS (SELECT status, ended - started AS v FROM stays WHERE ended IS NOT NULL AND role IN ('work', 'waiting') AND started >= {CUT - 365 * 86_400_000_000}
+  UNION ALL SELECT status, ended - started FROM resp WHERE counts AND outcome <> 'waiting' AND ended IS NOT NULL AND started >= {CUT - 365 * 86_400_000_000}),
+ref AS (SELECT status, count(*) AS samples, {', '.join(f"CASE WHEN count(*) >= 15 THEN round(quantile_cont(v::DOUBLE, 0.{p}), 3) END AS p{p}0" for p in (5, 8, 9))} FROM smp GROUP BY status)"""
+
+
+def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.references(all_stays(spark, sf_dir), _responses(spark, sf_dir), CUT)
 
 
 @query(stays_sql("SELECT * FROM ref", _REFERENCES))
 def status_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.references(all_stays(spark, sf_dir))
+    return _references(spark, sf_dir)
 
 
 @query(stays_sql(f"""SELECT s.case_id, s.status, {CUT} - s.started AS age, CASE WHEN p80 IS NULL THEN 'unknown' WHEN {CUT} - s.started > p90 THEN 'critical' WHEN {CUT} - s.started > p80 THEN 'attention' ELSE 'ok' END AS level
 FROM stays s LEFT JOIN ref ON ref.status = s.status WHERE s.ended IS NULL AND s.role <> 'terminal'""", _REFERENCES))
 def open_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = all_stays(spark, sf_dir)
-    return model.alerts(model.ongoing(rows, CUT), model.references(rows))
+    return model.alerts(model.ongoing(all_stays(spark, sf_dir), CUT), _references(spark, sf_dir))
 
 
 @query(stays_sql(f"""SELECT date_trunc('month', make_timestamp(started {LOCAL}))::DATE AS month, status, count(*) AS stays, count(ended) AS closed, round(avg((ended - started)::DOUBLE), 3) AS mean_us, round(quantile_cont((ended - started)::DOUBLE, 0.5), 3) AS median_us
@@ -259,16 +278,19 @@ def case_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.coverage([("measured", all_stays(spark, sf_dir).select("case_id").distinct()), ("no intake", all_intervals(spark, sf_dir).select("case_id").distinct())])
 
 
-@query(intervals_sql("SELECT status, role, count(*) AS uses, count(DISTINCT case_id) AS cases, min(started) AS first_use, max(started) AS last_use FROM iv WHERE status IS NOT NULL GROUP BY status, role"))
+@query(intervals_sql(f"SELECT status, role, count(*) AS uses, count_if(started >= {CUT - 365 * 86_400_000_000})::BIGINT AS uses_in_365_days, count_if(year(make_timestamp(started {LOCAL})) = 2024)::BIGINT AS uses_this_year, count(DISTINCT case_id) AS cases, min(started) AS first_use, max(started) AS last_use FROM iv WHERE status IS NOT NULL GROUP BY status, role"))
 def status_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.status_dimension(all_intervals(spark, sf_dir))
+    return model.status_dimension(all_intervals(spark, sf_dir), ZONE, CUT)
+
+
+_NAMED = ", ".join(f"(DATE '{d}', '{n}')" for d, n in SPEC.named_holidays().items() if d.year == 2024)
 
 
-@query("""SELECT day::DATE AS day, year(day) AS year, month(day) AS month, week(day) AS iso_week, isoyear(day) AS iso_year, isodow(day) AS iso_weekday
-FROM (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS day FROM events)""")
+@query(f"""SELECT day::DATE AS day, year(day) AS year, month(day) AS month, week(day) AS iso_week, isoyear(day) AS iso_year, isodow(day) AS iso_weekday, h.name AS holiday, isodow(day) < 6 AND h.name IS NULL AS is_business_day, '{SPEC.version()}' AS version
+FROM (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS day FROM events) LEFT JOIN (VALUES {_NAMED}) h(d, name) ON d = day::DATE""")
 def calendar_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = read(spark, sf_dir, "events").agg(F.min("ts").cast("date").alias("a"), F.max("ts").cast("date").alias("b"))
-    return model.calendar(F.col("a"), F.col("b"), span)
+    return model.calendar(F.col("a"), F.col("b"), span, SPEC)
 
 
 @query("""SELECT DISTINCT p_partkey, trim(unnest(string_split_regex(p_name || ' / ' || p_brand || '; ' || p_type, '[,;\\n\\r+]|\\s[&/]\\s'))) AS name FROM part""")
