@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
+from collections.abc import Callable
 from datetime import date, timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,11 +93,76 @@ _ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿ"
 _PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 
 
+def _normalised(form: str, strip: bool) -> Callable[[pd.Series], pd.Series]:
+    def one(text: str | None) -> str | None:
+        if text is None:
+            return None
+        text = unicodedata.normalize(form, text)
+        return "".join(c for c in text if not unicodedata.combining(c)).casefold() if strip else text
+
+    return lambda values: values.map(one, na_action="ignore")
+
+
+def composed(value: Column) -> Column:
+    """Unicode NFC, in Arrow batches: Spark has no function for it."""
+    return F.pandas_udf(_normalised("NFC", False), "string")(value)
+
+
+def plain_letters(value: Column) -> Column:
+    """NFKD without combining marks, case folded: what folded() does for Latin letters, for all of Unicode."""
+    return F.pandas_udf(_normalised("NFKD", True), "string")(value)
+
+
 def clean_text(value: Column) -> Column:
     """White space squeezed and trimmed; blank becomes null."""
     return F.nullif(F.trim(F.regexp_replace(value, r"\s+", " ")), F.lit(""))
 
 
+def source_key(value: Column) -> Column:
+    """Key of a name as its source writes it: clean and in lower case, accents kept."""
+    return F.lower(clean_text(value))
+
+
+def text_list(value: Column) -> Column:
+    """The strings of a JSON array; null for anything else."""
+    return F.from_json(value, "array<string>")
+
+
+def list_text(values: Column) -> Column:
+    """A JSON array of the distinct strings, sorted; an empty array for null."""
+    return F.to_json(F.array_sort(F.array_distinct(F.coalesce(values, F.array().cast("array<string>")))))
+
+
+def without_invalid(value: Column, marks: tuple[str, ...] = ("unknown", "deleted", "#")) -> Column:
+    """A person's label, or null if it is blank or holds a mark of labels that name nobody."""
+    text, bad = clean_text(value), F.lit(False)
+    for m in marks:
+        bad = bad | F.contains(F.lower(text), F.lit(m))
+    return F.when(~bad, text)
+
+
+def zoned_micros(value: Column) -> Column:
+    """Microseconds of ISO text with a zone; text without one, and anything else, is null."""
+    zoned = F.regexp_like(value, F.lit(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})$"))
+    return F.when(zoned, F.unix_micros(F.try_to_timestamp(value)))
+
+
+def iso_text(at: Column) -> Column:
+    """Microseconds as ISO text in UTC, with six decimals and a Z."""
+    day, clock = _day_and_clock(at, "UTC")
+    seconds = F.floor(clock / 1_000_000)
+    time = F.format_string("T%02d:%02d:%02d.%06dZ", F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60, clock % 1_000_000)
+    return F.when(at.isNotNull(), F.concat(F.date_from_unix_date(day).cast("string"), time))
+
+
+def first_time(**sources: Column) -> Column:
+    """Struct at, source: the first of several times that is known, and which it is."""
+    at, name = F.coalesce(*sources.values()), F.lit(None).cast("string")
+    for key, column in reversed(sources.items()):
+        name = F.when(column.isNotNull(), F.lit(key)).otherwise(name)
+    return F.struct(at.alias("at"), name.alias("source"))
+
+
 def folded(value: Column) -> Column:
     """Lower case without accents, white space squeezed."""
     return F.trim(F.regexp_replace(F.translate(F.lower(value), _ACCENTED, _PLAIN), r"\s+", " "))

@@ -45,17 +45,32 @@ def similarity_ratio(a: str, b: str) -> Column:
 
 
 def probable_spellings(names: DataFrame, least: float = 0.9) -> DataFrame:
-    """names(name, uses): for each, the more used names that it may be a spelling of.
+    """name, of, rule of names(name, uses): the most used of the more used names that each may be a spelling of.
 
-    A name qualifies by the ratio of matching blocks.  Two names of ratio r share at least r/2 of the
-    letters of both, so the longer has at most (2 - r)/r times the letters of the shorter, and names of at
-    least three letters that reach 0.9 share their two-letter pieces; pairs come from a join on these.
+    Rule prefix: a name's words are the first words of the other.  Rule ratio: both have five characters at
+    least and the ratio of matching blocks reaches least.  With a and b characters, u = (1 - least) * (a + b)
+    at most are unmatched, and at most 2 * u of a name's letter pairs don't stand in the other; so in an order
+    common to all, rarest first, the names share one of their first 2 * u + 1 pairs.
     """
-    named = names.filter(F.length("name") >= 3)
-    pieces = named.select("name", "uses", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("name") - 1), lambda i: F.substring(F.col("name"), i, F.lit(2))))).alias("piece"))
-    a, b = pieces.alias("a"), pieces.alias("b")
-    ranked = (F.col("b.uses") > F.col("a.uses")) | ((F.col("b.uses") == F.col("a.uses")) & (F.col("b.name") < F.col("a.name")))
-    short, long = F.least(F.length("a.name"), F.length("b.name")), F.greatest(F.length("a.name"), F.length("b.name"))
-    close = 2 * short >= least * (short + long)
-    met = a.join(b, (F.col("a.piece") == F.col("b.piece")) & ranked & close).groupBy(F.col("a.name").alias("name"), F.col("b.name").alias("of")).agg(F.count("*").alias("n"))
-    return met.withColumn("ratio", similarity_ratio("name", "of")).filter(F.col("ratio") >= least).select("name", "of", "ratio")
+    words = F.split("name", " ")
+    shorter = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    longer = names.filter(F.size(words) > 1).select(F.col("name").alias("of"), F.col("uses").alias("of_uses"), F.explode(shorter).alias("name"))
+    by_prefix = names.join(longer, "name").select("name", "uses", "of", "of_uses", F.lit("prefix").alias("rule"))
+    long = names.filter(F.length("name") >= 5)
+    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("name") - 1), lambda i: F.substring(F.col("name"), i, F.lit(2))))
+    held = long.select("name", "uses", F.explode(pairs).alias("pair"))
+    common = held.groupBy("pair").agg(F.count("*").alias("f"))
+    ranked = held.join(common, "pair").groupBy("name", "uses").agg(F.array_sort(F.collect_list(F.struct("f", "pair"))).alias("r"))
+    most = F.floor(F.lit(2 * (1 - least) * (1 + (2 - least) / least)) * F.length("name") + 1e-9).cast("int")
+    firsts = ranked.select("name", "uses", F.explode(F.slice("r", 1, most + 1)).alias("x")).select("name", "uses", "x.pair")
+    a, b = firsts.alias("a"), firsts.alias("b")
+    low, high = F.least(F.length("a.name"), F.length("b.name")), F.greatest(F.length("a.name"), F.length("b.name"))
+    met = a.join(b, (F.col("a.pair") == F.col("b.pair")) & _more_used(F.col("a.uses"), F.col("a.name"), F.col("b.uses"), F.col("b.name")) & (2 * low >= least * (low + high)))
+    met = met.select(F.col("a.name").alias("name"), F.col("a.uses").alias("uses"), F.col("b.name").alias("of"), F.col("b.uses").alias("of_uses")).distinct()
+    by_ratio = met.filter(similarity_ratio("name", "of") >= least).withColumn("rule", F.lit("ratio"))
+    found = by_prefix.filter(_more_used(F.col("uses"), F.col("name"), F.col("of_uses"), F.col("of"))).unionByName(by_ratio)
+    return found.groupBy("name").agg(F.max(F.struct("of_uses", "of", F.col("rule").alias("rule"))).alias("x")).select("name", "x.of", "x.rule")
+
+
+def _more_used(uses: Column, name: Column, other_uses: Column, other: Column) -> Column:
+    return (other_uses > uses) | ((other_uses == uses) & (other > name))

@@ -34,13 +34,18 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}.nulls`").alias("nulls"), F.col(f"`{c}.blanks`").alias("blanks"), F.col(f"`{c}.distinct`").alias("n_distinct")) for c in columns])).alias("x")).select("x.*")
 
 
-def upsert(base: DataFrame, news: DataFrame, key: list[str], first_seen: str | None = None) -> DataFrame:
-    """Rows by key, the new ones before the old; first_seen keeps the least value of either."""
+def upsert(base: DataFrame, news: DataFrame, key: list[str], first_seen: str | None = None, order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows by key, the new ones before the old; first_seen keeps the least value of either.
+
+    Of several new rows of one key the last by the columns of order stays, and of those that tie in them
+    the one of the greatest hash, so that a run gives the same table again.
+    """
     both = base.withColumn("_p", F.lit(0)).unionByName(news.withColumn("_p", F.lit(1)))
     w = Window.partitionBy(*key)
     if first_seen:
         both = both.withColumn(first_seen, F.min(first_seen).over(w))
-    return both.withColumn("_r", F.row_number().over(w.orderBy(F.desc("_p")))).filter("_r = 1").drop("_r", "_p")
+    last = [F.desc("_p"), *[F.desc_nulls_last(c) for c in order], F.desc(F.xxhash64(*news.columns))]
+    return both.withColumn("_r", F.row_number().over(w.orderBy(*last))).filter("_r = 1").drop("_r", "_p")
 
 
 def differences(before: DataFrame, after: DataFrame, key: list[str], fields: list[str]) -> DataFrame:

@@ -67,3 +67,36 @@ def talent_situation(names: Column, other: Column) -> Column:
 def cell_state(present: Column, value: Column) -> Column:
     """A cell that wasn't returned is unverified; that differs from a blank one."""
     return F.when(~F.coalesce(present, F.lit(False)), "unverified").when(F.coalesce(F.trim(value), F.lit("")) == "", "blank").otherwise("filled")
+
+
+def input_reasons(value: Column, verified: Column, measured: tuple[str, ...]) -> Column:
+    """Why a case's kind of input is out of scope; a cell that nobody could read is not a blank one."""
+    kind = F.nullif(folded(value), F.lit(""))
+    tests = {"input_unverified": ~F.coalesce(verified, F.lit(False)), "input_blank": verified & kind.isNull(), "input_other": verified & ~kind.isin(*measured)}
+    return F.array_compact(F.array(*[F.when(t, F.lit(name)) for name, t in tests.items()]))
+
+
+def only_column(columns: DataFrame, title: str) -> str:
+    """The id of the one column of columns(id, title) with that title, however it is written; else an error."""
+    got = columns.filter(folded(F.col("title")) == folded(F.lit(title))).select("id").limit(2).collect()
+    if len(got) != 1:
+        raise ValueError(f"{'no' if not got else 'more than one'} column is called {title}")
+    return got[0]["id"]
+
+
+def stage_number(status: Column, stages: tuple[str, ...]) -> Column:
+    """Place of a status in the order of stages, from 1; null for others."""
+    return F.nullif(F.array_position(F.array(*map(F.lit, stages)), status), F.lit(0).cast("long")).cast("int")
+
+
+def people_fields(cells: DataFrame, people: DataFrame) -> DataFrame:
+    """item, role, names, situation of cells(item, role, person_id, text), by people(person_id, name).
+
+    Names of all persons of a role, sorted, joined by ' + '.  Where no id is known, the cell's text counts if
+    it names one person only.  situation: known, text, several_texts or none.
+    """
+    known = cells.join(people, "person_id", "left").groupBy("item", "role").agg(F.array_sort(F.collect_set("name")).alias("_n"), F.max(F.nullif(F.trim("text"), F.lit(""))).alias("_t"))
+    one = F.col("_t").isNotNull() & ~F.regexp_like("_t", F.lit(SEPARATORS))
+    names = F.when(F.size("_n") > 0, F.array_join("_n", " + ")).when(one, F.col("_t"))
+    situation = F.when(F.size("_n") > 0, "known").when(one, "text").when(F.col("_t").isNotNull(), "several_texts").otherwise("none")
+    return known.select("item", "role", names.alias("names"), situation.alias("situation"))

@@ -301,8 +301,11 @@ def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def probable_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = read(spark, sf_dir, "part").groupBy(F.lower("p_name").alias("name")).agg(F.count("*").alias("uses"))
-    return identity.probable_spellings(names)
+    """Part names with their brands; every ninth lost a letter and every eleventh its brand."""
+    k, name = F.col("p_partkey"), F.lower(F.concat_ws(" ", "p_name", "p_brand"))
+    cut = F.concat(F.substring(name, F.lit(1), F.length(name) - 3), F.substring(name, F.length(name) - 1, F.lit(2)))
+    names = read(spark, sf_dir, "part").select(F.when(k % 9 == 0, cut).when(k % 11 == 0, F.lower("p_name")).otherwise(name).alias("name"))
+    return identity.probable_spellings(names.groupBy("name").agg(F.count("*").alias("uses")))
 
 
 _PAIRS = """WITH o AS (SELECT s_suppkey AS id, s_nationkey AS nation, regexp_extract(s_name, '[0-9]+$') AS tail, round(s_acctbal) AS balance FROM supplier),
@@ -329,10 +332,15 @@ def identity_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.select_pairs(_pairs(spark, sf_dir), F.contains(F.col("seeds"), F.lit("tail")))
 
 
-@query("""SELECT item_id, list_aggregate(list_sort(list_filter([CASE WHEN contains(t, 'test') THEN 'word:test' END, CASE WHEN contains(t, 'duplicate') THEN 'word:duplicate' END, CASE WHEN contains(t, 'template') THEN 'word:template' END, CASE WHEN starts_with(t, 'internal') THEN 'prefix:internal' END], lambda x: x IS NOT NULL)), 'string_agg', ',') AS reasons
-FROM (SELECT item_id, trim(regexp_replace(strip_accents(lower(text)), '\\s+', ' ', 'g')) AS t FROM benchmark) WHERE contains(t, 'test') OR contains(t, 'duplicate') OR contains(t, 'template') OR starts_with(t, 'internal')""")
+_TITLE = "CASE item_id % 5 WHEN 0 THEN ' [Internal] ' WHEN 1 THEN 'A test: ' WHEN 2 THEN '(Duplicate of a TÉMPLATE) ' ELSE '' END || text"
+
+
+@query(f"""SELECT item_id, list_aggregate(list_sort(list_filter([CASE WHEN contains(t, 'test') THEN 'word:test' END, CASE WHEN contains(t, 'duplicate') THEN 'word:duplicate' END, CASE WHEN contains(t, 'template') THEN 'word:template' END, CASE WHEN starts_with(ltrim(t, '[({{ '), 'internal') THEN 'prefix:internal' END], lambda x: x IS NOT NULL)), 'string_agg', ',') AS reasons
+FROM (SELECT item_id, trim(regexp_replace(strip_accents(lower({_TITLE})), '\\s+', ' ', 'g')) AS t FROM benchmark) WHERE contains(t, 'test') OR contains(t, 'duplicate') OR contains(t, 'template') OR starts_with(ltrim(t, '[({{ '), 'internal')""")
 def title_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "benchmark").select("item_id", rules.title_reasons(F.col("text")).alias("r"))
+    k = F.col("item_id") % 5
+    title = F.concat(F.when(k == 0, " [Internal] ").when(k == 1, "A test: ").when(k == 2, "(Duplicate of a TÉMPLATE) ").otherwise(""), "text")
+    rows = read(spark, sf_dir, "benchmark").select("item_id", rules.title_reasons(title).alias("r"))
     return rows.filter("size(r) > 0").select("item_id", F.array_join("r", ",").alias("reasons"))
 
 
@@ -384,21 +392,44 @@ def field_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
-    data = F.to_json(F.struct(F.col("user_id").cast("string").alias("item"), F.struct(F.struct(F.col("event_type").alias("text")).alias("label")).alias("value")))
-    return rows.select(F.col("event_id").cast("string").alias("id"), F.lit("change").alias("event"), F.concat(C.micros("ts").cast("string"), F.lit("0")).alias("created_at"), data.alias("data"))
+    """Raw rows of events: every seventh without an item, every eleventh with a time that can't be read, some twice."""
+    rows, n = read(spark, sf_dir, "events"), F.col("event_id")
+    item = F.when(n % 7 == 0, "none").otherwise(F.col("user_id").cast("string"))
+    data = F.to_json(F.struct(item.alias("item"), F.struct(F.struct(F.col("event_type").alias("text")).alias("label")).alias("value")))
+    data = F.when(n % 13 == 0, "{broken").otherwise(data)
+    created = F.when(n % 11 == 0, "yesterday").otherwise(F.concat(C.micros("ts").cast("string"), F.lit("0")))
+    raw = rows.select(n.cast("string").alias("id"), F.lit("change").alias("event"), created.alias("created_at"), data.alias("data"))
+    return raw.unionByName(raw.filter("cast(id as long) % 10 = 0"))
+
+
+_RAW = """WITH r AS (SELECT event_id::VARCHAR AS event_id, CASE WHEN event_id % 7 <> 0 AND event_id % 13 <> 0 THEN user_id END AS item_id, CASE WHEN event_id % 13 <> 0 THEN event_type END AS label, CASE WHEN event_id % 11 <> 0 THEN epoch_us(ts) END AS "at",
+concat_ws(',', CASE WHEN event_id % 7 = 0 OR event_id % 13 = 0 THEN 'item' END, CASE WHEN event_id % 11 = 0 THEN 'time' END, CASE WHEN event_id % 13 = 0 THEN 'json' END) AS warnings FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0))"""
 
 
-@query("SELECT event_id::VARCHAR AS event_id, user_id AS item_id, event_type AS label, epoch_us(ts) AS \"at\", '' AS warnings FROM events")
+@query(_RAW + " SELECT * FROM r")
 def typed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.typed_log(_raw(spark, sf_dir)).select("event_id", "item_id", "label", "at", "warnings")
 
 
-@query("SELECT count(DISTINCT event_id) AS events, 0::BIGINT AS duplicates, 0::BIGINT AS bad_times, min(epoch_us(ts)) AS first_at, max(epoch_us(ts)) AS last_at FROM events")
+@query(_RAW + ' SELECT count(DISTINCT event_id) AS events, count(*) - count(DISTINCT event_id) AS duplicates, count_if("at" IS NULL)::BIGINT AS bad_times, min("at") AS first_at, max("at") AS last_at FROM r')
 def log_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.summary(logs.typed_log(_raw(spark, sf_dir)))
 
 
+@query(_RAW + ' SELECT * FROM (SELECT DISTINCT * FROM r)')
+def log_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logs.once(logs.typed_log(_raw(spark, sf_dir))).select("event_id", "item_id", "label", "at", "warnings")
+
+
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN epoch_us(ts) WHEN 1 THEN epoch_us(ts) + 10800000000 END AS "at", CASE WHEN event_id % 3 < 2 THEN strftime(make_timestamp(epoch_us(ts) + CASE event_id % 3 WHEN 1 THEN 10800000000 ELSE 0 END), '%Y-%m-%dT%H:%M:%S.%fZ') END AS text FROM events""")
+def zoned_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with Z, with an offset, and without a zone; the last are no instants."""
+    k, wall = F.col("event_id") % 3, F.col("ts").cast("string")
+    text = F.concat(F.regexp_replace(wall, " ", "T"), F.when(k == 0, "Z").when(k == 1, "-03:00").otherwise(""))
+    rows = read(spark, sf_dir, "events").select("event_id", C.zoned_micros(text).alias("at"))
+    return rows.withColumn("text", C.iso_text(F.col("at")))
+
+
 @query("""SELECT state, count(*) AS n FROM (SELECT CASE WHEN v IS NULL THEN 'missing' WHEN len(v) > 1 THEN 'conflict' WHEN list_contains(v, b.value) THEN 'agrees' ELSE 'differs' END AS state
 FROM (SELECT user_id AS action, event_id % 10 AS item, (props->>'$.k')::BIGINT % 2 AS value FROM events WHERE event_type = 'view') b
 LEFT JOIN (SELECT user_id AS action, event_id % 10 AS item, list(DISTINCT (props->>'$.k')::BIGINT % 2) AS v FROM events WHERE event_type = 'click' GROUP BY ALL) s USING (action, item)) GROUP BY state""")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.quality import upsert
@@ -17,7 +19,7 @@ def log_stream(spark: SparkSession, path: str, schema: str, overlap: str = "1 da
 
 
 _STATE = "status string, started long, event_id long"
-CLOSED = "case_id long, status string, started long, ended long"
+CLOSED = "kind string, case_id long, status string, started long, ended long"
 
 
 def _close(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -26,29 +28,51 @@ def _close(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
     out = []
     for r in rows.itertuples():
         if started is not None and (r.at, r.event_id) <= (started, event_id):
-            continue  # late: the batch plan derives the case again
+            out.append(("late", key[0], r.status, int(r.at), None))
+            continue
         if started is None or r.status != status:
             if started is not None:
-                out.append((key[0], status, started, r.at))
+                out.append(("closed", key[0], status, started, int(r.at)))
             status, started, event_id = r.status, int(r.at), int(r.event_id)
     state.update((status, started, event_id))
-    yield pd.DataFrame(out, columns=["case_id", "status", "started", "ended"])
+    yield pd.DataFrame(out, columns=["kind", "case_id", "status", "started", "ended"]).astype({"started": "Int64", "ended": "Int64"})
 
 
 def closed_intervals(events: DataFrame) -> DataFrame:
-    """Intervals of a stream of events(case_id, event_id, at, status), each as soon as it has ended."""
+    """Intervals of a stream of events(case_id, event_id, at, status), each as soon as it has ended.
+
+    kind is closed, or late for an event that comes after a later one of its case: started is then its time,
+    and the case has to be derived again from the stored log.
+    """
     return events.groupBy("case_id").applyInPandasWithState(_close, CLOSED, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def write_upserts(stream: DataFrame, path: str, checkpoint: str, key: list[str]):
-    """Starts a query that merges each micro-batch by key into versions of a table under path.
+def current_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The table that write_upserts keeps: of each bucket its last version, or the last before a batch."""
+    rows = spark.read.parquet(path)
+    rows = rows if before is None else rows.filter(F.col("batch") < before)
+    last = rows.groupBy("bucket").agg(F.max("batch").alias("batch"))  # one row for each bucket
+    return rows.join(F.broadcast(last), ["bucket", "batch"], "left_semi")
+
+
+def write_upserts(stream: DataFrame, path: str, checkpoint: str, key: list[str], order: tuple[str, ...] = (), buckets: int = 64):
+    """Starts a query that merges each micro-batch by key into a table of buckets under path.
 
-    Versions are numbered by micro-batch, so a batch that runs again writes the same version.
+    A batch reads and writes only the buckets that its keys fall in, as versions numbered by the batch; one
+    that runs again reads what was there before it and writes the same versions.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        merged = upsert(spark.read.parquet(f"{path}/v{number - 1}"), batch, key) if number else upsert(batch.limit(0), batch, key)
-        merged.write.mode("overwrite").parquet(f"{path}/v{number}")
+        news = batch.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+        touched = [r[0] for r in news.select("bucket").distinct().collect()]  # at most buckets
+        if not touched:
+            return
+        try:
+            base = current_rows(spark, path, number).filter(F.col("bucket").isin(touched)).select(news.columns)
+        except AnalysisException:
+            base = news.limit(0)
+        merged = upsert(base, news, key, order=order).withColumn("batch", F.lit(number))
+        merged.write.partitionBy("bucket", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -136,12 +136,71 @@ def test_stream_equals_batch(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("closed").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
     batch = intervals.build_intervals(events.withColumn("account", F.lit("A")), 1 << 60).filter("ended is not null").select("case_id", "status", "started", "ended")
-    assert sorted(map(repr, spark.table("closed").collect())) == sorted(map(repr, batch.collect()))
+    assert sorted(map(repr, spark.table("closed").filter("kind = 'closed'").drop("kind").collect())) == sorted(map(repr, batch.collect()))
+    assert spark.table("closed").filter("kind = 'late'").count() == 0
 
 
-def test_stream_upserts(spark, tmp_path):
-    from stagetime.streaming.incremental import write_upserts
+def test_late_events_are_told(spark, tmp_path):
+    from stagetime.streaming.incremental import closed_intervals
+
+    schema = "case_id long, event_id long, at long, status string"
+    for k, rows in enumerate([[(1, 1, 10, "a"), (1, 2, 30, "b")], [(1, 3, 20, "c"), (1, 4, 40, "a")]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = closed_intervals(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
+        q.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()), key=repr)
+    assert got == [("closed", 1, "a", 10, 30), ("closed", 1, "b", 30, 40), ("late", 1, "c", 20, None)]
 
-    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(str(tmp_path / "in"))
-    write_upserts(spark.readStream.schema("k int, v string").parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), ["k"]).awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out/v0")).collect())) == [(1, "a"), (2, "b")]
+
+def test_stream_upserts(spark, tmp_path):
+    from stagetime.streaming.incremental import current_rows, write_upserts
+
+    schema = "k int, v string, seen int"
+    for k, rows in enumerate([[(1, "a", 1), (2, "b", 1), (2, "c", 2)], [(2, "d", 3), (3, "e", 1)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        write_upserts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ("seen",), buckets=4).awaitTermination()
+        got = sorted(map(tuple, current_rows(spark, str(tmp_path / "out")).select("k", "v", "seen").collect()))
+        assert got == [[(1, "a", 1), (2, "c", 2)], [(1, "a", 1), (2, "d", 3), (3, "e", 1)]][k]
+    versions = {(r["bucket"], r["batch"]) for r in spark.read.parquet(str(tmp_path / "out")).select("bucket", "batch").distinct().collect()}
+    assert len(versions) < 8  # a batch writes the buckets of its own keys
+
+
+def test_files(spark, tmp_path):
+    from stagetime.sources import files
+
+    df = spark.createDataFrame([(1, None, datetime(2024, 1, 5)), (2, "é", datetime(2024, 2, 6))], "a long, b string, t timestamp")
+    files.write_lines(df, str(tmp_path / "lines"))
+    assert sorted(map(tuple, files.read_lines(spark, str(tmp_path / "lines"), "a long, b string, t timestamp").collect())) == sorted(map(tuple, df.collect()))
+    files.archive_day(df, str(tmp_path / "days"), "2024-03-01")
+    files.archive_day(df, str(tmp_path / "days"), "2024-03-02")
+    with pytest.raises(ValueError, match="archived already"):
+        files.archive_day(df, str(tmp_path / "days"), "2024-03-01")
+    assert spark.read.parquet(str(tmp_path / "days")).groupBy("dt").count().count() == 2
+    files.write_by_month(df, str(tmp_path / "months"), F.col("t"), ["a"])
+    assert {r["month"] for r in spark.read.parquet(str(tmp_path / "months")).collect()} == {"2024-01", "2024-02"}
+    df.write.parquet(str(tmp_path / "typed"))
+    assert files.read_typed(spark, str(tmp_path / "typed"), "a long, b string, t timestamp").count() == 2
+    for wrong in ("a long, b string", "a int, b string, t timestamp"):
+        with pytest.raises(ValueError, match="differ"):
+            files.read_typed(spark, str(tmp_path / "typed"), wrong)
+
+
+def test_small_functions(spark):
+    from stagetime.functions import columns as C
+    from stagetime.operators import rules
+
+    row = spark.range(1).select(
+        C.composed(F.lit("e\u0301")).alias("nfc"), C.plain_letters(F.lit("Ça ﬁn ß")).alias("plain"), C.source_key(F.lit("  São  Paulo ")).alias("key"), C.text_list(F.lit('["b","a"]')).alias("list"), C.list_text(F.array(F.lit("b"), F.lit("a"), F.lit("b"))).alias("text"),
+        C.without_invalid(F.lit(" Deleted user ")).alias("nobody"), C.without_invalid(F.lit(" Ana ")).alias("ana"), C.first_time(a=F.lit(None).cast("long"), b=F.lit(5).cast("long")).alias("when"), C.iso_text(F.lit(-1).cast("long")).alias("iso"),
+        rules.input_reasons(F.lit("Other"), F.lit(True), ("brief",)).alias("r1"), rules.input_reasons(F.lit(None).cast("string"), F.lit(True), ("brief",)).alias("r2"), rules.input_reasons(F.lit("brief"), F.lit(False), ("brief",)).alias("r3"), rules.stage_number(F.lit("x"), ("a", "x")).alias("stage"),
+    ).first()
+    assert (row["nfc"], row["plain"], row["key"], row["list"], row["text"]) == ("é", "ca fin ss", "são paulo", ["b", "a"], '["a","b"]')
+    assert (row["nobody"], row["ana"], tuple(row["when"]), row["iso"], row["r1"], row["r2"], row["r3"], row["stage"]) == (None, "Ana", (5, "b"), "1969-12-31T23:59:59.999999Z", ["input_other"], ["input_blank"], ["input_unverified"], 2)
+    columns = spark.createDataFrame([("c1", "Tipo  de Input"), ("c2", "x"), ("c3", "X")], "id string, title string")
+    assert rules.only_column(columns, "tipo de input") == "c1"
+    for title in ("x", "y"):
+        with pytest.raises(ValueError):
+            rules.only_column(columns, title)
+    cells = spark.createDataFrame([(1, "owner", 7, "t"), (1, "owner", 8, "t"), (2, "owner", 99, "Eva"), (3, "owner", None, "Eva & Bo"), (4, "owner", None, " ")], "item int, role string, person_id int, text string")
+    got = {r["item"]: (r["names"], r["situation"]) for r in rules.people_fields(cells, spark.createDataFrame([(7, "Zoe"), (8, "Ana")], "person_id int, name string")).collect()}
+    assert got == {1: ("Ana + Zoe", "known"), 2: ("Eva", "text"), 3: (None, "several_texts"), 4: (None, "none")}

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from stagetime.plans import queries as flow
+from stagetime.plans import queries as flow  # the entry has added the others
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -48,10 +48,24 @@ def test_probable_spellings(spark):
 
     from stagetime.operators.identity import probable_spellings
 
-    names = [("north wind", 5), ("north winds", 2), ("nort wind", 1), ("south", 9), ("ab", 3), ("north wind co", 1)]
-    got = {(r["name"], r["of"]) for r in probable_spellings(spark.createDataFrame(names, "name string, uses long")).collect()}
-    want = {(a, b) for a, n in names for b, m in names if (m > n or (m == n and b < a)) and len(a) > 2 and len(b) > 2 and difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.9}
-    assert got == want and got
+    names = [("north wind", 5), ("north winds", 2), ("nort wind", 1), ("south", 9), ("ab", 3), ("north wind co", 1), ("jonas", 1), ("jonas sulz", 4), ("jonas sulx", 2), ("abc de", 3), ("nrth wind", 5)]
+    rows = flow.probable_spellings(spark, SF)
+    given = [(f"{r['p_name']} {r['p_brand']}".lower(), 1) for r in spark.read.parquet(f"{SF}/part.parquet").limit(120).collect()]
+    given = [(n, 1 + i % 4) for i, n in enumerate(sorted({n for n, _ in given} | {n[:-2] + n[-1] for n, _ in given[::3]}))]
+    for table in (names, given):
+        got = {r["name"]: r["of"] for r in probable_spellings(spark.createDataFrame(table, "name string, uses long")).collect()}
+        want = {}
+        for a, n in table:
+            fits = []
+            for b, m in table:
+                if (m, b) > (n, a):
+                    prefix = len(a.split()) < len(b.split()) and b.split()[: len(a.split())] == a.split()
+                    if prefix or min(len(a), len(b)) >= 5 and difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.9:
+                        fits.append((m, b))
+            if fits:
+                want[a] = max(fits)[1]
+        assert got == want and got
+    assert {r["rule"] for r in rows.select("rule").distinct().collect()} == {"prefix", "ratio"}
 
 
 def test_fingerprint_ignores_order(spark):
