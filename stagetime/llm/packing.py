@@ -5,7 +5,11 @@ to the shortest tier that holds it.  Windows are then filled from the longest pi
 as long as the tier of its longest piece, its gap takes the longest shorter pieces that fit, and what is
 still open is closed by cutting the shortest piece that waits.  So every window but the last few of a
 task is full and has a power-of-two length.  The last windows of a task are cut at powers of two, so they
-need no padding either.  Windows of one tier form step groups of equal numbers of tokens.
+need no padding either.
+
+Windows of one tier form step groups of equal numbers of tokens.  What is left of all tiers at a task's end
+is put into groups from the longest window down, which fills them exactly, as each length divides the next;
+so a task leaves one group at most that holds fewer tokens, and every row tells how many its group holds.
 
 All of it runs in one pass over each input partition, without a shuffle; a task holds `_ROUND` pieces of
 at most one window each.
@@ -35,7 +39,7 @@ class _Packer:
     def __init__(self, tiers: tuple[int, ...], group_tokens: int, part: int):
         self.tiers, self.group_tokens = tiers, group_tokens
         self.sequence = self.group = part << 32
-        self.open: dict[int, list[int]] = {}  # tier -> [group, sequences in it]
+        self.open: dict[int, list[list[tuple]]] = {}  # tier -> windows that wait for their group to fill
         self.pool: list[tuple[int, int, tuple]] = []  # (length, tie, piece), sorted
         self.tie = 0
         self.rows: list[tuple] = []
@@ -93,30 +97,45 @@ class _Packer:
             left -= size
 
     def _emit(self, window: list[tuple], tier: int) -> None:
-        group = self.open.setdefault(tier, [self.group, 0])
-        if group[1] == 0:
-            group[0] = self.group
-            self.group += 1
-        offset = 0
-        for doc_id, start, ids, n in window:
-            length = len(ids) // 4
-            self.rows.append((doc_id, start, length, zlib.crc32(ids), n, self.sequence, offset, tier, group[0], ids))
-            offset += length
-        self.sequence += 1
-        group[1] = (group[1] + 1) % max(1, self.group_tokens // tier)
+        waiting = self.open.setdefault(tier, [])
+        waiting.append(window)
+        if (len(waiting) + 1) * tier > self.group_tokens:
+            self._group([(tier, w) for w in self.open.pop(tier)])
+
+    def _group(self, windows: list[tuple[int, list[tuple]]]) -> None:
+        total = sum(tier for tier, _ in windows)
+        for tier, window in windows:
+            offset = 0
+            for doc_id, start, ids, n in window:
+                length = len(ids) // 4
+                self.rows.append((doc_id, start, length, zlib.crc32(ids), n, self.sequence, offset, tier, self.group, total, ids))
+                offset += length
+            self.sequence += 1
+        self.group += 1
 
     def finish(self) -> None:
         self._fill(0)
+        group: list[tuple[int, list[tuple]]] = []
+        for tier in sorted(self.open, reverse=True):
+            for window in self.open[tier]:
+                if group and sum(t for t, _ in group) + tier > self.group_tokens:
+                    self._group(group)
+                    group = []
+                group.append((tier, window))
+        self.open.clear()
+        if group:
+            self._group(group)
 
 
-_FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
+_FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "group_tokens"]
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, tiers: tuple[int, ...] = TIERS, group_tokens: int = 8 * 2048, with_ids: bool = True) -> DataFrame:
     """One row for each piece of a document: where it stands in its document and in its sequence.
 
     Columns: doc_id, start, length, ids_crc32 (of the little-endian unsigned 32-bit ids), doc_tokens,
-    sequence_id, offset, tier (the sequence's length), step_group and, if with_ids, ids.  Offsets of a
+    sequence_id, offset, tier (the sequence's length), step_group, group_tokens (how many tokens the group
+    holds) and, if with_ids, ids.  Offsets of a
     sequence are gapless from 0 and its lengths add up to tier.  tiers are rising powers of two.
 
     Null and empty texts have the end id alone.  Repeated rows and null doc_ids are documents of their
@@ -126,7 +145,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, tiers:
     path = vocabulary or default_vocabulary()
     end = end_id.to_bytes(4, "little")
     names = [*_FIELDS, *["ids"] * with_ids]
-    types = [pa.int64()] * 9 + [pa.list_(pa.int32())] * with_ids
+    types = [pa.int64()] * len(_FIELDS) + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -135,10 +154,10 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, tiers:
 
         def out() -> pa.RecordBatch:
             rows, packer.rows = packer.rows, []
-            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(9)]
+            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(_FIELDS))]
             if with_ids:
                 ends = np.cumsum([0, *(r[2] for r in rows)])
-                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(r[9] for r in rows), "<i4"))))
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(r[-1] for r in rows), "<i4"))))
             return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types, strict=True)], names)
 
         for batch in batches:

@@ -78,6 +78,15 @@ def test_packing(docs, none, tokenizer):
         pieces, want = sorted(by_doc[doc_id], key=lambda r: r["start"]), ids_of(tokenizer, text, 1)
         assert [x for p in pieces for x in p["ids"]] == want.tolist() and {p["doc_tokens"] for p in pieces} == {len(want)}
     assert sum(r["length"] for r in rows) == sum(len(ids_of(tokenizer, t, 1)) for _, t, *_ in odd_docs())
+    for small in (1024, 16384):
+        groups = defaultdict(int)
+        held = packing.pack(docs, group_tokens=small).collect() if small < 16384 else rows
+        for r in held:
+            groups[r["step_group"]] += r["length"]
+        assert all(groups[r["step_group"]] == r["group_tokens"] for r in held)
+        odd = [g for g, n in groups.items() if n != small]
+        tasks = {g >> 32 for g in groups}
+        assert len(odd) <= len(tasks) or small < 2048 and all(groups[g] in (2048, *range(small)) for g in odd)
     assert packing.pack(none).count() == 0
     whole = packing.sequences(packing.pack(docs))
     assert whole.filter("size(input_ids) <> tier").count() == 0
@@ -444,7 +453,9 @@ def test_terms_near_many_spans_equal_plain_search():
 
 def test_licenses(spark, none):
     notice = license_scan.NOTICES["BSD"][1]
-    rows = [(1, "prose\nReleased under the MIT License.\nmore"), (2, notice.replace(" with ", "\nwith ") + "\n\nother"), (3, None), (4, ""), (5, "license"), (5, "Licensed under CC BY-NC 4.0."), (6, "Licensed under the terms of nothing at all")]
+    mit = license_scan.NOTICES["MIT"][2]
+    wrapped = "MIT License\n\nCopyright 2021 A Person\n\n" + "\n".join(" ".join(mit.split()[k : k + 12]) for k in range(0, len(mit.split()), 12)).replace("\nThe above", "\n\nThe above")
+    rows = [(7, wrapped), (8, "Copyright 2020 X. Licensed under the MIT terms below. Released under the MIT License. See there. " + "more " * 60), (9, wrapped.replace("\n\n", "\n") + "\ncode = 1\n" * 30), (1, "prose\nReleased under the MIT License.\nmore"), (2, notice.replace(" with ", "\nwith ") + "\n\nother"), (3, None), (4, ""), (5, "license"), (5, "Licensed under CC BY-NC 4.0."), (6, "Licensed under the terms of nothing at all")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("unit", F.lit(1))
 
     def brute(body):
@@ -461,6 +472,17 @@ def test_licenses(spark, none):
             want += [(i, "line", p, *m) for m in brute(line)]
         for p, block in enumerate(re.split("\n[ \t\r]*\n", t or "")):
             want += [(i, "paragraph", p, *m) for m in brute(block)] if "\n" in block.strip(" ") else []
+        if re.search("\n[ \t\r]*\n", t or ""):
+            want += [(i, "text", 0, *m) for m in brute(t)]
+        w = re.sub("[^a-z0-9]+", " ", (t or "").lower()).split()
+        found = set()
+        for name, k, _ in license_scan.notice_table():
+            body = license_scan.NOTICES[name][k]
+            for word, before in license_scan.anchor_places(body, 0.8):
+                for at in (x - before for x, y in enumerate(w) if y == word):
+                    found |= {(i, "window", max(at, 0), *m) for m in brute(" ".join(w[max(at, 0) : max(0, at + len(license_scan._words(body)))])) if m[:2] == (name, k)}
+        want += sorted(found)
+    assert {("window", "MIT", 2), ("text", "MIT", 2)} <= {(x[1], x[3], x[4]) for x in want} and {x[3] for x in want if x[0] == 8} == {"MIT"} and any(x[0] == 9 for x in want)
     assert sorted(map(tuple, license_scan.scan(docs).collect())) == sorted(want) and len(want) >= 3
     assert license_scan.scan(none).count() == 0
 
