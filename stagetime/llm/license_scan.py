@@ -14,6 +14,7 @@ DataFrame expressions.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
@@ -87,7 +88,7 @@ def anchors(bigrams: list[str], threshold: float) -> set[str]:
     """Long words, one of which stands in every set that reaches the threshold with these bigrams."""
     may_lack = len(bigrams) - math.ceil(threshold / (2 - threshold) * len(bigrams) - 1e-9)
     chosen: set[str] = set()
-    for word in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (-len(w), w)):
+    for word in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (len(w), w), reverse=True):
         if sum(any(w in chosen for w in b.split()) for b in bigrams) > may_lack:
             break
         chosen.add(word)
@@ -109,11 +110,6 @@ def anchor_places(text: str, threshold: float) -> list[tuple[str, int]]:
     return sorted((w, words.index(w)) for w in anchors(_bigrams(text), threshold))
 
 
-def _distinct_bigrams(words: Column) -> Column:
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.array_distinct(pairs)
-
-
 def scan(docs: DataFrame, threshold: float = 0.8, notices: dict[str, list[str]] = NOTICES) -> DataFrame:
     """doc_id, unit, position, license, notice, dice: one row for each match of a unit and a notice.
 
@@ -125,37 +121,39 @@ def scan(docs: DataFrame, threshold: float = 0.8, notices: dict[str, list[str]]
     """
     known = notice_table(notices)
     words = sorted(set().union(*(anchors(b, threshold) for _, _, b in known)))
-    # The array of one lets the lower-cased text be made once for all anchors.
-    there = F.exists(F.array(F.lower("text")), lambda low: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(low, w)))
+    anchor_list = F.split(F.lit(" ".join(words)), " ")
+    there = F.arrays_overlap(F.split(F.lower("text"), "[^a-z0-9]+"), anchor_list)
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(there)
 
     blank = "\n[ \t\r]*\n"
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(F.lit("line").alias("unit"), i.cast("int").alias("position"), x.alias("body")))
-    blocks = F.transform(F.split("text", blank), lambda x, i: F.struct(F.lit("paragraph").alias("unit"), i.cast("int").alias("position"), x.alias("body")))
-    whole = F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).alias("position"), F.col("text").alias("body")))
-    parts = F.concat(lines, F.filter(blocks, lambda b: F.contains(F.trim(b["body"]), F.lit("\n"))), F.filter(whole, lambda b: F.regexp_like(b["body"], F.lit(blank))))
-    units = some.select("doc_id", F.explode(parts).alias("u")).select("doc_id", "u.*")
-    units = units.withColumn("words", F.split(normalised(F.col("body")), " ")).filter("size(words) > 1")
-    units = units.select("doc_id", "unit", "position", _distinct_bigrams(F.col("words")).alias("bigrams"))
+    unit = lambda kind, at, words, of=None: F.struct(F.lit(kind).alias("unit"), at.cast("int").alias("position"), words.alias("words"), (F.lit(None).cast("int") if of is None else of).alias("of"))
+    split = lambda body: F.split(normalised(body), " ")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: unit("line", i, split(x)))
+    blocks = F.transform(F.filter(F.transform(F.split("text", blank), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda b: F.contains(F.trim(b["x"]), F.lit("\n"))), lambda b: unit("paragraph", b["i"], split(b["x"])))
+    whole = F.transform(F.filter(F.array("text"), lambda x: F.regexp_like(x, F.lit(blank))), lambda x: unit("text", F.lit(0), split(x)))
+
+    # Constants, which the optimizer reads once.
+    table = [{"license": n, "notice": k, "n": len(b), "bigrams": b, "of": at} for at, (n, k, b) in enumerate(known)]
+    table = F.from_json(F.lit(json.dumps(table)), "array<struct<license:string,notice:int,n:int,bigrams:array<string>,of:int>>")
+    laid = [{"of": at, "word": w, "before": j, "length": len(_words(notices[n][k]))} for at, (n, k, _) in enumerate(known) for w, j in anchor_places(notices[n][k], threshold)]
+    laid = F.from_json(F.lit(json.dumps(laid)), "array<struct<of:int,word:string,before:int,length:int>>")
+
+    def windows(w: Column) -> Column:
+        places = F.filter(F.transform(w, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: F.array_contains(anchor_list, p["x"]))
+        starts = F.flatten(F.transform(places, lambda p: F.transform(F.filter(laid, lambda t: t["word"] == p["x"]), lambda t: F.struct(t["of"].alias("of"), t["length"].alias("length"), (p["i"] - t["before"]).alias("start")))))
+        return F.transform(F.array_distinct(starts), lambda s: unit("window", F.greatest(s["start"], F.lit(0)), F.slice(w, F.greatest(s["start"], F.lit(0)) + 1, s["length"] + F.least(s["start"], F.lit(0))), s["of"]))
+
+    laid_out = F.flatten(F.transform(F.array(split(F.col("text"))), windows))  # the words are made once
+    units = some.select("doc_id", F.explode(F.concat(lines, blocks, whole, laid_out)).alias("u")).select("doc_id", "u.*").filter("size(words) > 1")
+    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))
+    units = units.select("doc_id", "unit", "position", "of", F.array_distinct(pairs).alias("bigrams"))
 
     low_share, high_share = threshold / (2 - threshold), (2 - threshold) / threshold
-    table = F.array(*[F.struct(F.lit(n).alias("license"), F.lit(k).alias("notice"), F.lit(len(b)).alias("n"), F.array(*map(F.lit, b)).alias("bigrams")) for n, k, b in known])
     size = F.size("bigrams")
-    fitting = F.filter(table, lambda t: (size >= t["n"] * F.lit(low_share) - 1e-9) & (size <= t["n"] * F.lit(high_share) + 1e-9))
-    compared = F.transform(fitting, lambda t: F.struct(t["license"].alias("license"), t["notice"].alias("notice"), (2.0 * F.size(F.array_intersect(F.col("bigrams"), t["bigrams"])) / (size + t["n"])).alias("dice")))
-    matches = units.select("doc_id", "unit", "position", F.explode(F.filter(compared, lambda m: m["dice"] >= threshold)).alias("m")).select("doc_id", "unit", "position", "m.*")
-
-    laid = F.array(*[F.struct(F.lit(n).alias("license"), F.lit(k).alias("notice"), F.lit(w).alias("word"), F.lit(j).alias("before"), F.lit(len(_words(notices[n][k]))).alias("length")) for n, k, _ in known for w, j in anchor_places(notices[n][k], threshold)])
-    texts = some.select("doc_id", F.split(normalised(F.col("text")), " ").alias("w"))
-    places = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: F.array_contains(F.array(*map(F.lit, words)), p["x"]))
-    starts = F.flatten(F.transform(places, lambda p: F.transform(F.filter(laid, lambda t: t["word"] == p["x"]), lambda t: F.struct(t["license"].alias("license"), t["notice"].alias("notice"), t["length"].alias("length"), (p["i"] - t["before"]).alias("start")))))
-    cut = lambda s: F.slice(F.col("w"), F.greatest(s["start"], F.lit(0)) + 1, s["length"] + F.least(s["start"], F.lit(0)))
-    windows = texts.select("doc_id", F.explode(F.transform(F.array_distinct(starts), lambda s: F.struct(s["license"].alias("license"), s["notice"].alias("notice"), F.greatest(s["start"], F.lit(0)).cast("int").alias("position"), cut(s).alias("words")))).alias("x")).select("doc_id", "x.*")
-    windows = windows.filter("size(words) > 1").select("doc_id", "license", "notice", "position", _distinct_bigrams(F.col("words")).alias("bigrams"))
-    mine = F.element_at(F.filter(table, lambda t: (t["license"] == F.col("license")) & (t["notice"] == F.col("notice"))), 1)
-    scored = windows.withColumn("dice", F.transform(F.array(mine), lambda t: 2.0 * F.size(F.array_intersect(F.col("bigrams"), t["bigrams"])) / (size + t["n"]))[0])
-    inside = scored.filter(F.col("dice") >= threshold).select("doc_id", F.lit("window").alias("unit"), "position", "license", "notice", "dice")
-    return matches.unionByName(inside)
+    fits = lambda t: (size >= t["n"] * F.lit(low_share) - 1e-9) & (size <= t["n"] * F.lit(high_share) + 1e-9) & (F.col("of").isNull() | (F.col("of") == t["of"]))
+    compared = F.transform(F.filter(table, fits), lambda t: F.struct(t["license"].alias("license"), t["notice"].alias("notice"), (2.0 * F.size(F.array_intersect(F.col("bigrams"), t["bigrams"])) / (size + t["n"])).alias("dice")))
+    matches = units.select("doc_id", "unit", "position", F.explode(F.filter(compared, lambda m: m["dice"] >= threshold)).alias("m"))
+    return matches.select("doc_id", "unit", "position", "m.license", "m.notice", "m.dice")
 
 
 def scan_sql(threshold: float = 0.8, notices: dict[str, list[str]] = NOTICES) -> str:
