@@ -49,7 +49,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Trained models and tokenisers are beyond SQL; tests hold the stages against brute force.
+#: Trained models and tokenisers are beyond SQL; tests hold the operators against brute force and run the stages.
 ORACLE_SQL = None
 
 
