@@ -5,10 +5,12 @@
    `BITS` bits of each minimum.
 2. Documents with the same shingle set form a class, keyed by the set's fingerprint; thousands of copies
    cost one row.  Links are of the classes' least doc_ids.
-3. Classes that share a band key are candidates.  Round 1 links each class to the band centre (the
-   least key of a band) with which it shares most bands.  Bands whose classes round 1 did not bring
-   together stay open; round 2 finds what can be linked across the parts of open bands by an exact prefix
-   and position filter over rare-first shingles.  No round lists the pairs inside a known component.
+3. Classes that share a band key are candidates.  Round 1 links each class to the band centre with which
+   it shares most bands.  A band's centre is the class whose bands hold most classes, summed over its bands:
+   the text that the others vary, where it is there, whatever the ids or hash values.  Bands whose classes
+   round 1 did not bring together stay open; round 2 finds what can be linked across the parts of open
+   bands by an exact prefix and position filter over rare-first shingles.  No round lists the pairs inside
+   a known component.
 4. Candidates whose collision-corrected similarity, from the bit counts of the signatures, lies more
    than six standard deviations under the threshold go; the rest are confirmed on the full sets.
 5. Links are joined to components by star contraction.
@@ -203,13 +205,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         least, most = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
         return close.filter((100 * least >= percent * most) & (estimated_similarity("x", "y") >= _floor(percent / 100))).select("p.a", "p.b", F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b"))
 
-    centres = banded.groupBy("band").agg(F.min("key").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = banded.join(centres, "band").filter("key > centre").groupBy("key", "centre").agg(F.count("*").alias("n"))
+    crowded = banded.select("band", "key").join(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "band")
+    weights = crowded.groupBy("key").agg(F.sum("n").alias("weight"))
+    weighed = scratch.stored(crowded.join(weights, "key").select("band", "key", "weight"), "weighed")
+    rank = F.struct("weight", F.bitwise_not("key").alias("other"))
+    centres = weighed.groupBy("band").agg(F.max_by("key", rank).alias("centre"))
+    shared = weighed.join(centres, "band").filter("key <> centre").groupBy("key", "centre").agg(F.count("*").alias("n"))
     best = shared.groupBy("key").agg(F.max_by("centre", F.struct("n", F.bitwise_not("centre"))).alias("centre"))
     pairs = scratch.stored(plausible(best.select(F.col("centre").alias("a"), F.col("key").alias("b"))), "pairs-1")
     sets = scratch.stored(_shingle_sets(pairs.select(F.explode(F.array("rep_a", "rep_b")).alias("doc_id")).distinct(), docs), "sets")
     links = scratch.stored(_confirmed(pairs, sets, percent), "links-1")
-    scratch.drop("pairs-1", "sets")
+    scratch.drop("weighed", "pairs-1", "sets")
 
     # A doc_id with several texts stands for several classes; it links each to the least one.
     held = scratch.stored(real.select("doc_id", "set_a", "set_b").join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).select("doc_id", "rep"), "held")
