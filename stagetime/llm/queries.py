@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, license_scan, near_dedup, packing, pii, pivot_search, quality, token_orc, toxicity
+from . import decontam, langid, license_scan, merkle, near_dedup, packing, pii, pivot_search, quality, repair, simhash, token_orc, toxicity
 from .common import fold, shared_path, table
 
 
@@ -70,6 +70,19 @@ def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_merkle_veb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.proofs(table(spark, sf_dir, "documents"), tampered)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_damage(table(spark, sf_dir, "conversations"))
+
+
+def op13_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 TOP_K_SQL = """
 WITH v AS (SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -81,8 +94,8 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM r WH
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op5_pivot_distance, op6_bm25_decontamination, op7_bbit_minhash, op8_license_dice, op9_information_pii, op10_nbsvm_quality)}
+    return {f.__name__: f for f in (op1_multi_length_packing, op2_nnpu_toxicity, op3_token_orc, op4_ftrl_langid, op5_pivot_distance, op6_bm25_decontamination, op7_bbit_minhash, op8_license_dice, op9_information_pii, op10_nbsvm_quality, op11_merkle_veb, op12_conversation_repair, op13_simhash_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_pivot_distance": TOP_K_SQL, "op8_license_dice": license_scan.scan_sql()}
+    return {"op5_pivot_distance": TOP_K_SQL, "op8_license_dice": license_scan.scan_sql(), "op11_merkle_veb": merkle.proofs_sql(), "op12_conversation_repair": repair.repaired_damage_sql()}
