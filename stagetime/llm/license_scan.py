@@ -21,6 +21,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Windows of a text that stand in one row at a time.
+WINDOWS = 256
+
 _WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"""
 _BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"""
@@ -135,16 +138,27 @@ def scan(docs: DataFrame, threshold: float = 0.8, notices: dict[str, list[str]]
     # Constants, which the optimizer reads once.
     table = [{"license": n, "notice": k, "n": len(b), "bigrams": b, "of": at} for at, (n, k, b) in enumerate(known)]
     table = F.from_json(F.lit(json.dumps(table)), "array<struct<license:string,notice:int,n:int,bigrams:array<string>,of:int>>")
-    laid = [{"of": at, "word": w, "before": j, "length": len(_words(notices[n][k]))} for at, (n, k, _) in enumerate(known) for w, j in anchor_places(notices[n][k], threshold)]
-    laid = F.from_json(F.lit(json.dumps(laid)), "array<struct<of:int,word:string,before:int,length:int>>")
-
-    def windows(w: Column) -> Column:
-        places = F.filter(F.transform(w, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: F.array_contains(anchor_list, p["x"]))
-        starts = F.flatten(F.transform(places, lambda p: F.transform(F.filter(laid, lambda t: t["word"] == p["x"]), lambda t: F.struct(t["of"].alias("of"), t["length"].alias("length"), (p["i"] - t["before"]).alias("start")))))
-        return F.transform(F.array_distinct(starts), lambda s: unit("window", F.greatest(s["start"], F.lit(0)), F.slice(w, F.greatest(s["start"], F.lit(0)) + 1, s["length"] + F.least(s["start"], F.lit(0))), s["of"]))
-
-    laid_out = F.flatten(F.transform(F.array(split(F.col("text"))), windows))  # the words are made once
-    units = some.select("doc_id", F.explode(F.concat(lines, blocks, whole, laid_out)).alias("u")).select("doc_id", "u.*").filter("size(words) > 1")
+    laid = [{"of": at, "word": w, "before": j} for at, (n, k, _) in enumerate(known) for w, j in anchor_places(notices[n][k], threshold)]
+    laid = F.from_json(F.lit(json.dumps(laid)), "array<struct<of:int,word:string,before:int>>")
+
+    # Places of windows as one long each, so that repeats are found by hashing: the notice, and the start past all words before an anchor.
+    far = max([len(_words(text)) for texts in notices.values() for text in texts], default=0)
+    places = F.filter(F.transform("w", lambda x, i: F.struct(i.cast("long").alias("i"), x.alias("x"))), lambda p: F.array_contains(anchor_list, p["x"]))
+    starts = F.flatten(F.transform(places, lambda p: F.transform(F.filter(laid, lambda t: t["word"] == p["x"]), lambda t: F.shiftleft(t["of"].cast("long"), 40) + p["i"] - t["before"] + far)))
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size("s") - 1) / WINDOWS).cast("int")), lambda k: F.slice("s", k * WINDOWS + 1, WINDOWS))
+
+    def window(s: Column) -> Column:
+        of = F.shiftright(s, 40).cast("int")
+        start = (s - F.shiftleft(of.cast("long"), 40) - far).cast("int")
+        at, length = F.greatest(start, F.lit(0)), F.element_at(lengths, of + 1)
+        return unit("window", at, F.slice("w", at + 1, length + F.least(start, F.lit(0))), of)
+
+    lengths = F.array(*[F.lit(len(_words(notices[n][k]))) for n, k, _ in known])
+    placed = some.select("doc_id", "text", split(F.col("text")).alias("w")).select("doc_id", "text", "w", F.array_distinct(starts).alias("s"))
+    # One pass over the texts: the null run stands for all units but windows.
+    runs = F.concat(F.array(F.lit(None).cast("array<bigint>")), F.when(F.size("s") > 0, runs).otherwise(F.array().cast("array<array<bigint>>")))
+    each = placed.select("doc_id", "text", "w", F.explode(runs).alias("run"))
+    units = each.select("doc_id", F.explode(F.when(F.col("run").isNull(), F.concat(lines, blocks, whole)).otherwise(F.transform("run", window))).alias("u")).select("doc_id", "u.*").filter("size(words) > 1")
     pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))
     units = units.select("doc_id", "unit", "position", "of", F.array_distinct(pairs).alias("bigrams"))
 
