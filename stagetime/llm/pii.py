@@ -2,11 +2,17 @@
 
 Base spans (e-mail and network addresses, card and phone numbers) are the protected entities.  Over the
 whole corpus, documents are counted that hold an entity e, a term t, and t within `WINDOW` words of e.
-The disclosure of e by t is `PMI(e; t) / IC(e)`, at most 1, which it reaches where every document with t
-has it beside e.  Beside an entity, terms whose disclosure reaches `generalise_at` are generalised, and
-those that reach `remove_at` are removed.  Pairs of every count are scored: where fewer than `support`
-documents hold a pair, the share of t's documents with e beside it is not taken as counted, but as the
-lower Wilson bound of it at `CONFIDENCE` standard deviations.
+What t leaves open about e is IC(e) - PMI(e; t) = -log2 p(e | t) bits, where p is the lower Wilson bound, at
+`CONFIDENCE` standard deviations, of the share of t's documents with e beside it: one estimate for all counts,
+the same in a table of any size.  A single sighting leaves 2.28 bits open and so is no evidence at 2 bits.
+
+What is beside an entity is held against a background: for every entity a random place of the same document
+stands for a decoy, whose terms are counted and scored alike.  A score is evidence only where the decoys, for as many
+terms, give at most `most_false` of the pairs that the entities give at that score or a better one.  Words that point to
+their document, or to its copies, but have nothing to do with the entity are as common beside decoys, and stay.
+
+Beside an entity, terms that leave at most `generalise_at` bits open are generalised, and those that leave at
+most `remove_at` bits are removed.
 """
 
 from __future__ import annotations
@@ -17,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, distinct_pairs, mix, span_hashes, stored, text_buffer, word_spans
@@ -25,6 +31,8 @@ from .features import NOT_ALNUM, text_steps
 
 WINDOW = 5
 CONFIDENCE = 1.96
+#: Steps of a bit by which scores are held against the background.
+LEVELS = 8
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -74,8 +82,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _near(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) for the terms within WINDOW words of each span."""
+def _near(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
+    """(entity, term, start, end) for the terms within WINDOW words of each span; (entity, term) for those at a random place.
+
+    A decoy's place follows from the entity and the number of terms, so copies of a text have it at the same place;
+    terms within reach of some span are left out of it.
+    """
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     low = LOWER[raw]
     starts, ends, _ = word_spans(low, np.array([0, len(raw)]), NOT_ALNUM)
@@ -88,37 +100,46 @@ def _near(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int,
     np.add.at(cover, np.searchsorted(ends, edges[:, 0], "right"), 1)
     np.add.at(cover, np.searchsorted(starts, edges[:, 1], "left"), -1)
     free = (ends - starts >= 3) & (np.cumsum(cover[:-1]) == 0)
-    term, starts, ends = term[free], starts[free], ends[free]
-    out = []
+    term, starts, ends = term[free].view(np.int64), starts[free], ends[free]
+    out, entities, reached = [], [], np.zeros(len(term), bool)
     for s, kind, e in spans:
         value = text[s:e].lower() if kind < 2 else "".join(filter(str.isdigit, text[s:e]))
         raw_value = np.frombuffer(value.encode(), np.uint8)
         entity = int(mix(span_hashes(raw_value, np.array([0]), np.array([len(raw_value)])) + np.uint64(kind)).view(np.int64)[0])
         at = int(np.searchsorted(starts, s))
         lo, hi = max(0, at - WINDOW), at + WINDOW
-        out += [(entity, *x) for x in zip(term[lo:hi].view(np.int64).tolist(), starts[lo:hi].tolist(), ends[lo:hi].tolist(), strict=True)]
-    return out
+        reached[lo:hi] = True
+        entities.append(entity)
+        out += [(entity, *x) for x in zip(term[lo:hi].tolist(), starts[lo:hi].tolist(), ends[lo:hi].tolist(), strict=True)]
+    decoys = []
+    for entity in entities if len(term) else ():
+        at = (entity ^ 0x5DEECE66D) % len(term)
+        lo, hi = max(0, at - WINDOW), at + WINDOW
+        decoys += [(entity, t) for t, near in zip(term[lo:hi].tolist(), reached[lo:hi].tolist(), strict=True) if not near]
+    return out, decoys
 
 
-_FOUND = "doc_id long, text_key long, base array<struct<start:int,kind:int,end:int>>, near array<struct<entity:long,term:long,start:int,end:int>>"
+_FOUND = "doc_id long, text_key long, base array<struct<start:int,kind:int,end:int>>, near array<struct<entity:long,term:long,start:int,end:int>>, decoys array<struct<entity:long,term:long>>"
 _BASE_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 _NEAR_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+_DECOY_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64())]))
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index("text"))
         buf, offsets = text_buffer(texts)
-        base, near = [[] for _ in range(batch.num_rows)], [[] for _ in range(batch.num_rows)]
+        base, near, decoys = ([[] for _ in range(batch.num_rows)] for _ in range(3))
         hints = np.searchsorted(np.flatnonzero(_HINT[buf]), offsets)
         for i in np.flatnonzero(np.diff(hints)).tolist():
             text = texts[i].as_py()
             base[i] = base_spans(text)
-            near[i] = _near(text, base[i]) if base[i] else []
+            near[i], decoys[i] = _near(text, base[i]) if base[i] else ([], [])
         keys = [{"start": s, "kind": k, "end": e} for x in base for s, k, e in x]
         terms = [{"entity": n, "term": t, "start": s, "end": e} for x in near for n, t, s, e in x]
-        lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(flat, kind.value_type)) for x, flat, kind in ((base, keys, _BASE_TYPE), (near, terms, _NEAR_TYPE))]
-        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text_key")] + lists, ["doc_id", "text_key", "base", "near"])
+        others = [{"entity": n, "term": t} for x in decoys for n, t in x]
+        lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(flat, kind.value_type)) for x, flat, kind in ((base, keys, _BASE_TYPE), (near, terms, _NEAR_TYPE), (decoys, others, _DECOY_TYPE))]
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text_key")] + lists, ["doc_id", "text_key", "base", "near", "decoys"])
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,28 +185,34 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def _lower_bound(k: Column, n: Column) -> Column:
-    """n times the lower Wilson bound of a share counted as k of n."""
+    """The lower Wilson bound of a share counted as k of n."""
     p, z2 = k / n, CONFIDENCE**2
-    return n * (p + z2 / (2 * n) - CONFIDENCE * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    return (p + z2 / (2 * n) - CONFIDENCE * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
 
-def disclosures(docs: DataFrame, found: DataFrame, support: int = 3) -> DataFrame:
-    """entity, term and the share of the entity's information that the term gives away, over all docs."""
-    both = F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term")))
-    pairs = found.select(F.explode(F.array_distinct(both)).alias("x")).groupBy("x.entity", "x.term").agg(F.count("*").alias("n_both"))
+def disclosures(docs: DataFrame, found: DataFrame, most: float = 2.0) -> DataFrame:
+    """entity, term, bits, false_share of the pairs that leave at most so many bits open, over all docs.
+
+    false_share is how many of the pairs that leave no more bits open are to be expected at random places.
+    """
+    pair = lambda c: F.transform(c, lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term")))
+    each = lambda c, real: found.select(F.explode(F.array_distinct(pair(c))).alias("x"), F.lit(real).alias("real"))
+    pairs = each("near", True).union(each("decoys", False)).groupBy("x.entity", "x.term", "real").agg(F.count("*").alias("n_both"))
     pairs = stored(pairs, "term-pairs")
-    per_row = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
-    n_entity = per_row.groupBy("entity").agg(F.count("*").alias("n_entity"))
     counted = docs.select("text").mapInArrow(_document_frequencies, "term long, n long")
-    n_term = counted.groupBy("term").agg(F.sum("n").alias("n_term"))
-    total = float(max(found.count(), 2))
-    ic = F.log(F.lit(total) / F.col("n_entity"))
-    sure = F.when(F.col("n_both") >= support, F.col("n_both").cast("double")).otherwise(_lower_bound(F.col("n_both"), F.col("n_term")))
-    pmi = F.log(F.lit(total) * sure / (F.col("n_entity") * F.col("n_term")))
-    return pairs.join(n_entity, "entity").join(n_term, "term").select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)).alias("disclosure"))
-
-
-def all_spans(docs: DataFrame, generalise_at: float = 0.8, remove_at: float = 0.95, support: int = 3) -> DataFrame:
+    n_term = counted.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
+    bits = -F.log2(_lower_bound(F.col("n_both"), F.col("n_term")))
+    scored = pairs.join(n_term, "term").select("entity", "term", "real", bits.alias("bits")).withColumn("level", F.ceil(F.col("bits") * LEVELS))
+    # By level: at most most * LEVELS + 2 rows, the last for all pairs beyond.
+    levels = scored.groupBy(F.least("level", F.lit(int(most * LEVELS) + 1)).alias("level")).agg(F.count_if("real").alias("real"), F.count_if(~F.col("real")).alias("decoy"))
+    upto, all_levels = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
+    per_term = F.sum("real").over(all_levels) / F.nullif(F.sum("decoy").over(all_levels), F.lit(0))
+    share = F.least(F.lit(1.0), F.sum("decoy").over(upto) * F.coalesce(per_term, F.lit(0.0)) / F.sum("real").over(upto))
+    shares = levels.select("level", F.coalesce(share, F.lit(1.0)).alias("false_share"))
+    return scored.filter(F.col("real") & (F.col("bits") <= most)).join(F.broadcast(shares), "level").select("entity", "term", "bits", "false_share")
+
+
+def all_spans(docs: DataFrame, generalise_at: float = 2.0, remove_at: float = 1.0, most_false: float = 0.1) -> DataFrame:
     """doc_id, text_key, base, spans: one row for each row of docs(doc_id, text, ...).
 
     base and spans are arrays of (start, kind, end), sorted; kind is a place in KINDS, and positions are
@@ -194,10 +221,10 @@ def all_spans(docs: DataFrame, generalise_at: float = 0.8, remove_at: float = 0.
     other.  Other columns are ignored; an empty table gives an empty result.
     """
     found = find(docs)
-    risky = disclosures(docs, found, support).filter(F.col("disclosure") >= generalise_at)
+    risky = disclosures(docs, found, max(generalise_at, remove_at)).filter(F.col("false_share") <= most_false)
     near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.entity", "x.term", "x.start", "x.end")
-    action = F.when(F.col("disclosure") >= remove_at, KINDS.index("remove")).otherwise(KINDS.index("generalise"))
-    hits = near.join(risky, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max(action).alias("kind"))
+    action = F.when(F.col("bits") <= remove_at, KINDS.index("remove")).when(F.col("bits") <= generalise_at, KINDS.index("generalise"))
+    hits = near.join(risky, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max(action).alias("kind")).filter("kind is not null")
     span = F.struct(F.col("start"), F.col("kind").cast("int").alias("kind"), F.col("end"))
     more = hits.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(F.collect_list(span).alias("more"))
     spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
