@@ -7,6 +7,8 @@ the operators' docstrings say; an empty table passes through every stage.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, learned from all labelled ones, doesn't reject."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     model = quality.fit(docs, labels)
-    return quality.score(docs, model).filter("quality_score >= 0.5").select(*docs.columns)
+    name = f"score_{uuid.uuid4().hex}"  # docs may have a column of any name
+    return quality.score(docs, model, name).filter(F.col(name) >= 0.5).drop(name)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -272,8 +272,8 @@ def _indexes(items: DataFrame, index_bytes: int) -> Iterator[ItemIndex]:
 _LEAKS = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
 
 
-def _searched(docs: DataFrame, index: ItemIndex, least: tuple[float, float, float]) -> DataFrame:
-    """docs, which have a text, with a column leaks from one index."""
+def _searched(docs: DataFrame, index: ItemIndex, least: tuple[float, float, float], name: str) -> DataFrame:
+    """docs, which have a text, with a column of that name from one index."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,38 +283,40 @@ def _searched(docs: DataFrame, index: ItemIndex, least: tuple[float, float, floa
                 low = LOWER[buf]
                 starts, ends, row = word_spans(low, offsets, NOT_ALNUM)
                 leaks += shared.value.leaks(span_hashes(low, starts, ends), row, hi - lo, *least)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, pa.list_(_LEAK))], [*batch.schema.names, "leaks"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, pa.list_(_LEAK))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, widened(docs.schema, leaks=_LEAKS))
+    return docs.mapInArrow(run, widened(docs.schema, **{name: _LEAKS}))
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, question_least: float = 0.8, answer_least: float = 0.5, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """docs with a column leaks: the test items that each text holds, with score and overlaps, by item_id.
+def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, question_least: float = 0.8, answer_least: float = 0.5, index_bytes: int = INDEX_BYTES, name: str = "leaks") -> DataFrame:
+    """docs with a column of that name, leaks: the test items that each text holds, with score and overlaps, by item_id.
 
     Null, empty and wordless texts, and items without words, leak nothing.  A very long text is searched
     passage by passage.  Repeated rows are treated each on its own; items of equal texts are all returned,
-    and count once in the statistics.  A column named leaks in docs is replaced; without items every list
-    is empty.  Where items take more than index_bytes, docs are written once with a number for each row,
+    and count once in the statistics.  A column of that name in docs is replaced; without items every list
+    is empty.  An item text's ids are held and told with each of its finds, so the index also holds one number for
+    every row of items.  Where items take more than index_bytes, docs are written once with a number for each row,
     every part's finds are stored by that number, and both are joined.
     """
-    docs, least = docs.drop("leaks"), (threshold, question_least, answer_least)
+    docs, least = docs.drop(name), (threshold, question_least, answer_least)
     indexes = _indexes(items, index_bytes)
     first = next(indexes)
     second = next(indexes, None)
     if second is None:
-        return _searched(docs, first, least)
+        return _searched(docs, first, least, name)
     scratch, row = Scratch(docs.sparkSession), f"row_{uuid.uuid4().hex}"
     numbered = scratch.stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = None
     for k, index in enumerate(chain((first, second), indexes)):
-        one = scratch.stored(_searched(numbered.select(row, "text"), index, least).filter("size(leaks) > 0").select(row, "leaks"), f"leaks-{k}")
+        one = scratch.stored(_searched(numbered.select(row, "text"), index, least, "leaks").filter("size(leaks) > 0").select(row, "leaks"), f"leaks-{k}")
         found = one if found is None else found.unionByName(one)
     order = F.transform("leaks", lambda x: F.struct(x["item_id"].isNotNull().alias("known"), *[x[c] for c in ("item_id", "score", "question_overlap", "answer_overlap")]))
-    merged = found.groupBy(row).agg(F.flatten(F.collect_list("leaks")).alias("leaks")).select(row, F.transform(F.array_sort(order), lambda x: x.dropFields("known")).alias("leaks"))
+    merged = found.groupBy(row).agg(F.flatten(F.collect_list("leaks")).alias("leaks")).select(row, F.transform(F.array_sort(order), lambda x: x.dropFields("known")).alias(f"{row}_leaks"))
     joined = numbered.join(merged, row, "left")
-    return joined.select(*docs.columns, F.coalesce("leaks", F.array().cast(_LEAKS)).cast(_LEAKS).alias("leaks"))
+    return joined.select(*docs.columns, F.coalesce(f"{row}_leaks", F.array().cast(_LEAKS)).cast(_LEAKS).alias(name))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
-    """The rows of docs that hold no test item, in docs' own columns but for any named leaks."""
-    return find_leaks(docs, items, **settings).filter("size(leaks) = 0").drop("leaks")
+    """The rows of docs that hold no test item, in docs' own columns, whatever they are called."""
+    name = f"leaks_{uuid.uuid4().hex}"
+    return find_leaks(docs, items, name=name, **settings).filter(F.size(name) == 0).drop(name)

@@ -135,13 +135,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, smoothing: float
     return QualityModel(ratio, w[:-1], float(w[-1]), *platt(margin[held], label[held]))
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """docs with a column quality_score in [0, 1] added in place of any that it has of that name.
+def score(docs: DataFrame, model: QualityModel, name: str = "quality_score") -> DataFrame:
+    """docs with a column of that name, in [0, 1], added in place of any that it has so named.
 
     Null and empty texts have no indicator and get the score of the bias.  Repeated rows and ties are
     scored alike; an empty table gives an empty one.
     """
-    docs = docs.drop("quality_score")
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two numbers for each bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,6 +149,6 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
             parts = [np.zeros(0)]
             for lo, hi, buf, offsets in text_steps(batch):
                 parts.append(shared.value.scores(shared.value.margins(*_indicators(buf, offsets), hi - lo)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts))], [*batch.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, widened(docs.schema, quality_score="double"))
+    return docs.mapInArrow(run, widened(docs.schema, **{name: "double"}))

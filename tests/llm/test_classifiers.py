@@ -1,5 +1,8 @@
 """The classifiers: held-out accuracy on the given tables, odd inputs, and the solvers by themselves."""
 
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +147,68 @@ def test_document_frequencies_equal_counting(spark):
     assert np.allclose(model.idf, np.log((1 + len(known)) / (1 + df)) + 1, atol=1e-5) and model.langs == ["de", "en"]
 
 
+def test_language_query_equals_plain_logits(spark, tmp_path):
+    """The whole query op4 against counting n-grams, plain logits and a softmax, one text at a time."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = spark.createDataFrame([(900001, "12 34 !!", "en", "s", 1), (900002, None, None, None, None), (900003, "", "de", "s", 0), (900004, "naïve " * 20000, "fr", "s", 1), (5, "once more five", "en", "s", 1)], docs.schema)
+    docs.unionByName(odd).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    learn = lambda i: zlib.crc32(str(i).encode()) % 3 != 1
+    model = langid.fit(docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
+    df, known = np.zeros(1 << langid.BITS), [t for i, t, lang in rows if lang is not None and learn(i)]
+    for t in known:
+        df[np.unique(langid._terms([t or ""])[1])] += 1
+    want = []
+    for i, t, _ in rows:
+        if not any(map(str.isalpha, t or "")):
+            want.append((i, not learn(i), "und", 0.0))
+            continue
+        _, bucket, n = langid._terms([t])
+        value = (1 + np.log(n)) * (np.log((1 + len(known)) / (1 + df[bucket])) + 1)
+        x = (value / np.sqrt((value**2).sum()) @ model.weight[bucket].astype(float) + model.weight[-1]) / model.temperature
+        p = np.exp(x - x.max())
+        want.append((i, not learn(i), model.langs[int(p.argmax())], float(p.max() / p.sum())))
+    got = sorted(map(tuple, queries.op4_ftrl_langid(spark, str(tmp_path)).collect()))
+    assert [x[:3] for x in got] == [x[:3] for x in sorted(want)] and np.allclose([x[3] for x in got], [x[3] for x in sorted(want)], atol=1e-3)
+
+
+def test_toxicity_query_equals_counting(spark, tmp_path):
+    """The vocabulary, the shares of words over all texts, and every score of op2 against plain counting."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    docs.select("doc_id", "text").unionByName(spark.createDataFrame([(900002, None), (900003, ""), (900004, "word " * 50000)], "doc_id long, text string")).write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    own, train = docs.filter(fold), toxicity.train
+
+    def watched(row, column, n, p, share, prior):
+        seen.update(share=share, n=n, p=p, prior=prior, out=train(row, column, n, p, share, prior))
+        return seen["out"]
+
+    toxicity.train = watched
+    try:
+        model = toxicity.fit(own, labels.filter(fold))
+    finally:
+        toxicity.train = train
+    parts = lambda t: set(toxicity._parts(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[1].tolist())
+    texts = [(r["doc_id"], r["text"]) for r in own.collect()]
+    positive = {r["doc_id"] for r in labels.filter(fold).filter("toxic = 1").collect()}
+    # Under its bound the sample of either kind is all rows, so the vocabulary is that of every text, positives counted twice.
+    count, twice = Counter(w for _, t in texts for w in parts(t)), Counter(w for i, t in texts if i in positive for w in parts(t))
+    vocabulary = sorted(w for w in count if count[w] + twice[w] >= 5)
+    assert seen["p"] == len(positive & {i for i, _ in texts}) and seen["n"] == len(texts) + seen["p"]
+    assert np.allclose(seen["share"], [count[w] / len(texts) for w in vocabulary])
+    known = labels.filter(fold).filter("toxic is not null").collect()
+    assert abs(seen["prior"] - min(max(sum(r["toxic"] for r in known) / len(known), 1e-3), 0.9)) < 1e-12
+    chosen, w, bias = seen["out"]
+    weight = {vocabulary[c]: x for c, x in zip(chosen, w, strict=True)}
+    got = {r["doc_id"]: r["score"] for r in queries.op2_nnpu_toxicity(spark, str(tmp_path)).collect()}
+    for r in docs.collect():
+        assert abs(got[r["doc_id"]] - 1 / (1 + np.exp(-(bias + sum(weight.get(x, 0.0) for x in parts(r["text"])))))) < 1e-6
+    assert len(got) == docs.count() and model.bias == bias
+
+
 def test_samples_keep_their_bound(spark):
     from stagetime.llm import sampling
 
