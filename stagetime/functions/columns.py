@@ -196,7 +196,11 @@ def normal_url(value: Column) -> Column:
     return F.when(scheme.isin("http", "https") & (host != ""), F.concat(scheme, F.lit("://"), host, rest))
 
 
+def row_hash(columns: list[str]) -> Column:
+    """A hash of a row's values by their columns' names, whatever the order of the columns."""
+    return F.xxhash64(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}))
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row (n_rows, digest) that doesn't depend on the order of rows."""
-    row = F.xxhash64(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}))
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("digest"))
+    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(row_hash(df.columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("digest"))

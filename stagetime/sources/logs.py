@@ -1,14 +1,11 @@
-"""Raw logs and bundles: landing pages, typed projections, duplicate guards, versioned publication."""
+"""Raw logs: landing pages, typed projections, duplicate guards."""
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import event_micros, fingerprint
+from ..functions.columns import event_micros
 
 PAGE = "source string, captured_at string, logs array<struct<id:string,event:string,created_at:string,data:string>>"
 
@@ -32,7 +29,7 @@ def typed_log(raw: DataFrame) -> DataFrame:
 
 
 def once(typed: DataFrame) -> DataFrame:
-    """Rows without repeats; raises if an event_id stands for unlike rows."""
+    """Rows without repeats; raises if an event_id stands for unlike rows.  The guard starts a job when this is called."""
     clash = typed.groupBy("event_id").agg(F.count_distinct("hash").alias("n")).filter("n > 1").limit(1).collect()
     if clash:
         raise ValueError(f"event {clash[0]['event_id']} has unlike copies")
@@ -41,44 +38,3 @@ def once(typed: DataFrame) -> DataFrame:
 
 def summary(typed: DataFrame) -> DataFrame:
     return typed.agg(F.count_distinct("event_id").alias("events"), (F.count("*") - F.count_distinct("event_id")).alias("duplicates"), F.count_if(F.col("at").isNull()).alias("bad_times"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))
-
-
-def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, cut: int) -> str:
-    """Writes all tables beside what is published, checks what can be read back, then moves the pointer.
-
-    A bundle with an earlier cut than the published one is refused.  The pointer is a one-row table that
-    names the version and holds each table's count and fingerprint.
-    """
-    now = current(spark, root)
-    if now and now["cut"] > cut:
-        raise ValueError(f"cut {cut} is before the published one, {now['cut']}")
-    version = uuid.uuid4().hex
-    facts = {}
-    for name, df in tables.items():
-        path = f"{root}/versions/{version}/{name}"
-        df.write.parquet(path)
-        made, read = (fingerprint(x).first() for x in (df, spark.read.parquet(path)))
-        if made != read:
-            raise ValueError(f"{name}: what was written reads differently")
-        facts[name] = [read["n_rows"], str(read["digest"])]
-    spark.createDataFrame([(cut, version, json.dumps(facts))], "cut long, version string, facts string").coalesce(1).write.mode("append").parquet(f"{root}/pointer")
-    return version
-
-
-def current(spark: SparkSession, root: str) -> dict | None:
-    """The pointer with the latest cut, of equal cuts the last by version, or None."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        pointers = spark.read.schema("cut long, version string, facts string").parquet(f"{root}/pointer")
-        row = pointers.orderBy(F.desc("cut"), F.desc("version")).first()
-    except AnalysisException:
-        return None
-    return row.asDict() if row else None
-
-
-def verified(spark: SparkSession, root: str) -> bool:
-    """Whether every published table still has the count and fingerprint that the pointer holds."""
-    now = current(spark, root)
-    facts = json.loads(now["facts"]) if now else {}
-    return bool(now) and all([r["n_rows"], str(r["digest"])] == want for name, want in facts.items() for r in [fingerprint(spark.read.parquet(f"{root}/versions/{now['version']}/{name}")).first()])

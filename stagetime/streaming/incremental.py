@@ -1,14 +1,10 @@
-"""The log as a stream: deduplicated reads, stateful intervals, upserts of each micro-batch."""
+"""The log as a stream: deduplicated reads, upserts of each micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.quality import upsert
 
@@ -18,35 +14,6 @@ def log_stream(spark: SparkSession, path: str, schema: str, overlap: str = "1 da
     return spark.readStream.schema(schema).parquet(path).withWatermark("ts", overlap).dropDuplicatesWithinWatermark(["event_id"])
 
 
-_STATE = "status string, started long, event_id long"
-CLOSED = "kind string, case_id long, status string, started long, ended long"
-
-
-def _close(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    status, started, event_id = state.get if state.exists else (None, None, None)
-    rows = pd.concat(list(batches)).sort_values(["at", "event_id"])
-    out = []
-    for r in rows.itertuples():
-        if started is not None and (r.at, r.event_id) <= (started, event_id):
-            out.append(("late", key[0], r.status, int(r.at), None))
-            continue
-        if started is None or r.status != status:
-            if started is not None:
-                out.append(("closed", key[0], status, started, int(r.at)))
-            status, started, event_id = r.status, int(r.at), int(r.event_id)
-    state.update((status, started, event_id))
-    yield pd.DataFrame(out, columns=["kind", "case_id", "status", "started", "ended"]).astype({"started": "Int64", "ended": "Int64"})
-
-
-def closed_intervals(events: DataFrame) -> DataFrame:
-    """Intervals of a stream of events(case_id, event_id, at, status), each as soon as it has ended.
-
-    kind is closed, or late for an event that comes after a later one of its case: started is then its time,
-    and the case has to be derived again from the stored log.
-    """
-    return events.groupBy("case_id").applyInPandasWithState(_close, CLOSED, _STATE, "append", GroupStateTimeout.NoTimeout)
-
-
 def current_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """The table that write_upserts keeps: of each bucket its last version, or the last before a batch."""
     rows = spark.read.parquet(path)

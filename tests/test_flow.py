@@ -109,16 +109,6 @@ def test_upsert_prefers_news(spark):
     assert sorted(map(tuple, quality.upsert(old, new, ["k"], "seen").collect())) == [(1, "a", 5), (2, "c", 6), (3, "d", 9)]
 
 
-def test_publish_and_verify(spark, tmp_path):
-    root = str(tmp_path / "bundle")
-    df = spark.range(10)
-    assert logs.current(spark, root) is None
-    logs.publish(spark, {"numbers": df}, root, cut=5)
-    assert logs.verified(spark, root)
-    with pytest.raises(ValueError):
-        logs.publish(spark, {"numbers": df}, root, cut=4)
-
-
 def test_landed_pages(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"source":"s","captured_at":"t","logs":[{"id":"1","event":"e","created_at":"1706670000","data":"{\\"item\\":\\"7\\",\\"value\\":{\\"label\\":\\"x\\"}}"},{"id":"2","event":"e","created_at":"?","data":"no"}]}\n')
     typed = logs.typed_log(logs.landed_pages(spark, str(tmp_path))).orderBy("event_id").collect()
@@ -127,31 +117,6 @@ def test_landed_pages(spark, tmp_path):
         logs.once(spark.createDataFrame([("1", "a"), ("1", "b")], "event_id string, hash string"))
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    from stagetime.streaming.incremental import closed_intervals
-
-    events = binding.status_events(spark, SF).filter("user_id < 20").select("case_id", "event_id", "at", "status")
-    events.repartition(1).sortWithinPartitions("at").write.parquet(str(tmp_path / "in"))
-    stream = closed_intervals(spark.readStream.schema(events.schema).parquet(str(tmp_path / "in")))
-    q = stream.writeStream.format("memory").queryName("closed").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    batch = intervals.build_intervals(events.withColumn("account", F.lit("A")), 1 << 60).filter("ended is not null").select("case_id", "status", "started", "ended")
-    assert sorted(map(repr, spark.table("closed").filter("kind = 'closed'").drop("kind").collect())) == sorted(map(repr, batch.collect()))
-    assert spark.table("closed").filter("kind = 'late'").count() == 0
-
-
-def test_late_events_are_told(spark, tmp_path):
-    from stagetime.streaming.incremental import closed_intervals
-
-    schema = "case_id long, event_id long, at long, status string"
-    for k, rows in enumerate([[(1, 1, 10, "a"), (1, 2, 30, "b")], [(1, 3, 20, "c"), (1, 4, 40, "a")]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        q = closed_intervals(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
-        q.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
-    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()), key=repr)
-    assert got == [("closed", 1, "a", 10, 30), ("closed", 1, "b", 30, 40), ("late", 1, "c", 20, None)]
-
-
 def test_stream_upserts(spark, tmp_path):
     from stagetime.streaming.incremental import current_rows, write_upserts
 
