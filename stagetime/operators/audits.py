@@ -77,6 +77,32 @@ def matching_fields(old: DataFrame, new: DataFrame, fields: list[str], top: int
     return both.groupBy("field").agg(F.count("*").alias("common"), F.count_if((F.col("a") == 1) & (F.col("b") == 1)).alias("one_to_one")).orderBy(F.desc("common"), "field").limit(top)
 
 
+def composite_keys(old: DataFrame, new: DataFrame, name: str, fields: list[str], top: int = 12, least: int = 5) -> DataFrame:
+    """fields, unique_pairs, ambiguous, disambiguated: how well the name and one or two more fields tell items apart.
+
+    Only the `top` fields with most values on both sides, and with `least` of them, are put together.  unique_pairs
+    are values that stand once on either side, ambiguous the other common ones; disambiguated are unique
+    pairs whose name alone stands several times.  Values are counted before they meet, so a common one costs one
+    row, and missing parts never match.
+    """
+    chosen = [r["field"] for r in matching_fields(old, new, fields, top).filter(F.col("common") >= least).select("field").collect()]  # top at most
+    combos = [(a,) for a in chosen] + [(a, b) for i, a in enumerate(chosen) for b in chosen[i + 1 :]]
+
+    def values(df: DataFrame, side: int) -> DataFrame:
+        text = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
+        entries = [F.struct(F.lit("+".join(c)).alias("fields"), text(name).alias("name"), F.when(F.array_contains(F.transform(F.array(*map(text, c)), lambda x: x.isNull()), True), None).otherwise(F.array(*map(text, c))).alias("value")) for c in combos]
+        entries.append(F.struct(F.lit("").alias("fields"), text(name).alias("name"), F.array().cast("array<string>").alias("value")))
+        rows = df.select(F.explode(F.array(*entries)).alias("x")).select("x.*").filter("name is not null and value is not null")
+        return rows.groupBy("fields", "name", "value").agg(F.count("*").alias("n")).withColumn("side", F.lit(side))
+
+    mine = lambda side: F.sum(F.when(F.col("side") == side, F.col("n")).otherwise(0))
+    both = values(old, 0).unionByName(values(new, 1)).groupBy("fields", "name", "value").agg(mine(0).alias("a"), mine(1).alias("b")).filter("a > 0 and b > 0")
+    repeated = both.filter("fields = '' and (a > 1 or b > 1)").select("name", F.lit(1).alias("_r"))
+    rows = both.filter("fields <> ''").join(repeated, "name", "left")
+    one = (F.col("a") == 1) & (F.col("b") == 1)
+    return rows.groupBy("fields").agg(F.count_if(one).alias("unique_pairs"), F.count_if(~one).alias("ambiguous"), F.count_if(one & F.col("_r").isNotNull()).alias("disambiguated"))
+
+
 def memberships(sets: dict[str, DataFrame], key: list[str]) -> DataFrame:
     """groups, n: how many keys are in exactly which of several sets."""
     every = stacked([df.select(*key, F.lit(name).alias("_s")) for name, df in sets.items()])

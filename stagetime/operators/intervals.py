@@ -19,18 +19,30 @@ def in_order() -> WindowSpec:
     return by_case().orderBy("started", "event_id")
 
 
-def build_intervals(events: DataFrame, cut: int) -> DataFrame:
+def tie_order(created: Column, event_id: Column) -> list[Column]:
+    """What puts events of one instant in order: creation time as a number, numeric ids by value, then ids of text.
+
+    A creation time that isn't all digits counts as 0.  Numbers may have up to 38 digits.
+    """
+    number = lambda c: F.when(F.regexp_like(c, F.lit("^[0-9]{1,38}$")), c).cast("decimal(38,0)")
+    text = event_id.cast("string")
+    value = number(text)
+    return [F.coalesce(number(created.cast("string")), F.lit(0).cast("decimal(38,0)")), value.isNull(), value, text]
+
+
+def build_intervals(events: DataFrame, cut: int, ties: list[Column] | None = None) -> DataFrame:
     """One row for each stay: events(case_id, event_id, at, status, account) before cut.
 
-    Events are ordered by time and id; a repeat of the status before it changes nothing.  A stay ends
-    where the next begins; the last is open (ended null) and observed up to the cut.
+    Events are ordered by time and id, or by time and ties; a repeat of the status before it changes nothing.
+    A stay ends where the next begins; the last is open (ended null) and observed up to the cut.
     """
-    order = by_case().orderBy("at", "event_id")
+    ties = [F.col("event_id")] if ties is None else ties
+    order = by_case().orderBy("at", *ties)
     before = F.lag(F.struct("status")).over(order)
     changed = events.filter(F.col("at") < cut).withColumn("_b", before).filter(F.col("_b").isNull() | ~F.col("_b.status").eqNullSafe(F.col("status")))
     return changed.select(
         "case_id", "event_id", "account", "status", F.col("at").alias("started"), F.lead("at").over(order).alias("ended"), F.row_number().over(order).alias("position"),
-        F.row_number().over(Window.partitionBy("case_id", "status").orderBy("at", "event_id")).alias("visit"),
+        F.row_number().over(Window.partitionBy("case_id", "status").orderBy("at", *ties)).alias("visit"),
     ).withColumn("seen_until", F.coalesce("ended", F.lit(cut)))
 
 
@@ -38,13 +50,13 @@ def split_days(intervals: DataFrame, zone: str) -> DataFrame:
     """case_id, status, day, spent: microseconds of each local day; midnight belongs to the next day."""
     first, last = local_day(F.col("started"), zone), local_day(F.col("seen_until") - 1, zone)
     days = intervals.filter("seen_until > started").withColumn("day", F.explode(F.sequence(first, last)))
-    start = _day_start(F.col("day"), zone)
-    end = _day_start(F.date_add("day", 1), zone)
+    start = day_start(F.col("day"), zone)
+    end = day_start(F.date_add("day", 1), zone)
     spent = F.least("seen_until", end) - F.greatest("started", start)
     return days.withColumn("spent", spent).groupBy("case_id", "status", "day").agg(F.sum("spent").alias("spent"))
 
 
-def _day_start(day: Column, zone: str) -> Column:
+def day_start(day: Column, zone: str) -> Column:
     return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(F.unix_date(day).cast("long") * DAY), zone))
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SEPARATORS, CalendarSpec
-from ..functions.columns import local_day, strict_sum
-from .intervals import by_case, in_order
+from ..functions.columns import business_micros, folded, local_day, strict_sum
+from .intervals import by_case, day_start, in_order
 from .quantiles import quantiles, running_total, with_quantiles
 
 DAY = 86_400_000_000
@@ -46,15 +46,52 @@ def ongoing(stays: DataFrame, cut: int) -> DataFrame:
     return stays.filter("ended is null and role <> 'terminal'").select("case_id", "status", "role", "started", (F.lit(cut) - F.col("started")).alias("age"))
 
 
-def daily(stays: DataFrame, zone: str, cut: int) -> DataFrame:
-    """One row for each case and local day from its opening to the cut: last status, deliveries to date."""
-    day_of = stays.withColumn("day", local_day(F.col("started"), zone))
-    per_day = day_of.groupBy("case_id", "day").agg(F.max_by(F.struct("status"), "position").alias("s"), F.sum((F.col("role") == "delivery").cast("long")).alias("d"))
-    last = local_day(F.lit(cut - 1), zone)
-    spine = day_of.groupBy("case_id").agg(F.min("day").alias("first")).withColumn("day", F.explode(F.sequence("first", last))).select("case_id", "day")
+def daily(stays: DataFrame, spec: CalendarSpec, cut: int) -> DataFrame:
+    """One row for each case and local day from its opening to its end: how it stood when the day was over.
+
+    A case that ended with a terminal stay has its last row on that stay's day, any other one on the day
+    before the cut.  status is that of the last stay begun by then; worked is the business time of work in
+    cycles up to the end of the day, and null from the day on which a stay of unknown status began to count;
+    since_opened is the business time since the opening; state is open but on the last day of a closed case.
+    """
+    zone = spec.zone
+    case = stays.groupBy("case_id").agg(F.min("started").alias("opened"), F.max_by(F.struct("role", "started"), "position").alias("l"))
+    closed = F.col("l.role") == "terminal"
+    case = case.select("case_id", "opened", closed.alias("closed"), F.when(closed, F.col("l.started")).otherwise(F.lit(cut)).alias("stop"))
+    first, last = local_day(F.col("opened"), zone), local_day(F.col("stop") - F.when(F.col("closed"), 0).otherwise(1), zone)
+    spine = case.select("*", F.explode(F.sequence(first, F.greatest(first, last))).alias("day"), F.greatest(first, last).alias("last_day"))
+
+    begun = stays.withColumn("day", local_day(F.col("started"), zone)).groupBy("case_id", "day").agg(F.max_by(F.struct("status"), "position").alias("s"), F.count_if(F.col("role") == "delivery").alias("d"), F.count_if((F.col("role") == "unknown") & F.col("cycle").isNotNull()).alias("u"))
+    work = stays.filter("role = 'work' and cycle is not null and seen_until > started")
+    days = F.sequence(local_day(F.col("started"), zone), local_day(F.col("seen_until") - 1, zone))
+    pieces = work.select("case_id", "started", "seen_until", F.explode(days).alias("day"))
+    inside = business_micros(F.greatest("started", day_start(F.col("day"), zone)), F.least("seen_until", day_start(F.date_add("day", 1), zone)), spec)
+    spent = pieces.select("case_id", "day", inside.alias("w")).groupBy("case_id", "day").agg(strict_sum(F.col("w")).alias("w"))
+
+    rows = spine.join(begun, ["case_id", "day"], "left").join(spent, ["case_id", "day"], "left")
     order = by_case().orderBy("day")
-    rows = spine.join(per_day, ["case_id", "day"], "left")
-    return rows.select("case_id", "day", F.last("s", ignorenulls=True).over(order)["status"].alias("status"), F.sum(F.coalesce("d", F.lit(0))).over(order).alias("deliveries_to_date"))
+    unknown = F.sum(F.coalesce("u", F.lit(0))).over(order) > 0
+    end = F.least(F.col("stop"), day_start(F.date_add("day", 1), zone))
+    return rows.select(
+        "case_id", "day", F.last("s", ignorenulls=True).over(order)["status"].alias("status"), F.sum(F.coalesce("d", F.lit(0))).over(order).alias("deliveries_to_date"),
+        F.when(~unknown, F.sum(F.coalesce("w", F.lit(0))).over(order)).alias("worked"), business_micros(F.col("opened"), end, spec).alias("since_opened"),
+        F.when(F.col("closed") & (F.col("day") == F.col("last_day")), "closed").otherwise("open").alias("state"),
+        (business_micros(day_start(F.col("day"), zone), day_start(F.date_add("day", 1), zone), spec) > 0).alias("is_business_day"),
+    )
+
+
+def grow(dimension: DataFrame, seen: DataFrame, scope: str, terminal: tuple[str, ...], run: int) -> DataFrame:
+    """dimension(status_id, label, label_key, is_terminal, since) with what seen(index, label) has and it hasn't.
+
+    An id is the scope and the status' index, or, without one, a hash of the folded label.  What is there
+    stays as it is, whatever the label reads now; of several new labels of one id the least one enters.
+    """
+    key = folded(F.coalesce(F.nullif(F.trim("label"), F.lit("")), F.lit("No status")))
+    suffix = F.coalesce(F.col("index").cast("string"), F.concat(F.lit("label_"), F.substring(F.sha2(key, 256), 1, 16)))
+    named = seen.select(F.concat(F.lit(f"{scope}:"), suffix).alias("status_id"), F.coalesce(F.nullif(F.trim("label"), F.lit("")), F.lit("No status")).alias("label"))
+    new = named.groupBy("status_id").agg(F.min("label").alias("label")).join(dimension.select("status_id"), "status_id", "left_anti")
+    label_key = folded(F.col("label"))
+    return dimension.unionByName(new.select("status_id", "label", label_key.alias("label_key"), label_key.isin(*[t.lower() for t in terminal]).alias("is_terminal"), F.lit(run).alias("since")))
 
 
 def delivery_times(projects: DataFrame) -> DataFrame:

@@ -226,11 +226,18 @@ def ongoing_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.ongoing(all_stays(spark, sf_dir), CUT)
 
 
-@query(stays_sql(f""", st AS (SELECT *, make_timestamp(started {LOCAL})::DATE AS d FROM stays), spine AS (SELECT case_id, unnest(generate_series(min(d), DATE '2024-01-30', INTERVAL 1 DAY))::DATE AS day FROM st GROUP BY case_id)
-SELECT case_id, day, (SELECT s.status FROM st s WHERE s.case_id = x.case_id AND s.d <= x.day ORDER BY s.position DESC LIMIT 1) AS status,
-(SELECT count(*) FROM st s WHERE s.case_id = x.case_id AND s.d <= x.day AND s.role = 'delivery') AS deliveries_to_date FROM spine x"""))
+_DAYS = f""", st AS (SELECT *, make_timestamp(started {LOCAL})::DATE AS d FROM stays), ce AS (SELECT case_id, min(started) AS opened, min(d) AS f, arg_max(role, position) = 'terminal' AS closed, arg_max(d, position) AS ld, arg_max(started, position) AS ls FROM st GROUP BY case_id),
+cl AS (SELECT day::DATE AS day, epoch_us(day) AS m, isodow(day) < 6 AND day::DATE NOT IN ({_HOLIDAYS}) AS is_open FROM (SELECT unnest(generate_series(DATE '2023-12-25', DATE '2024-02-05', INTERVAL 1 DAY)) AS day)),
+sp AS (SELECT *, unnest(generate_series(f, last_day, INTERVAL 1 DAY))::DATE AS day FROM (SELECT *, CASE WHEN closed THEN greatest(f, ld) ELSE DATE '2024-01-30' END AS last_day, CASE WHEN closed THEN ls ELSE {CUT} END AS stop FROM ce)),
+wk AS (SELECT case_id, day, sum(greatest(0, least(seen_until {LOCAL}, m + w.b * 3600000000) - greatest(started {LOCAL}, m + w.a * 3600000000))) AS w FROM st JOIN cl ON is_open AND m < seen_until {LOCAL} AND m + 86400000000 > started {LOCAL} CROSS JOIN (VALUES (10, 13), (14, 19)) w(a, b) WHERE role = 'work' AND cycle IS NOT NULL GROUP BY ALL),
+so AS (SELECT case_id, sp.day, sum(greatest(0, least(stop {LOCAL}, least(cl.m + w.b * 3600000000, epoch_us(sp.day) + 86400000000)) - greatest(opened {LOCAL}, cl.m + w.a * 3600000000))) AS s FROM sp JOIN cl ON is_open AND cl.day BETWEEN f AND sp.day CROSS JOIN (VALUES (10, 13), (14, 19)) w(a, b) GROUP BY ALL)"""
+
+
+@query(stays_sql(f"""{_DAYS} SELECT x.case_id, x.day, (SELECT s.status FROM st s WHERE s.case_id = x.case_id AND s.d <= x.day ORDER BY s.position DESC LIMIT 1) AS status, (SELECT count(*) FROM st s WHERE s.case_id = x.case_id AND s.d <= x.day AND s.role = 'delivery') AS deliveries_to_date,
+CASE WHEN NOT EXISTS (SELECT 1 FROM st s WHERE s.case_id = x.case_id AND s.d <= x.day AND s.role = 'unknown' AND s.cycle IS NOT NULL) THEN coalesce((SELECT sum(w) FROM wk WHERE wk.case_id = x.case_id AND wk.day <= x.day), 0)::BIGINT END AS worked,
+coalesce(so.s, 0)::BIGINT AS since_opened, CASE WHEN closed AND x.day = last_day THEN 'closed' ELSE 'open' END AS state, cl.is_open AS is_business_day FROM sp x JOIN cl ON cl.day = x.day LEFT JOIN so ON so.case_id = x.case_id AND so.day = x.day"""))
 def project_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.daily(all_stays(spark, sf_dir), ZONE, CUT)
+    return model.daily(all_stays(spark, sf_dir), SPEC, CUT)
 
 
 @query(stays_sql("""SELECT case_id, to_first_delivery, round(cume_dist() OVER (ORDER BY to_first_delivery) * 100, 6) AS percent_rank, CASE WHEN to_first_delivery < 86400000000 THEN 'under a day' WHEN to_first_delivery < 604800000000 THEN 'under a week' ELSE 'a week or more' END AS band,

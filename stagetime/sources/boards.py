@@ -81,3 +81,83 @@ def catalogue(previous: DataFrame, current: DataFrame, at: int) -> DataFrame:
     both = previous.join(now, "id", "full_outer")
     here = F.coalesce("_here", F.lit(False))
     return both.select("id", F.coalesce("_title", "title").alias("title"), F.coalesce("first_seen", F.lit(at)).alias("first_seen"), F.when(here, F.lit(at)).otherwise(F.col("last_seen")).alias("last_seen"), here.alias("is_present"))
+
+
+# --- cells whose form differs, under each board's own settings ------------------------------------
+
+
+def board_columns(boards: DataFrame) -> DataFrame:
+    """board_id, column_id, title, kind, labels of boards(board_id, columns): labels are those of the column's settings, as a map."""
+    each = boards.select("board_id", F.explode("columns").alias("c"))
+    labels = F.from_json(F.col("c.settings_str"), "labels map<string,string>")["labels"]
+    return each.select("board_id", F.col("c.id").alias("column_id"), F.col("c.title").alias("title"), F.col("c.type").alias("kind"), labels.alias("labels"))
+
+
+def status_cell(value: Column, labels: Column) -> Column:
+    """index and label of a status cell of any of its forms: {index}, {label: {index, text}}, {label: text}, as number or text.
+
+    The label is that of the cell itself where it has one, else what the board calls the index.
+    """
+    v = F.try_parse_json(value)
+    got = lambda path: F.try_variant_get(v, path, "string")
+    nested = F.coalesce(got("$.label.index"), got("$.label.text")).isNotNull()
+    index = F.coalesce(got("$.label.index"), got("$.index"))
+    plain = F.when(~nested & ~F.startswith(F.ltrim(got("$.label")), F.lit("{")), got("$.label"))
+    return F.struct(index.alias("index"), F.coalesce(got("$.label.text"), plain, F.try_element_at(labels, index)).alias("label"))
+
+
+def decode_boards(items: DataFrame, boards: DataFrame, spec: dict[str, tuple[str, str]]) -> DataFrame:
+    """items(board_id, item_id, cells) with a column for each field of spec {field: (column id, kind)}, read under the item's own board.
+
+    Kinds: status, dropdown, people, text.  Labels come from the settings of the board that the item is on, so one index
+    may mean one thing here and another there.  A field whose column the board hasn't, or has as another
+    kind, is null for all of its items; schema_issues tells these.  unread names set cells that can't be read.
+    """
+    own = board_columns(boards)
+    known = own.groupBy("board_id").agg(F.map_from_entries(F.collect_list(F.struct("column_id", F.struct("kind", "labels")))).alias("_board"))
+    cells = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["id"], c["value"])))
+    rows = items.select("board_id", "item_id", cells.alias("_cells")).join(known, "board_id", "left")
+    parsed, made, unread = [], [], []
+    for field, (column, kind) in spec.items():
+        meant = F.try_element_at("_board", F.lit(column))
+        raw = F.nullif(F.try_element_at("_cells", F.lit(column)), F.lit("null"))
+        value, labels = F.when(meant["kind"] == kind, raw), meant["labels"]
+        v = F.try_parse_json(value)
+        if kind == "status":
+            cell = status_cell(value, labels)["label"]
+        elif kind == "dropdown":
+            ids = F.coalesce(F.try_variant_get(v, "$.ids", "array<string>"), F.array_compact(F.array(F.try_variant_get(v, "$.ids", "string"))))
+            names = _looked_up(ids, labels)
+            cell = F.when((F.size(names) > 0) & ~F.exists(names, lambda x: x.isNull()), F.array_join(names, " + "))
+        elif kind == "people":
+            people = F.try_variant_get(v, "$.personsAndTeams", "array<struct<id:string,kind:string>>")
+            cell = F.array_join(F.array_sort(F.transform(people, lambda p: F.concat_ws(":", p["kind"], p["id"]))), " + ")
+        elif kind == "text":
+            cell = F.coalesce(F.try_variant_get(v, "$.text", "string"), F.try_variant_get(v, "$", "string"))
+        else:
+            raise ValueError(f"unknown kind {kind}")
+        empty = F.coalesce(F.try_variant_get(v, "$.ids", "string") == "[]", F.lit(False)) if kind == "dropdown" else F.lit(False)
+        parsed += [cell.alias(field), (value.isNotNull() & ~empty).alias(f"_set_{field}")]
+        made.append(F.col(field))
+        unread.append(F.when(F.col(f"_set_{field}") & F.col(field).isNull(), F.lit(field)))
+    rows = rows.select("board_id", "item_id", *parsed)
+    return rows.select("board_id", "item_id", *made, F.array_join(F.array_compact(F.array(*unread)), ",").alias("unread"))
+
+
+def schema_issues(boards: DataFrame, spec: dict[str, tuple[str, str]]) -> DataFrame:
+    """board_id, field, issue: fields of spec whose column a board hasn't (no_column) or has as another kind (other_kind)."""
+    wanted = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(c).alias("column_id"), F.lit(k).alias("want")) for f, (c, k) in spec.items()]))
+    asked = boards.select("board_id", wanted.alias("x")).select("board_id", "x.*")
+    rows = asked.join(board_columns(boards).select("board_id", "column_id", "kind"), ["board_id", "column_id"], "left")
+    issue = F.when(F.col("kind").isNull(), "no_column").when(F.col("kind") != F.col("want"), "other_kind")
+    return rows.select("board_id", "field", issue.alias("issue")).filter("issue is not null")
+
+
+def unused_labels(items: DataFrame, boards: DataFrame, column: str) -> DataFrame:
+    """board_id, index, label: labels that a board's column is set up with and no item of the board has."""
+    own = board_columns(boards).filter(F.col("column_id") == column)
+    set_up = own.select("board_id", F.explode("labels").alias("index", "label"))
+    cell = F.element_at(F.filter("cells", lambda c: c["id"] == column)["value"], 1)
+    raw = items.select("board_id", F.when(F.size(F.filter("cells", lambda c: c["id"] == column)) > 0, cell).alias("value"))
+    seen = raw.join(own.select("board_id", "labels"), "board_id").select("board_id", status_cell(F.col("value"), F.col("labels")).alias("s")).select("board_id", F.col("s.label").alias("label")).filter("label is not null").distinct()
+    return set_up.join(seen, ["board_id", "label"], "left_anti").select("board_id", "index", "label")
