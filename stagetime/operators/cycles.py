@@ -77,17 +77,11 @@ def merged_deliveries(stays: DataFrame) -> DataFrame:
     return rows.groupBy("case_id", "_island").agg(F.min("position").alias("position"), F.max("position").alias("last_position"), F.min("started").alias("started"), F.max_by("ended", "position").alias("ended")).drop("_island")
 
 
-def client_responses(stays: DataFrame, model: StatusModel, zone: str, automatic: tuple[int, int] = (28, 31)) -> DataFrame:
-    """What came after each delivery: the next decisive stay, or why there is none.
-
-    Work means changes were asked for, another delivery a new version; a terminal status is the answer that
-    the model names for it.  Any other terminal status is the automatic closing if it came so many local days
-    after, else a closing.  With only pauses after it the delivery is paused, with nothing it is waiting.
-    counts says whether the outcome is the client's own doing.
-    """
+def with_responses(stays: DataFrame, model: StatusModel, zone: str, automatic: tuple[int, int] = (28, 31)) -> DataFrame:
+    """stays with what came after each: outcome, next_status, counts, days, waited; they mean something for deliveries only."""
     after = in_order().rowsBetween(1, Window.unboundedFollowing)
     decisive = F.first(F.when(F.col("role").isin("work", "delivery", "terminal"), F.struct("role", "status", "started")), ignorenulls=True).over(after)
-    rows = stays.withColumn("_d", decisive).withColumn("_p", F.lead(F.struct("role", "status", "started")).over(in_order())).filter("role = 'delivery'")
+    rows = stays.withColumn("_d", decisive).withColumn("_p", F.lead(F.struct("role", "status", "started")).over(in_order()))
     rows = rows.withColumn("_n", F.coalesce("_d", "_p"))
     days = F.date_diff(local_day(F.col("_n.started"), zone), local_day(F.col("started"), zone))
     answer = F.when(days.between(*automatic), "closed_automatically").otherwise("closed")
@@ -96,7 +90,19 @@ def client_responses(stays: DataFrame, model: StatusModel, zone: str, automatic:
     outcome = F.when(F.col("_d.role") == "work", "changes").when(F.col("_d.role") == "delivery", "new_version").when(F.col("_d").isNotNull(), answer)
     outcome = outcome.when(F.col("_p").isNotNull(), "paused").otherwise("waiting")
     rows = rows.withColumn("outcome", outcome).withColumn("counts", ~F.col("outcome").isin("paused", "no_return", "closed_automatically"))
-    return rows.select("case_id", "position", "status", "started", "ended", "outcome", F.col("_n.status").alias("next_status"), "counts", days.alias("days"), (F.col("_d.started") - F.col("started")).alias("waited"))
+    return rows.select(*stays.columns, "outcome", F.col("_n.status").alias("next_status"), "counts", days.alias("days"), (F.col("_d.started") - F.col("started")).alias("waited"))
+
+
+def client_responses(stays: DataFrame, model: StatusModel, zone: str, automatic: tuple[int, int] = (28, 31)) -> DataFrame:
+    """What came after each delivery: the next decisive stay, or why there is none.
+
+    Work means changes were asked for, another delivery a new version; a terminal status is the answer that
+    the model names for it.  Any other terminal status is the automatic closing if it came so many local days
+    after, else a closing.  With only pauses after it the delivery is paused, with nothing it is waiting.
+    counts says whether the outcome is the client's own doing.
+    """
+    rows = with_responses(stays, model, zone, automatic).filter("role = 'delivery'")
+    return rows.select("case_id", "position", "status", "started", "ended", "outcome", "next_status", "counts", "days", "waited")
 
 
 def cycle_steps(stays: DataFrame) -> DataFrame:

@@ -106,16 +106,16 @@ def delivery_times(projects: DataFrame) -> DataFrame:
     return rows.select("case_id", "to_first_delivery", (F.col("upto") * 100.0 / F.col("total")).alias("percent_rank"), band.alias("band"), (F.col("to_first_delivery") > F.col("p75") + 1.5 * (F.col("p75") - F.col("p25"))).alias("outlier"))
 
 
-def references(stays: DataFrame, responses: DataFrame, cut: int, days: int = 365, least: int = 15) -> DataFrame:
-    """P50, P80 and P90 by status over the stays that began in the days before the cut, null under least samples.
+def references(stays: DataFrame, cut: int, days: int = 365, least: int = 15) -> DataFrame:
+    """P50, P80 and P90 by status over the stays of with_responses(...) that began in the days before the cut, null under least samples.
 
     Samples are closed work and waiting stays, and deliveries whose response counts: an automatic closing
     would measure the automation.
     """
     recent = (F.col("ended").isNotNull()) & (F.col("started") >= cut - days * DAY)
-    own = stays.filter(recent & F.col("role").isin("work", "waiting")).select("status", "started", "ended")
-    answered = responses.filter(recent & F.col("counts") & (F.col("outcome") != "waiting")).select("status", "started", "ended")
-    got = quantiles(own.unionByName(answered), ("status",), F.col("ended") - F.col("started"), {"p50": 0.5, "p80": 0.8, "p90": 0.9})
+    answered = (F.col("role") == "delivery") & F.col("counts") & (F.col("outcome") != "waiting")
+    own = stays.filter(recent & (F.col("role").isin("work", "waiting") | answered)).select("status", "started", "ended")
+    got = quantiles(own, ("status",), F.col("ended") - F.col("started"), {"p50": 0.5, "p80": 0.8, "p90": 0.9})
     return got.select("status", F.col("n").alias("samples"), *[F.when(F.col("n") >= least, F.col(p)).alias(p) for p in ("p50", "p80", "p90")])
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import DAY, folded
+from ..functions.columns import HOUR, folded
 from .intervals import by_case, in_order
+from .quantiles import running_total
 
 
 def _named(tests: dict[str, Column]) -> Column:
@@ -65,19 +66,25 @@ def public_stays(stays: DataFrame) -> DataFrame:
     return stays.select("case_id", "event_id", "status", F.when(F.col("provenance") != "prefix", F.col("started")).alias("started"), F.when(seen, F.col("ended")).alias("ended"), F.when(seen, F.col("spent")).alias("spent"), last.alias("is_last"))
 
 
-def quality_states(measured: DataFrame, outside: dict[str, DataFrame]) -> DataFrame:
-    """case_id, state, reasons: every case once; measured(case_id, open reasons array), outside: reason -> cases.
+def quality_states(intervals: DataFrame, intake: str) -> DataFrame:
+    """case_id, state, reasons: every case once, from one pass over its stays.
 
-    A measured case without reasons is complete, with reasons partial; a case of several outside tables
-    has all their reasons.
+    A case whose first known status is the intake is measured from there on: complete without reasons, else
+    partial (open_stay, unknown_status).  Any other is not_measured, with all that speaks against it.
     """
-    inside = measured.select("case_id", F.when(F.size("reasons") == 0, "complete").otherwise("partial").alias("state"), F.array_join(F.array_sort("reasons"), ",").alias("reasons"))
-    others = None
-    for reason, cases in outside.items():
-        one = cases.select("case_id", F.lit(reason).alias("reason"))
-        others = one if others is None else others.unionByName(one)
-    left = others.join(measured.select("case_id"), "case_id", "left_anti").groupBy("case_id").agg(F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons"))
-    return inside.unionByName(left.select("case_id", F.lit("not_measured").alias("state"), "reasons"))
+    known = F.min(F.when(F.col("role") != "unknown", F.struct("position", "status"))).over(by_case())
+    rows = intervals.withColumn("_k", known)
+    measured = F.coalesce(F.col("_k.status") == intake, F.lit(False))
+    inside = measured & (F.col("position") >= F.col("_k.position"))
+    some = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    cases = rows.groupBy("case_id").agg(
+        some(measured).alias("_m"), some(inside & F.col("ended").isNull() & (F.col("role") != "terminal")).alias("_open"), some(inside & (F.col("role") == "unknown")).alias("_unknown"),
+        some(F.col("status").isNull()).alias("_blank"), some(F.col("status") == intake).alias("_intake"),
+    )
+    m = F.col("_m")
+    reasons = _named({"blank_status": ~m & F.col("_blank"), "never_intake": ~m & ~F.col("_intake"), "no_intake_first": ~m, "open_stay": m & F.col("_open"), "unknown_status": m & F.col("_unknown")})
+    state = F.when(~m, "not_measured").when(F.size(reasons) == 0, "complete").otherwise("partial")
+    return cases.select("case_id", state.alias("state"), F.array_join(reasons, ",").alias("reasons"))
 
 
 def case_errors(intervals: DataFrame, responses: DataFrame, intake: str) -> DataFrame:
@@ -134,11 +141,16 @@ def divergences(register: DataFrame, intervals: DataFrame) -> DataFrame:
 def changes_within(stays: DataFrame, changes: DataFrame, cut: int) -> DataFrame:
     """case_id, event_id, changes, first_change: changes(at) that fall in stays, which run up to the cut if open.
 
-    Stays are cut at days, so that days meet by equality and only the changes of a day are compared.
+    Changes are counted up to every instant at which a stay begins or ends; a stay has as many as lie
+    between its two counts, and the first is the change that so many lie before.  No stay meets a change.
     """
     until = F.coalesce("ended", F.lit(cut))
-    days = F.sequence(F.floor(F.col("started") / DAY), F.floor((until - 1) / DAY))
-    pieces = stays.filter(until > F.col("started")).select("case_id", "event_id", "started", until.alias("_until"), F.explode(days).alias("_day"))
-    dated = changes.filter(F.col("at") < cut).select("at", F.floor(F.col("at") / DAY).alias("_day"))
-    met = pieces.join(dated, "_day").filter("at >= started and at < _until")
-    return met.groupBy("case_id", "event_id").agg(F.count("*").alias("changes"), F.min("at").alias("first_change"))
+    rows = stays.filter(until > F.col("started")).select("case_id", "event_id", "started", until.alias("_until"))
+    edges = rows.select(F.explode(F.array("started", "_until")).alias("at")).distinct().withColumn("n", F.lit(0).cast("long"))
+    dated = changes.filter(F.col("at") < cut).groupBy("at").agg(F.count("*").alias("n"))
+    times = dated.unionByName(edges).groupBy("at").agg(F.sum("n").alias("n"))
+    counted = running_total(times, "at", "n", part=F.floor(F.col("at") / HOUR)).select("at", "n", (F.col("upto") - F.col("n")).alias("before"))
+    upto = lambda edge, name: counted.select(F.col("at").alias(edge), F.col("before").alias(name))
+    met = rows.join(upto("started", "_a"), "started").join(upto("_until", "_b"), "_until").filter("_b > _a")
+    firsts = counted.filter("n > 0").select(F.col("before").alias("_a"), F.col("at").alias("first_change"))
+    return met.join(firsts, "_a").select("case_id", "event_id", (F.col("_b") - F.col("_a")).alias("changes"), "first_change")

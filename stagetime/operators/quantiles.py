@@ -19,9 +19,12 @@ def _ranged(counts: DataFrame, value: str) -> DataFrame:
     return counts.withColumn("_part", (F.signum(v) * F.floor(F.log2(1 + F.abs(v)) * RANGES)).cast("int"))
 
 
-def running_total(counts: DataFrame, value: str, n: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """counts(by, value, n) with upto, the sum of n over all values of the group up to it, and total."""
-    parted = _ranged(counts, value)
+def running_total(counts: DataFrame, value: str, n: str, by: tuple[str, ...] = (), part: Column | None = None) -> DataFrame:
+    """counts(by, value, n) with upto, the sum of n over all values of the group up to it, and total.
+
+    part is the range that a value is in, if not the one by its size; it rises with the value.
+    """
+    parted = _ranged(counts, value) if part is None else counts.withColumn("_part", part)
     sums = parted.groupBy(*by, "_part").agg(F.sum(n).alias("_n"))
     group = Window.partitionBy(*by)
     before = F.coalesce(F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

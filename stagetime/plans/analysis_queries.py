@@ -209,11 +209,7 @@ def quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(stays_sql("""SELECT case_id, CASE WHEN r = '' THEN 'complete' ELSE 'partial' END AS state, r AS reasons FROM (SELECT case_id, concat_ws(',', CASE WHEN bool_or(ended IS NULL AND role <> 'terminal') THEN 'open_stay' END, CASE WHEN bool_or(role = 'unknown') THEN 'unknown_status' END) AS r FROM stays GROUP BY case_id)
 UNION ALL SELECT case_id, 'not_measured', concat_ws(',', CASE WHEN bool_or(status IS NULL) THEN 'blank_status' END, CASE WHEN NOT bool_or(status = 'Intake') OR bool_or(status = 'Intake') IS NULL THEN 'never_intake' END, 'no_intake_first') FROM iv WHERE case_id NOT IN (SELECT case_id FROM stays) GROUP BY case_id"""))
 def quality_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, every = all_stays(spark, sf_dir), all_intervals(spark, sf_dir)
-    reasons = F.array_compact(F.array(F.when(F.bool_or(F.col("ended").isNull() & (F.col("role") != "terminal")), "open_stay"), F.when(F.bool_or(F.col("role") == "unknown"), "unknown_status")))
-    measured = rows.groupBy("case_id").agg(reasons.alias("reasons"))
-    never = every.groupBy("case_id").agg(F.coalesce(F.bool_or(F.col("status") == MODEL.intake), F.lit(False)).alias("_i")).filter("not _i")
-    return portfolio.quality_states(measured, {"no_intake_first": every.select("case_id").distinct(), "blank_status": every.filter("status is null").select("case_id").distinct(), "never_intake": never})
+    return portfolio.quality_states(all_intervals(spark, sf_dir), MODEL.intake)
 
 
 _ERRORS = _RESPONSES + """, ke AS (SELECT case_id, min(position) AS p FROM iv WHERE role <> 'unknown' GROUP BY case_id), ks AS (SELECT iv.*, ke.p, (SELECT f.status FROM iv f WHERE f.case_id = iv.case_id AND f.position = ke.p) AS fs,

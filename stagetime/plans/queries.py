@@ -252,7 +252,7 @@ ref AS (SELECT status, count(*) AS samples, {', '.join(f"CASE WHEN count(*) >= 1
 
 
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.references(all_stays(spark, sf_dir), _responses(spark, sf_dir), CUT)
+    return model.references(cycles.with_responses(all_stays(spark, sf_dir), MODEL, ZONE), CUT)
 
 
 @query(stays_sql("SELECT * FROM ref", _REFERENCES))
