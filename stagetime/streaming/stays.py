@@ -2,7 +2,8 @@
 
 Events carry `at`, when the status changed (microseconds), and `seen`, when the event arrived (a timestamp).  The
 watermark follows the arrivals, so an event may be as late as it likes without being dropped; it is told as late,
-and its case is derived again from the stored log.  A case from which nothing has arrived for `idle` gives up its
+and its case is derived again from the stored log.  Only an event that arrives more than `delay` behind the watermark, as
+when a file of old arrivals turns up after newer ones, is dropped, which the query's progress counts.  A case from which nothing has arrived for `idle` gives up its
 state by a timer on that clock; its next event begins it anew, and it is derived again as well.
 State lives in RocksDB, whose provider `stays` sets.
 """
