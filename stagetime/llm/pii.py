@@ -200,9 +200,9 @@ def disclosures(docs: DataFrame, found: DataFrame, most: float = 2.0) -> DataFra
     pairs = each("near", True).union(each("decoys", False)).groupBy("x.entity", "x.term", "real").agg(F.count("*").alias("n_both"))
     pairs = stored(pairs, "term-pairs")
     counted = docs.select("text").mapInArrow(_document_frequencies, "term long, n long")
-    n_term = counted.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
+    n_term = counted.groupBy("term").agg(F.sum("n").alias("n_term"))
     bits = -F.log2(_lower_bound(F.col("n_both"), F.col("n_term")))
-    scored = pairs.join(n_term, "term").select("entity", "term", "real", bits.alias("bits")).withColumn("level", F.ceil(F.col("bits") * LEVELS))
+    scored = stored(pairs.join(n_term, "term").select("entity", "term", "real", bits.alias("bits")).withColumn("level", F.ceil(F.col("bits") * LEVELS)), "scored-pairs")
     # By level: at most most * LEVELS + 2 rows, the last for all pairs beyond.
     levels = scored.groupBy(F.least("level", F.lit(int(most * LEVELS) + 1)).alias("level")).agg(F.count_if("real").alias("real"), F.count_if(~F.col("real")).alias("decoy"))
     upto, all_levels = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
