@@ -172,6 +172,11 @@ def catalogue_key(value: Column) -> Column:
     return F.trim(F.regexp_replace(folded(value), "[^0-9a-z]+", " "))
 
 
+def entity_key(value: Column) -> Column:
+    """catalogue_key for all of Unicode: composed and decomposed letters, ligatures and full-width forms have one key."""
+    return F.trim(F.regexp_replace(plain_letters(value), "[^0-9a-z]+", " "))
+
+
 def event_micros(value: Column) -> Column:
     """Microseconds from Unix time as digits (10 s, 13 ms, 16 us, 17 of 100 ns, 19 ns), or null.
 

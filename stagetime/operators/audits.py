@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import entity_key
+from .identity import probable_spellings
 from .intervals import in_order, split_days
-from .rules import whole_case_filter
+from .rules import cell_state, whole_case_filter
 
 
 def stacked(frames: list[DataFrame]) -> DataFrame:
@@ -134,3 +136,48 @@ def against_group(rows: DataFrame, middle: DataFrame, by: str, value: Column, ma
     joined = rows.join(middle.select(by, mark), by)
     return joined.withColumn("above", value > F.col(mark))
 
+
+def name_dimension(names: DataFrame, model_items: DataFrame) -> DataFrame:
+    """key, name, variants, n_variants, is_exclusive, uses_exclusive, uses_other, items, items_in_model, duplicate_of.
+
+    names(item, name, exclusive, place): name is the most common spelling of the key, of equal ones the first by place;
+    variants is a JSON list of them with their counts.  duplicate_of is a more used key that this one is probably
+    another spelling of.  Names without a letter or digit have no key and are left out.
+    """
+    keyed = names.withColumn("key", entity_key(F.col("name"))).filter("key <> ''")
+    each = keyed.groupBy("key", "name").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    spelt = each.groupBy("key").agg(F.max_by("name", F.struct("n", (-F.col("first")).alias("f"))).alias("name"), F.to_json(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "name", "n"))), lambda x: F.struct(x["name"].alias("name"), x["n"].alias("n")))).alias("variants"), F.count("*").alias("n_variants"))
+    inside = keyed.join(model_items.select("item").distinct().withColumn("_in", F.lit(1)), "item", "left")
+    uses = inside.groupBy("key").agg(F.count_if("exclusive").alias("uses_exclusive"), F.count_if(~F.col("exclusive")).alias("uses_other"), F.count_distinct("item").alias("items"), F.count_distinct(F.when(F.col("_in") == 1, F.col("item"))).alias("items_in_model"))
+    alike = probable_spellings(uses.select(F.col("key").alias("name"), F.col("items").alias("uses"))).select(F.col("name").alias("key"), F.col("of").alias("duplicate_of"))
+    return spelt.join(uses, "key").join(alike, "key", "left").select("key", "name", "variants", "n_variants", (F.col("uses_exclusive") > 0).alias("is_exclusive"), "uses_exclusive", "uses_other", "items", "items_in_model", "duplicate_of")
+
+
+def input_audit(cells: DataFrame, by: str, value: str, present: str, denied: str) -> DataFrame:
+    """by, state, n, share: cells that are filled, blank, unverified (never returned) or denied, in each group."""
+    state = F.when(F.coalesce(F.col(denied), F.lit(False)), "denied").otherwise(cell_state(F.col(present), F.col(value)))
+    got = cells.groupBy(by, state.alias("state")).agg(F.count("*").alias("n"))
+    return got.withColumn("share", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy(by)), 6))
+
+
+def strict_start(intervals: DataFrame, intake: str, by: str) -> DataFrame:
+    """by, what, cases, stays: what a start at the intake leaves out, by how a case begins instead.
+
+    what is intake_first, blank_then_intake (null statuses before it), other_then_intake, or never_intake.
+    """
+    known = F.min(F.when(F.col("status").isNotNull(), F.struct("position", "status")))
+    cases = intervals.groupBy("case_id").agg(known.alias("k"), F.min(F.when(F.col("status") == intake, F.col("position"))).alias("i"), F.count("*").alias("stays"), F.min_by(by, "position").alias(by))
+    what = F.when(F.col("i").isNull(), "never_intake").when(F.col("i") == 1, "intake_first").when(F.col("k.position") == F.col("i"), "blank_then_intake").otherwise("other_then_intake")
+    return cases.groupBy(by, what.alias("what")).agg(F.count("*").alias("cases"), F.sum("stays").alias("stays"))
+
+
+def review_rows(issues: DataFrame, key: list[str], issue: str, order: list[str], remedies: dict[str, str]) -> DataFrame:
+    """review_id, place, key, issue, remedy: one row for each pending issue, under an id that another run gives again.
+
+    place is the order within an issue; an issue without a remedy is unknown to the review.
+    """
+    rows = issues.select(*key, F.col(issue).alias("issue"), *[c for c in order if c not in key]).distinct()
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in (*key, "issue")]
+    known = F.create_map(*[F.lit(x) for pair in remedies.items() for x in pair])
+    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy("issue").orderBy(*order, *key)))
+    return ranked.select(F.sha2(F.concat_ws("|", *text), 256).alias("review_id"), "place", *key, "issue", F.try_element_at(known, F.col("issue")).alias("remedy"))

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.columns import DAY, local_day
+from ..config import CalendarSpec
+from ..functions.columns import DAY, business_micros, local_day
 
 
 def by_case() -> WindowSpec:
@@ -46,8 +47,12 @@ def build_intervals(events: DataFrame, cut: int, ties: list[Column] | None = Non
     ).withColumn("seen_until", F.coalesce("ended", F.lit(cut)))
 
 
-def split_days(intervals: DataFrame, zone: str) -> DataFrame:
-    """case_id, status, day, spent: microseconds of each local day; midnight belongs to the next day."""
+def split_days(intervals: DataFrame, zone: str, skipped: tuple[str, ...] = ()) -> DataFrame:
+    """case_id, status, day, spent: microseconds of each local day; midnight belongs to the next day.
+
+    Stays in a skipped status, such as the terminal ones, are left out.
+    """
+    intervals = intervals.filter(~F.coalesce(F.col("status").isin(*skipped), F.lit(False))) if skipped else intervals
     first, last = local_day(F.col("started"), zone), local_day(F.col("seen_until") - 1, zone)
     days = intervals.filter("seen_until > started").withColumn("day", F.explode(F.sequence(first, last)))
     start = day_start(F.col("day"), zone)
@@ -121,3 +126,47 @@ def closures(intervals: DataFrame) -> DataFrame:
     part = Window.partitionBy("case_id", "account", "cycle_number").orderBy("started", "event_id")
     earlier = F.coalesce(F.max((F.col("role") == "terminal").cast("int")).over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.withColumn("closes", (F.col("role") == "terminal") & (earlier == 0))
+
+
+def close_at(intervals: DataFrame, cut: int) -> DataFrame:
+    """intervals as they stood at an earlier cut: stays begun by then, the last of each case open again and seen up to the cut."""
+    rows = intervals.filter(F.col("started") < cut)
+    ended = F.when(F.col("ended") < cut, F.col("ended"))
+    return rows.withColumn("ended", ended).withColumn("seen_until", F.coalesce(ended, F.lit(cut)))
+
+
+def closing_totals(closed: DataFrame) -> DataFrame:
+    """case_id, account, cycle_number, closed_at, total, stays of closures(...): how long each closed cycle was from its first stay to its closing.
+
+    total is null where the cycle's stays before the closing don't join: what lies between is unknown.
+    """
+    part = Window.partitionBy("case_id", "account", "cycle_number").orderBy("started", "event_id")
+    before = F.lag("ended").over(part)
+    gap = F.coalesce((~before.eqNullSafe(F.col("started"))).cast("int"), F.lit(0))
+    rows = closed.withColumn("_gap", F.when(F.row_number().over(part) > 1, gap).otherwise(0))
+    upto = part.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_gaps", F.sum("_gap").over(upto)).withColumn("_first", F.min("started").over(upto)).withColumn("stays", F.count("*").over(upto))
+    return rows.filter("closes").select("case_id", "account", "cycle_number", F.col("started").alias("closed_at"), F.when(F.col("_gaps") == 0, F.col("started") - F.col("_first")).alias("total"), "stays")
+
+
+def gold(intervals: DataFrame, measured: tuple[str, ...]) -> DataFrame:
+    """intervals with is_first, is_last, returns (the case has left this status before) and eligible (closed, known and measured)."""
+    last = F.lead("event_id").over(in_order()).isNull()
+    role = F.coalesce(F.col("role").isin(*measured), F.lit(False))
+    return intervals.withColumn("is_first", F.col("position") == 1).withColumn("is_last", last).withColumn("returns", F.col("visit") > 1).withColumn("eligible", role & F.col("ended").isNotNull() & F.col("status").isNotNull() & (F.col("ended") > F.col("started")))
+
+
+def sla_summary(intervals: DataFrame, intake: str, spec: CalendarSpec) -> DataFrame:
+    """case_id, first_intake, finished, lead, lead_business: from the first intake to the terminal stay that the case stands in.
+
+    A case that goes on has not finished; one that never was in the intake has no lead time.
+    """
+    got = intervals.groupBy("case_id").agg(F.min(F.when(F.col("status") == intake, F.col("started"))).alias("first_intake"), F.max_by(F.struct("role", "started"), "position").alias("l"))
+    got = got.select("case_id", "first_intake", F.when(F.col("l.role") == "terminal", F.col("l.started")).alias("finished"))
+    known = F.when(F.col("finished") >= F.col("first_intake"), F.col("finished"))
+    return got.withColumn("lead", known - F.col("first_intake")).withColumn("lead_business", business_micros(F.col("first_intake"), known, spec))
+
+
+def latest(snapshots: DataFrame, cut: int, values: list[str]) -> DataFrame:
+    """case_id, first_seen, seen_at and values: each case's last snapshot at or before a cut, and when it was first seen."""
+    return snapshots.filter(F.col("at") <= cut).groupBy("case_id").agg(F.min("at").alias("first_seen"), F.max("at").alias("seen_at"), F.max_by(F.struct(*values), "at").alias("_v")).select("case_id", "first_seen", "seen_at", *[F.col(f"_v.{v}").alias(v) for v in values])

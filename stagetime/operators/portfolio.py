@@ -59,6 +59,22 @@ def kpi_classes(stays: DataFrame, business: Column, measured: tuple[str, ...] =
     return rows.select("case_id", "event_id", "status", "account", kind.alias("class"), F.array_join("_r", ",").alias("reasons"), F.when(kind == "approved", business).alias("measure"))
 
 
+def evidence_reasons(version: str, approved: tuple[str, ...] = ("observed_at_exit", "observed_at_start")) -> Column:
+    """Why the evidence of a stay doesn't bear a figure: of its label, the events at both ends, its history and its calendar.
+
+    For rows with account, label_quality, entry_events, exit_events (arrays of ids), history, eligible and calendar.  The
+    old account A needs an approved label and an event at either end; the new one its own approval.  Fails closed: what is
+    null is no evidence.
+    """
+    blank = lambda c: F.coalesce(F.size(c) <= 0, F.lit(True)) | F.coalesce(F.exists(c, lambda e: F.coalesce(F.trim(e), F.lit("")) == ""), F.lit(True))
+    old = F.coalesce(F.col("account") == "A", F.lit(False))
+    return _named({
+        "unknown_account": ~F.coalesce(F.col("account").isin("A", "B"), F.lit(False)), "label_without_evidence": old & ~F.coalesce(F.col("label_quality").isin(*approved), F.lit(False)),
+        "boundary_event_missing": old & (blank("entry_events") | blank("exit_events")), "history_not_observed": ~F.col("history").eqNullSafe(F.lit("observed")),
+        "origin_not_eligible": ~old & ~F.coalesce("eligible", F.lit(False)), "calendar_not_validated": ~F.col("calendar").eqNullSafe(F.lit(version)),
+    })
+
+
 def public_stays(stays: DataFrame) -> DataFrame:
     """live_stays(...) as shown outside: inferred starts and durations are hidden, the case's last stay is marked."""
     last = F.lead("event_id").over(in_order()).isNull()

@@ -105,3 +105,18 @@ def published_split(source: DataFrame, published: DataFrame, excluded: DataFrame
     there = F.coalesce("_published", "_excluded")
     state = F.when(F.col("_source").isNull(), "unheard_of").when(F.col("_published").isNotNull() & F.col("_excluded").isNotNull(), "both").when(there.isNull(), "neither").when(there != F.col("_source"), "changed")
     return rows.select(group, state.when(F.col("_published").isNotNull(), "published").otherwise("excluded").alias("state"))
+
+
+def only_allowed(before: DataFrame, after: DataFrame, key: list[str], allowed: list[str]) -> DataFrame:
+    """kind, fields, n of what differs between two versions besides the columns that may: none if the rebuild kept to them."""
+    fields = [c for c in before.columns if c not in key and c not in allowed]
+    return compared(after, before, key, fields).groupBy("kind", "fields").agg(F.count("*").alias("n"))
+
+
+def patched(base: DataFrame, patch: DataFrame, approved: DataFrame, key: list[str]) -> DataFrame:
+    """base with the rows of approved keys replaced by those of patch; what patch has beyond them counts for nothing.
+
+    An approved key without a row in patch keeps its own rows, so nothing is lost; one without a row in base is added.
+    """
+    good = patch.join(approved.select(*key).distinct(), key, "left_semi")
+    return base.join(good.select(*key).distinct(), key, "left_anti").unionByName(good.select(*base.columns))

@@ -65,3 +65,54 @@ def test_talents(spark):
     df = spark.createDataFrame(rows, "names array<string>, other string")
     got = [r[0] for r in df.select(rules.talent_reasons(df.names, df.other)).collect()]
     assert got == [[], ["both_columns"], ["none"], ["squad"], ["several"], ["collective"]]
+
+
+def test_names_and_their_probable_duplicates(spark):
+    from stagetime.operators.audits import name_dimension
+
+    rows = [(1, "Ana Lima", True, 1), (2, "ANA LIMA", False, 2), (3, "Ana Lima", False, 3), (3, "Anna Lima", True, 4), (4, "Ana", False, 5), (5, "ﬁn", True, 6), (6, "FIN", True, 7), (7, "??", True, 8)]
+    got = {r["key"]: r.asDict() for r in name_dimension(spark.createDataFrame(rows, "item int, name string, exclusive boolean, place int"), spark.createDataFrame([(1,), (3,)], "item int")).collect()}
+    assert set(got) == {"ana lima", "anna lima", "ana", "fin"} and got["fin"]["n_variants"] == 2 and got["fin"]["name"] == "ﬁn"
+    ana = got["ana lima"]
+    assert (ana["name"], ana["n_variants"], ana["uses_exclusive"], ana["uses_other"], ana["items"], ana["items_in_model"], ana["duplicate_of"]) == ("Ana Lima", 2, 1, 2, 3, 2, None)
+    assert ana["variants"] == '[{"name":"Ana Lima","n":2},{"name":"ANA LIMA","n":1}]'
+    assert got["ana"]["duplicate_of"] == "ana lima" and got["anna lima"]["duplicate_of"] == "ana lima"
+
+
+def test_decisions_of_one_instant_and_after_the_cut(spark):
+    from stagetime.operators import decisions
+
+    schema = "entity_type string, source_key string, canonical_id string, canonical_name string, entity_kind string, review_status string, decided_at long"
+    rows = [("talent", "ana", "1", "Ana", "person", "approved", 10), ("talent", "ana", "2", "Ana B", "person", "approved", 10), ("talent", "ana", None, None, "unknown", "quarantined", 30), ("talent", "bo", "3", "Bo", "group", "approved", 5)]
+    made = spark.createDataFrame(rows, schema)
+    assert decisions.validity(made).filter("source_key = 'ana'").count() == 2  # one of the two of an instant never was in force
+    values = spark.createDataFrame([("talent", " ANA ", False), ("talent", "Bo", True), ("talent", None, True), ("talent", "eva", True), ("talent", "eva", False), ("brand", "Eva", False)], "entity_type string, text string, exclusive boolean")
+    got = lambda cut: sorted((r["text"] or "", r["situation"]) for r in decisions.resolve(values, made, cut).collect())
+    assert got(20) == [("", "missing"), (" ANA ", "approved"), ("Bo", "not_individual"), ("Eva", "normalised_text"), ("eva", "exclusive_register"), ("eva", "pending_review")]
+    assert (" ANA ", "quarantined") in got(30) and (" ANA ", "pending_review") in got(1)
+    ids = {r["identity_id"] for r in decisions.resolve(values, made, 1).filter("situation in ('exclusive_register', 'normalised_text')").collect()}
+    assert len(ids) == 3 and None not in ids
+    assert {r["source_key"] for r in decisions.pending(values, made, 7).collect()} == {"ana", "eva"}
+
+
+def test_cells_that_cannot_be_read(spark):
+    from stagetime.sources import boards
+
+    settings = '{"labels":{"0":"Open","5":"Done"}}'
+    board = spark.createDataFrame([(1, [("s", "Status", "status", settings)]), (2, [("s", "Status", "text", "{}")])], "board_id int, columns array<struct<id:string,title:string,type:string,settings_str:string>>")
+    cells = ['{"index":0}', '{"index":"5"}', '{"label":"Told"}', '{"label":{"index":5}}', '{"label":{"text":"Told"}}', "{broken", "null", None, '{"index":9}', "[]"]
+    items = spark.createDataFrame([(b, k, [("s", c)]) for b in (1, 2, 3) for k, c in enumerate(cells)] + [(1, 99, [])], "board_id int, item_id int, cells array<struct<id:string,value:string>>")
+    got = {(r["board_id"], r["item_id"]): (r["status"], r["unread"]) for r in boards.decode_boards(items, board, {"status": ("s", "status")}).collect()}
+    assert [got[1, k][0] for k in range(10)] == ["Open", "Done", "Told", "Done", "Told", None, None, None, None, None]
+    assert {k for (b, k), x in got.items() if x[1]} == {5, 8, 9} and got[1, 99] == (None, "") and {got[b, 0] for b in (2, 3)} == {(None, "")}
+
+
+def test_compared_with_nulls_and_repeats(spark):
+    from stagetime.operators import proofs
+
+    schema = "k int, a string, b double"
+    derived = spark.createDataFrame([(1, "x", 1.0), (1, "x", 2.0), (2, None, None), (3, "z", 0.0), (None, "n", 5.0), (6, "s", 1.0)], schema)
+    stored = spark.createDataFrame([(1, "x", 2.0), (1, "x", 1.0), (2, "", None), (4, "z", 0.0), (None, "n", 5.0), (6, "s", 1.0), (6, "s", 1.0)], schema)
+    got = sorted(tuple(r) for r in proofs.compared(stored, derived, ["k"], ["a", "b"]).collect())
+    assert got == [(2, "changed", "a"), (3, "missing", ""), (4, "extra", ""), (6, "repeated", "")]
+    assert proofs.compared(derived, derived, ["k"], ["a", "b"]).count() == 0 and proofs.compared(derived.limit(0), derived.limit(0), ["k"], ["a"]).count() == 0
