@@ -24,6 +24,8 @@ from .common import Scratch
 
 ANNULUS, GROUP = 1024, 128
 PIVOT_SAMPLE = 4096
+#: Annuli are dealt to so many buckets, of which each is scored in one task.
+BUCKETS = 4096
 
 
 def _choose_pivots(points: np.ndarray, k: int) -> np.ndarray:
@@ -152,8 +154,12 @@ def _of_one_length(clean: DataFrame, n: int, most: float, k: int) -> DataFrame:
                         out.append((np.full(len(top), q_ids[i]), np.full(len(top), q_rows[i]), ids[top], rows[top], score[i, top]))
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["query_id", "query_row", "vec_id", "row", "score"])
 
-        left = pairs.join(groups.select("group", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("vectors").alias("q")), "group")
-        both = left.join(annuli.select("annulus", "ids", "rows", "vectors"), "annulus")
+        # A group's vectors are sent once to each bucket of annuli that it reaches, not to each annulus.
+        bucket = F.pmod(F.xxhash64("annulus"), F.lit(BUCKETS)).alias("bucket")
+        reached = pairs.select("group", "annulus", bucket).groupBy("group", "bucket").agg(F.collect_set("annulus").alias("reach"))
+        left = reached.join(groups.select("group", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("vectors").alias("q")), "group").alias("l")
+        right = annuli.select(bucket, "annulus", "ids", "rows", "vectors").alias("r")
+        both = left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & F.array_contains("l.reach", F.col("r.annulus")))
         return both.select("q_ids", "q_rows", "q", "ids", "rows", "vectors").mapInArrow(run, "query_id long, query_row long, vec_id long, row long, score long")
 
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
