@@ -29,47 +29,74 @@ def register_reasons(title: Column, kind: Column, names: Column, other: Column,
     return F.array_sort(F.array_distinct(F.concat(rules.title_reasons(title), rules.input_reasons(kind, F.lit(True), measured), people)))
 
 
+def judged(stays: DataFrame, register: DataFrame, mapped: DataFrame, model: StatusModel, inputs: tuple[str, ...] = ("brief",)) -> DataFrame:
+    """stays of the items that no pair of accounts is known for, with about: what holds for the whole item.
+
+    One shuffle by item serves everything: the item's first and last stay are windows, and the register joins on
+    the same key.  about has title, brand, owner, input_kind, names, current_status, pool, born_as_copy, copied_status,
+    against (reasons that exclude the item, else null), stays, first_status and last (a position).
+    """
+    whole = Window.partitionBy("item")
+    rows = stays.join(mapped.select("item").distinct(), "item", "left_anti")
+    case = F.struct(
+        F.max_by("title", "position").over(whole).alias("title"), F.min_by(F.struct("status", "started"), "position").over(whole).alias("first"),
+        F.count("*").over(whole).alias("stays"), F.count("started").over(whole).alias("dated"), F.max("position").over(whole).alias("last"),
+    )
+    rows = rows.withColumn("_c", case).join(register.select("item", F.struct(F.lit(True).alias("found"), "input_kind", "names", "other", "brand", "owner", "current_status").alias("_r")), "item", "left")
+    title, first, none = F.col("_c.title"), F.col("_c.first"), F.array().cast("array<string>")
+    reasons = register_reasons(title, F.col("_r.input_kind"), F.col("_r.names"), F.col("_r.other"), F.coalesce(F.col("_r.found"), F.lit(False)), inputs)
+    last = F.col("position") == F.col("_c.last")
+    rows = rows.withColumn("_why", F.first(F.when(last, reasons), ignorenulls=True).over(whole))  # worked out once for each item
+    born = F.when(first["started"].isNull(), first["status"])
+    copied = F.coalesce((born != model.intake) & model.role(born).isin("delivery", "terminal", "work", "waiting"), F.lit(False))
+    odd = F.coalesce((born != model.intake) & ~copied, F.lit(False))
+    pool = F.when(rules.is_pool(F.col("_why"), list(POOL)), F.col("_why")).otherwise(none)
+    against = F.when((F.size("_why") > 0) & (F.size(pool) == 0), F.col("_why")).when(odd, F.array(F.lit("no_intake_first"))).when(F.col("_c.dated") == 0, F.array(F.lit("no_dated_event")))
+    about = [title.alias("title"), *[F.col(f"_r.{c}").alias(c) for c in ("brand", "owner", "input_kind", "names", "current_status")], pool.alias("pool"), copied.alias("born_as_copy"), F.when(copied, born).alias("copied_status")]
+    about += [against.alias("against"), F.col("_c.stays").alias("stays"), first["status"].alias("first_status"), F.col("_c.last").alias("last")]
+    return rows.withColumn("about", F.struct(*about)).select(*stays.columns, "about")
+
+
 def native(stays: DataFrame, register: DataFrame, mapped: DataFrame, model: StatusModel, spec: CalendarSpec, cut: int, inputs: tuple[str, ...] = ("brief",)) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(passages, attributes, excluded) of the items that no pair of accounts is known for.
 
     stays(item, event_id, position, status, title, started, ended, quality) may begin with a status that has no start: what
-    the item was born with.  register(item, input_kind, names, other, brand, owner, current_status) is the current one;
-    mapped(item) has the items of pairs.  An item with a reason against it is excluded, unless all its reasons
-    are of the pool; so is one born with an unknown status other than the intake, and one without a dated stay.
-    A passage ends where it was seen to end; the last one lasts up to the cut if the register still says its status.
+    the item was born with; a position stands once in an item.  register(item, input_kind, names, other, brand, owner,
+    current_status) is the current one, a row for each item; mapped(item) has the items of pairs.  An item with a reason
+    against it is excluded, unless all its reasons are of the pool; so is one born with an unknown status other than the
+    intake, and one without a dated stay.  A passage ends where it was seen to end; the last one lasts up to the cut
+    if the register still says its status.  Passages keep further columns of stays, and about (judged).
     """
-    rows = stays.join(mapped.select("item").distinct(), "item", "left_anti")
-    first = F.min_by(F.struct("status", "started"), "position")
-    cases = rows.groupBy("item").agg(F.max_by("title", "position").alias("title"), first.alias("_f"), F.count("*").alias("stays"), F.count("started").alias("dated"), F.max("position").alias("_last"))
-    cases = cases.join(register.withColumn("_found", F.lit(True)), "item", "left")
-    cases = cases.withColumn("reasons", register_reasons(F.col("title"), F.col("input_kind"), F.col("names"), F.col("other"), F.coalesce("_found", F.lit(False)), inputs))
-    born = F.when(F.col("_f.started").isNull(), F.col("_f.status"))
-    cases = cases.withColumn("born_as", born)
-    copied = F.coalesce(F.col("born_as").isNotNull() & (F.col("born_as") != model.intake) & model.role(F.col("born_as")).isin("delivery", "terminal", "work", "waiting"), F.lit(False))
-    odd = F.coalesce((F.col("born_as") != model.intake) & ~copied, F.lit(False))
-    pool = F.when(rules.is_pool(F.col("reasons"), list(POOL)), F.col("reasons")).otherwise(F.array().cast("array<string>"))
-    against = F.when((F.size("reasons") > 0) & (F.size(pool) == 0), F.col("reasons")).when(odd, F.array(F.lit("no_intake_first"))).when(F.col("dated") == 0, F.array(F.lit("no_dated_event")))
-    cases = cases.withColumn("_against", against).withColumn("pool", pool).withColumn("born_as_copy", copied)
-    excluded = cases.filter("_against is not null").select("item", "title", F.col("_against").alias("reasons"), "stays", F.col("_f.status").alias("first_status"))
-    kept = cases.filter("_against is null")
-    attributes = kept.select("item", "title", "brand", "owner", "input_kind", "names", "pool", "born_as_copy", F.when(F.col("born_as_copy"), F.col("born_as")).alias("copied_status"))
-
-    passages = rows.filter("started is not null").join(kept.select("item", "_last", "current_status"), "item")
+    rows = judged(stays, register, mapped, model, inputs)
+    once = rows.filter(F.col("position") == F.col("about.last"))
+    excluded = once.filter("about.against is not null").select("item", "about.title", F.col("about.against").alias("reasons"), "about.stays", "about.first_status")
+    attributes = once.filter("about.against is null").select("item", *[f"about.{c}" for c in ("title", "brand", "owner", "input_kind", "names", "pool", "born_as_copy", "copied_status")])
+
+    passages = rows.filter("about.against is null and started is not null")
     seen = F.col("quality") == "observed"
-    open_age = F.col("ended").isNull() & (F.col("position") == F.col("_last")) & seen & (F.col("status") == F.col("current_status"))
+    open_age = F.col("ended").isNull() & (F.col("position") == F.col("about.last")) & seen & (F.col("status") == F.col("about.current_status"))
     provenance = F.when(F.col("ended").isNotNull() & seen, "observed").when(F.coalesce(open_age, F.lit(False)), "open_age").otherwise("unavailable")
     passages = passages.withColumn("provenance", provenance)
     until = F.when(F.col("provenance") == "observed", F.col("ended")).when(F.col("provenance") == "open_age", F.lit(cut))
-    passages = passages.select("item", "event_id", "position", "status", "started", "ended", "provenance", until.alias("until"))
+    more = [c for c in stays.columns if c not in ("item", "event_id", "position", "status", "title", "started", "ended", "quality")]
+    passages = passages.select("item", "event_id", "position", "status", "started", "ended", "provenance", until.alias("until"), *more, "about")
     return passages.withColumn("elapsed", F.col("until") - F.col("started")).withColumn("business", business_micros(F.col("started"), F.col("until"), spec)), attributes, excluded
 
 
-def routed(stays: DataFrame, attributes: DataFrame, intake: str) -> DataFrame:
-    """case_id, route, first_status: measured, pool, duplicate or no_intake, of stays(...) and attributes(case_id, pool, born_as_copy)."""
-    known = stays.groupBy("case_id").agg(F.min(F.when(F.col("role") != "unknown", F.struct("position", "status"))).alias("_k"))
-    rows = known.join(attributes.select("case_id", "pool", "born_as_copy"), "case_id")
-    route = F.when(~F.col("_k.status").eqNullSafe(F.lit(intake)), "no_intake").when(F.col("born_as_copy"), "duplicate").when(F.size("pool") > 0, "pool").otherwise("measured")
-    return rows.select("case_id", route.alias("route"), F.col("_k.status").alias("first_status"))
+def routed(stays: DataFrame, intake: str) -> DataFrame:
+    """stays(case_id, position, status, role, about: pool, born_as_copy) with route, first_status and entry.
+
+    route is measured, pool, duplicate or no_intake; first_status is the first known one, entry its position.
+    """
+    known = F.min(F.when(F.col("role") != "unknown", F.struct("position", "status"))).over(by_case())
+    rows = stays.withColumn("_k", known)
+    route = F.when(~F.col("_k.status").eqNullSafe(F.lit(intake)), "no_intake").when(F.col("about.born_as_copy"), "duplicate").when(F.size("about.pool") > 0, "pool").otherwise("measured")
+    return rows.select(*stays.columns, route.alias("route"), F.col("_k.status").alias("first_status"), F.col("_k.position").alias("entry"))
+
+
+def routes(rows: DataFrame) -> DataFrame:
+    """case_id, route, first_status of routed(...): each case once."""
+    return rows.groupBy("case_id").agg(F.max("route").alias("route"), F.max("first_status").alias("first_status"))
 
 
 def path(status: Column, position: Column) -> Column:
@@ -77,34 +104,34 @@ def path(status: Column, position: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(position.alias("p"), F.coalesce(status, F.lit("-")).alias("s")))), lambda x: x["s"]), " > ")
 
 
-def duplicates(stays: DataFrame, attributes: DataFrame, routes: DataFrame, marks: tuple[str, ...]) -> DataFrame:
+def duplicates(rows: DataFrame, marks: tuple[str, ...]) -> DataFrame:
     """One row for each case that was born as a copy: how it went, and its one possible original, if there is one.
 
-    stays(case_id, position, status, role, started, business) are whole; what counts begins with the first known status.
+    rows are routed(...) and have started, business, about; what counts begins with the first known status.
     related is the case of the same base name that is no copy itself, null where there is none or several (originals).
     """
-    known = F.min(F.when(F.col("role") != "unknown", F.col("position"))).over(by_case())
-    rows = stays.join(routes.filter("route = 'duplicate'").select("case_id"), "case_id", "left_semi").withColumn("_v", F.col("position") >= known)
-    valid = F.col("_v")
+    valid = F.col("position") >= F.col("entry")
     spent = F.when(valid & (F.col("role") == "work"), F.col("business"))
     worked = F.when(F.count_if(valid & (F.col("role") == "work")) == F.count(spent), F.sum(spent))  # null where one is unknown
-    got = rows.groupBy("case_id").agg(
+    got = rows.filter("route = 'duplicate'").groupBy("case_id").agg(
         F.min(F.when(valid, F.col("started"))).alias("entered"), F.max_by("status", "position").alias("status"), F.count_if(valid & (F.col("role") == "delivery")).alias("deliveries"),
         F.min(F.when(valid & (F.col("role") == "delivery"), F.col("started"))).alias("first_delivery"), worked.alias("worked"),
-        path(F.col("status"), F.col("position")).alias("path"),
+        path(F.col("status"), F.col("position")).alias("path"), F.max("about.title").alias("title"), F.max("about.copied_status").alias("copied_status"),
     )
-    named = attributes.select(F.col("case_id").alias("item"), F.col("title").alias("name"), F.col("born_as_copy").alias("is_copy"))
-    related = portfolio.related_originals(named, marks).select(F.col("item").alias("case_id"), "base", "related", "originals")
-    return got.join(related, "case_id").join(attributes.select("case_id", "title", "copied_status"), "case_id").select("case_id", "title", "base", "copied_status", "entered", "status", "deliveries", "first_delivery", "worked", "path", "related", "originals")
+    named = rows.filter("not about.born_as_copy").groupBy("case_id").agg(F.max("about.title").alias("title"))
+    base = portfolio.base_name(F.col("title"), marks)
+    originals = named.groupBy(base.alias("base")).agg(F.count("*").alias("_n"), F.min("case_id").alias("_one"))
+    both = got.withColumn("base", base).join(originals, "base", "left").withColumn("originals", F.coalesce("_n", F.lit(0).cast("long")))
+    return both.select("case_id", "title", "base", "copied_status", "entered", "status", "deliveries", "first_delivery", "worked", "path", F.when(F.col("originals") == 1, F.col("_one")).alias("related"), "originals")
 
 
-def pool_cases(stays: DataFrame, attributes: DataFrame, routes: DataFrame, model: StatusModel, cut: int) -> DataFrame:
+def pool_cases(rows: DataFrame, model: StatusModel, cut: int) -> DataFrame:
     """Cases of several persons, measured by the same rules as others and kept apart: a row for each, with the reasons and the names."""
     from .model import projects
 
-    own = stays.join(routes.filter("route = 'pool'").select("case_id"), "case_id", "left_semi")
+    own = rows.filter("route = 'pool'")
     found = projects(assign_cycles(gate(own, model.intake)), cut)
-    about = attributes.select("case_id", "title", F.array_join("pool", ",").alias("pool_reasons"), F.to_json("names").alias("names"))
+    about = own.groupBy("case_id").agg(F.max("about.title").alias("title"), F.array_join(F.max("about.pool"), ",").alias("pool_reasons"), F.to_json(F.max("about.names")).alias("names"))
     return found.join(about, "case_id").select("case_id", "title", "opened", "status", "state", "deliveries", "cycles", "to_first_delivery", "pool_reasons", "names")
 
 
@@ -121,25 +148,25 @@ def placed(register: DataFrame, routes: DataFrame, excluded: DataFrame, inputs:
     return known.unionByName(rest).select("item", "place", F.array_join("reasons", ",").alias("reasons"))
 
 
-def filling_errors(stays: DataFrame, responses: DataFrame, routes: DataFrame, copies: DataFrame, register: DataFrame, model: StatusModel, cut: int, stale_days: int = 30) -> DataFrame:
+def filling_errors(stays: DataFrame, responses: DataFrame, rows: DataFrame, copies: DataFrame, register: DataFrame, model: StatusModel, cut: int, stale_days: int = 30) -> DataFrame:
     """error_id, case_id, item, rule, severity, status, at: all that was filled in wrongly, each occurrence once.
 
-    stays are whole; the rules on cycles and standby concern measured cases only.  Errors of the register have
-    an item and no case, and happen at no time.
+    stays are whole, rows are routed(...); the rules on cycles and standby concern measured cases only.  Errors of
+    the register have an item and no case, and happen at no time.  A row that breaks several rules is read once.
     """
     none = F.lit(None).cast("long")
-    case = lambda df, rule, at="started": df.select("case_id", none.alias("item"), F.lit(rule).alias("rule"), "status", F.col(at).alias("at"))
+    case = lambda df, found, at: df.select("case_id", none.alias("item"), F.explode(F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in found.items()]))).alias("rule"), "status", F.col(at).alias("at"))
     parts = [portfolio.case_errors(stays, responses, model.intake).select("case_id", none.alias("item"), "rule", "status", "at")]
-    measured = stays.join(routes.filter("route = 'measured'").select("case_id"), "case_id", "left_semi")
-    rows = assign_cycles(gate(measured, model.intake))
+    measured = assign_cycles(gate(rows.filter("route = 'measured'"), model.intake))
     work, inside = F.col("role") == "work", Window.partitionBy("case_id", "segment")
-    rows = rows.withColumn("_first", F.min(F.when(work, F.col("position"))).over(inside)).withColumn("_other", F.max((work & (F.col("status") != model.intake)).cast("int")).over(inside))
-    rows = rows.withColumn("_last", F.lead("position").over(in_order()).isNull())
-    parts.append(case(rows.filter(work & (F.col("status") == model.intake) & (F.col("position") > F.col("_first"))), "repeated_intake"))
-    parts.append(case(rows.filter((F.col("role") == "delivery") & F.col("_first").isNotNull() & (F.col("_other") == 0)), "delivered_without_work"))
-    parts.append(case(rows.filter(F.col("_last") & (F.col("role") == "standby") & (F.lit(cut) - F.col("started") >= (stale_days + 1) * DAY)), "stuck_in_standby"))
-    began = copies.withColumn("status", F.lit(model.intake))
-    parts += [case(began, "born_as_copy", "entered"), case(began.filter("originals > 1"), "ambiguous_original", "entered")]
+    measured = measured.withColumn("_first", F.min(F.when(work, F.col("position"))).over(inside)).withColumn("_other", F.max((work & (F.col("status") != model.intake)).cast("int")).over(inside))
+    measured = measured.withColumn("_last", F.lead("position").over(in_order()).isNull())
+    parts.append(case(measured, {
+        "repeated_intake": work & (F.col("status") == model.intake) & (F.col("position") > F.col("_first")),
+        "delivered_without_work": (F.col("role") == "delivery") & F.col("_first").isNotNull() & (F.col("_other") == 0),
+        "stuck_in_standby": F.col("_last") & (F.col("role") == "standby") & (F.lit(cut) - F.col("started") >= (stale_days + 1) * DAY),
+    }, "started"))
+    parts.append(case(copies.withColumn("status", F.lit(model.intake)), {"born_as_copy": F.lit(True), "ambiguous_original": F.col("originals") > 1}, "entered"))
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
     found = F.concat(F.filter(rules.talent_reasons(F.col("names"), F.col("other")), lambda r: r.isin("none", "several", "both_columns", "squad")), F.array_compact(F.array(F.when(blank("brand"), "brand_blank"), F.when(blank("input_kind"), "input_blank"), F.when(blank("owner"), "owner_blank"))))
     parts.append(register.select(none.alias("case_id"), "item", F.explode(found).alias("rule"), F.col("current_status").alias("status"), none.alias("at")))

@@ -43,19 +43,22 @@ def _about(c: Column) -> list[Column]:
 
 def _register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The current register: most items that have moved, and every tenth customer as an item that never did."""
-    last = all_intervals(spark, sf_dir).groupBy("case_id").agg(F.max_by(F.struct("status"), "position").alias("l")).filter("case_id % 17 <> 0")
+    last = status_events(spark, sf_dir).filter(f"at < {CUT} and case_id % 17 <> 0").groupBy("case_id").agg(F.max_by(F.struct("status"), F.struct("at", "event_id")).alias("l"))
     moved = last.select(F.col("case_id").alias("item"), F.when(F.col("case_id") % 5 != 0, F.col("l.status")).otherwise("Drafting").alias("current_status"))
     never = read(spark, sf_dir, "customer").filter("c_custkey % 10 = 0").select((F.col("c_custkey") + 1_000_000_000).alias("item"), F.lit("Intake").alias("current_status"))
     return moved.unionByName(never).select("item", "current_status", _title(F.col("item")).alias("title"), *_about(F.col("item")))
 
 
 def _native(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows, c = all_intervals(spark, sf_dir), F.col("case_id")
-    stays = rows.select(c.alias("item"), "event_id", "position", "status", "started", "ended", F.when(F.col("event_id") % 19 != 0, "observed").otherwise("inferred").alias("quality"))
+    """Native items: every fourth was born with a status, which stands before its first stay, and every third has a pair."""
+    rows, c = all_intervals(spark, sf_dir).withColumnRenamed("case_id", "item"), F.col("item")
     born = F.element_at(F.array(*map(F.lit, ("Closed", "Awaiting feedback", "Intake", "Archive"))), (F.floor(c / 4) % 4 + 1).cast("int"))
-    first = rows.filter("position = 1 and case_id % 4 = 0").select(c.alias("item"), (-F.col("event_id")).alias("event_id"), F.lit(0).alias("position"), born.alias("status"), F.lit(None).cast("long").alias("started"), F.lit(None).cast("long").alias("ended"), F.lit("inferred").alias("quality"))
-    every = stays.unionByName(first).withColumn("title", _title(F.col("item")))
-    mapped = rows.filter("case_id % 3 = 0").select(c.alias("item")).distinct()
+    none, same = F.lit(None).cast("long"), ("event_id", "position", "status", "started", "ended")
+    stay = F.struct(*same, F.when(F.col("event_id") % 19 != 0, "observed").otherwise("inferred").alias("quality"))
+    first = F.struct((-F.col("event_id")).alias("event_id"), F.lit(0).alias("position"), born.alias("status"), none.alias("started"), none.alias("ended"), F.lit("inferred").alias("quality"))
+    both = F.when((F.col("position") == 1) & (c % 4 == 0), F.array(first, stay)).otherwise(F.array(stay))
+    every = rows.select("item", *[x for x in rows.columns if x not in (*same, "item")], F.inline(both)).withColumn("title", _title(c))
+    mapped = status_events(spark, sf_dir).filter("case_id % 3 = 0").select(F.col("case_id").alias("item"))
     return routing.native(every, _register(spark, sf_dir).drop("title"), mapped, MODEL, SPEC, CUT)
 
 
@@ -78,7 +81,7 @@ rt AS (SELECT c AS case_id, p, s, CASE WHEN s IS DISTINCT FROM 'Intake' THEN 'no
 
 @query(stays_sql("SELECT case_id AS item, event_id, position::INTEGER AS position, status, started, ended, provenance, seen_until AS until, seen_until - started AS elapsed, business FROM pa", _NATIVE))
 def native_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _native(spark, sf_dir)[0]
+    return _native(spark, sf_dir)[0].select("item", "event_id", "position", "status", "started", "ended", "provenance", "until", "elapsed", "business")
 
 
 @query(stays_sql(f"""SELECT c AS item, {_TITLE.format("c")} AS title, CASE WHEN found THEN CASE WHEN c % 13 = 0 THEN ' ' ELSE 'Brand ' || c % 5 END END AS brand, CASE WHEN is_pool THEN array_to_string(r, ',') ELSE '' END AS pool, copied AS born_as_copy, CASE WHEN copied THEN born END AS copied_status FROM ne WHERE against IS NULL""", _NATIVE))
@@ -91,17 +94,14 @@ def native_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _native(spark, sf_dir)[2].withColumn("reasons", F.array_join("reasons", ","))
 
 
-def _whole(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Stays of native cases with roles and business time, their attributes, their routes, and what is excluded."""
-    passages, attributes, excluded = _native(spark, sf_dir)
-    attributes = attributes.withColumnRenamed("item", "case_id")
-    stays = all_intervals(spark, sf_dir).join(passages.select("event_id", "business"), "event_id")
-    return stays, attributes, routing.routed(stays, attributes, MODEL.intake), excluded
+def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stays of native cases with roles, business time, what holds for the whole case, and its route."""
+    return routing.routed(_native(spark, sf_dir)[0].withColumnRenamed("item", "case_id"), MODEL.intake)
 
 
 @query(stays_sql("SELECT case_id, route, s AS first_status FROM rt", _NATIVE))
 def case_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _whole(spark, sf_dir)[2]
+    return routing.routes(_whole(spark, sf_dir))
 
 
 _COPIED = _NATIVE + """, bs AS (SELECT c AS case_id, 'case ' || c // 30 AS base, copied, born FROM ne WHERE against IS NULL), og AS (SELECT base, count(*) AS n, min(case_id) AS one FROM bs WHERE NOT copied GROUP BY base),
@@ -113,15 +113,13 @@ dp AS (SELECT cp.* EXCLUDE (status), nullif(status, '?') AS status, bs.base, bs.
 
 @query(stays_sql(f"SELECT case_id, {_TITLE.format('case_id')} AS title, base, copied_status, entered, status, deliveries, first_delivery, worked, path, related, originals FROM dp", _COPIED))
 def copied_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stays, attributes, routes, _ = _whole(spark, sf_dir)
-    return routing.duplicates(stays, attributes, routes, _MARKS)
+    return routing.duplicates(_whole(spark, sf_dir), _MARKS)
 
 
 @query(stays_sql(f"""SELECT case_id, {_TITLE.format('case_id')} AS title, opened, status, state, deliveries, cycles, to_first_delivery, CASE case_id % 7 WHEN 1 THEN 'several' ELSE 'squad' END AS pool_reasons, CASE case_id % 7 WHEN 1 THEN '["Ana","Bo"]' ELSE '["Talent squad"]' END AS names
 FROM proj WHERE case_id IN (SELECT case_id FROM rt WHERE route = 'pool')""", _NATIVE + _PROJECTS))
 def pool_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stays, attributes, routes, _ = _whole(spark, sf_dir)
-    return routing.pool_cases(stays, attributes, routes, MODEL, CUT)
+    return routing.pool_cases(_whole(spark, sf_dir), MODEL, CUT)
 
 
 _ALL_ITEMS = "rg AS (SELECT c FROM rl WHERE c % 17 <> 0 UNION ALL SELECT c_custkey + 1000000000 FROM customer WHERE c_custkey % 10 = 0)"
@@ -131,8 +129,7 @@ _ALL_ITEMS = "rg AS (SELECT c FROM rl WHERE c % 17 <> 0 UNION ALL SELECT c_custk
 UNION ALL SELECT c, 'excluded', CASE WHEN len(x) > 0 THEN array_to_string(x, ',') ELSE 'no_history' END FROM (SELECT c, {_reasons_sql("c", "true")} AS x FROM rg WHERE c NOT IN (SELECT c FROM ne))""", _NATIVE + ", " + _ALL_ITEMS))
 def placed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every item of the register once; those of pairs count here as items that nothing native is known of."""
-    _, _, routes, excluded = _whole(spark, sf_dir)
-    return routing.placed(_register(spark, sf_dir), routes, excluded)
+    return routing.placed(_register(spark, sf_dir), routing.routes(_whole(spark, sf_dir)), _native(spark, sf_dir)[2])
 
 
 _FILLED = _ERRORS + _COPIED + f""", {_ALL_ITEMS}, sg AS (SELECT *, min(CASE WHEN role = 'work' THEN position END) OVER s AS fw, max((role = 'work' AND status <> 'Intake')::INT) OVER s AS ow, position = max(position) OVER (PARTITION BY case_id) AS is_last
@@ -150,9 +147,8 @@ def filling_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _filling_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stays, attributes, routes, _ = _whole(spark, sf_dir)
-    copies = routing.duplicates(stays, attributes, routes, _MARKS)
-    return routing.filling_errors(all_intervals(spark, sf_dir), _responses(spark, sf_dir), routes, copies, _register(spark, sf_dir), MODEL, CUT, _STALE)
+    rows = _whole(spark, sf_dir)
+    return routing.filling_errors(all_intervals(spark, sf_dir), _responses(spark, sf_dir), rows, routing.duplicates(rows, _MARKS), _register(spark, sf_dir), MODEL, CUT, _STALE)
 
 
 @query(stays_sql("SELECT rule, severity, count(*) AS errors, count(DISTINCT case_id) AS cases, count(DISTINCT item) AS items FROM (SELECT *, " + _SEVERITY + " AS severity FROM fe) GROUP BY rule, severity", _FILLED))
