@@ -37,27 +37,35 @@ def local_day(at: Column, zone: str) -> Column:
     return F.date_from_unix_date(_day_and_clock(at, zone)[0])
 
 
-def _open_days(spec: CalendarSpec) -> tuple[int, Column]:
-    """The first day of the calendar since 1970, and how many open days lie before each of its days.
+def _open_days(spec: CalendarSpec) -> tuple[int, int, Column]:
+    """The first day of the calendar since 1970, its number of days, and its open days in blocks of 32 days.
 
-    The column is a constant, which the optimizer folds into one array of a number for each day.
+    A block is one number: how many open days lie before it in the upper half, and which of its own days are open as the bits of
+    the lower one.  The column is a constant of about 1,500 numbers, which the optimizer folds; it is part of every task.
     """
-    closed, day, upto = set(spec.holidays()), date(spec.years[0], 1, 1), [0]
+    closed, day, before, blocks, n = set(spec.holidays()), date(spec.years[0], 1, 1), 0, [], 0
     first = (day - date(1970, 1, 1)).days
     while day.year <= spec.years[1]:
-        upto.append(upto[-1] + (day.weekday() < 5 and day not in closed))
-        day += timedelta(days=1)
-    return first, F.split(F.lit(" ".join(map(str, upto))), " ").cast("array<int>")
+        if n % 32 == 0:
+            blocks.append(before << 32)
+        if day.weekday() < 5 and day not in closed:
+            blocks[-1] |= 1 << n % 32
+            before += 1
+        day, n = day + timedelta(days=1), n + 1
+    return first, n, F.split(F.lit(" ".join(map(str, blocks))), " ").cast("array<bigint>")
 
 
-def _business_until(at: Column, spec: CalendarSpec, first: int, upto: Column) -> Column:
+def _business_until(at: Column, spec: CalendarSpec, first: int, size: int, blocks: Column) -> Column:
     """Business microseconds from the calendar's first day up to an instant; differences are durations."""
     day, clock = _day_and_clock(at, spec.zone)
-    before, after = F.get(upto, day - first), F.get(upto, day - first + 1)
+    n = day - first
+    block, place = F.get(blocks, F.when(n.between(0, size - 1), F.shiftright(n, 5))), F.pmod(n, F.lit(32))
+    before = F.shiftright(block, 32) + F.bit_count(block.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), place) - 1))
+    is_open = F.call_function("shiftright", block, place).bitwiseAND(F.lit(1).cast("long"))
     today = F.lit(0).cast("long")
     for a, b in spec.windows:
         today = today + F.greatest(F.lit(0), F.least(clock, F.lit(b * HOUR)) - F.lit(a * HOUR))
-    return before.cast("long") * (sum(b - a for a, b in spec.windows) * HOUR) + (after - before) * today
+    return before * (sum(b - a for a, b in spec.windows) * HOUR) + is_open * today
 
 
 def business_micros(start: Column, end: Column, spec: CalendarSpec = CalendarSpec()) -> Column:
@@ -65,8 +73,8 @@ def business_micros(start: Column, end: Column, spec: CalendarSpec = CalendarSpe
 
     Null if either is null or lies outside the calendar's years.
     """
-    first, upto = _open_days(spec)
-    spent = _business_until(end, spec, first, upto) - _business_until(start, spec, first, upto)
+    known = _open_days(spec)
+    spent = _business_until(end, spec, *known) - _business_until(start, spec, *known)
     return F.when(spent.isNotNull(), F.greatest(F.lit(0), spent))
 
 
