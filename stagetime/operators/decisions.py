@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SEPARATORS
-from ..functions.columns import clean_text, folded, source_key, uuid5
+from ..functions.columns import clean_text, folded, source_key, uuid5, zoned_micros
 
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "stagetime:catalogue")
 PERSON = "person"
@@ -26,6 +26,20 @@ def validity(decisions: DataFrame) -> DataFrame:
     return rows.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
 
 
+def reviewed(raw: DataFrame, now: int, statuses: tuple[str, ...] = ("approved", "quarantined")) -> tuple[DataFrame, DataFrame]:
+    """(decisions, refused) of raw(entity_type, source_text, canonical_id, canonical_name, entity_kind, review_status, updated_at), all text.
+
+    A row is refused, with its reasons, if it has no alias, wasn't reviewed, or was decided at no instant with a zone or after
+    now.  A decision that stands several times counts once.
+    """
+    at, key = zoned_micros(F.col("updated_at")), source_key(F.col("source_text"))
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    why = {"no_alias": blank(F.col("entity_type")) | blank(key), "not_reviewed": ~F.coalesce(F.col("review_status").isin(*statuses), F.lit(False)), "no_instant": at.isNull(), "after_now": at > now}
+    rows = raw.withColumn("source_key", key).withColumn("decided_at", at).withColumn("reasons", F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in why.items()])), ","))
+    kept = rows.filter("reasons = ''").select("entity_type", "source_key", "canonical_id", "canonical_name", "entity_kind", "review_status", "decided_at").distinct()
+    return kept, rows.filter("reasons <> ''").select(*raw.columns, "reasons")
+
+
 def in_force(decisions: DataFrame, cut: int) -> DataFrame:
     """The decision on each alias as of a cut, and since when it stands."""
     return validity(decisions.filter(F.col("decided_at") <= cut)).filter("valid_to is null").drop("valid_to", "decided_at")

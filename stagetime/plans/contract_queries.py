@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import contracts, cycles, intervals, model
+from ..operators import contracts, cycles, decisions, intervals, model
 from ..sources import boards
 from .analysis_queries import _DESTINATIONS, _destinations
 from .binding import CUT, MODEL, SPEC, events_sql, intervals_sql, read, status_events, stays_sql
@@ -158,6 +158,28 @@ def frozen_input_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frozen(spark, sf_dir)[1]
 
 
+_REVIEWED = """WITH rv AS (SELECT p_partkey, p_name, concat_ws(',', CASE WHEN p_partkey % 13 = 0 THEN 'no_alias' END, CASE WHEN p_partkey % 5 > 1 THEN 'not_reviewed' END, CASE WHEN p_partkey % 7 = 0 THEN 'no_instant' END, CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 11 = 0 THEN 'after_now' END) AS reasons FROM part)"""
+
+
+def _reviewed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    k = F.col("p_partkey")
+    status = F.when(k % 5 == 0, "approved").when(k % 5 == 1, "quarantined").when(k % 5 == 2, "pending").when(k % 5 == 3, " approved")
+    at = F.when(k % 7 == 0, "2024-01-05T10:00:00").when(k % 11 == 0, "2024-02-01T00:00:00Z").otherwise("2024-01-05T10:00:00-03:00")
+    raw = read(spark, sf_dir, "part").select(F.lit("brand").alias("entity_type"), F.when(k % 13 == 0, " ").otherwise(F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "), k.cast("string"))).alias("source_text"), k.cast("string").alias("canonical_id"), F.col("p_name").alias("canonical_name"), F.lit("company").alias("entity_kind"), status.alias("review_status"), at.alias("updated_at"))
+    return decisions.reviewed(raw.unionByName(raw.filter("canonical_id like '%0'")), CUT)
+
+
+@query(_REVIEWED + " SELECT lower(p_name) || ' ' || p_partkey AS source_key, p_partkey::VARCHAR AS canonical_id, CASE p_partkey % 5 WHEN 0 THEN 'approved' ELSE 'quarantined' END AS review_status, 1704459600000000 AS decided_at FROM rv WHERE reasons = ''")
+def reviewed_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of reviewers' files: those that may enter the catalogue, each once."""
+    return _reviewed(spark, sf_dir)[0].select("source_key", "canonical_id", "review_status", "decided_at")
+
+
+@query(_REVIEWED + " SELECT reasons, (count(*) + count_if(p_partkey % 10 = 0))::BIGINT AS n FROM rv WHERE reasons <> '' GROUP BY reasons")
+def refused_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reviewed(spark, sf_dir)[1].groupBy("reasons").agg(F.count("*").alias("n"))
+
+
 # --- chains of versions, labels of the board ------------------------------------------------------
 
 
