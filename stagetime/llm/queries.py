@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, langid, license_scan, merkle, near_dedup, packing, pii, pivot_search, quality, repair, simhash, token_orc, toxicity
@@ -35,9 +35,14 @@ def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def _of_kind(kind: int) -> Column:
+    """How many base spans are of a kind; the function has one parameter, as Spark passes the place as a second."""
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+
 def op9_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.all_spans(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
+    counts = [_of_kind(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
     return spans.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 

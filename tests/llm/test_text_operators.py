@@ -441,6 +441,20 @@ def test_disclosure_equals_counting(spark, none):
     assert {x["h"] for x in listed if x["doc_id"] == 51} == {hashlib.sha256(b"").hexdigest()}
 
 
+def test_op9_counts_each_kind_wherever_its_spans_stand(spark, tmp_path):
+    from stagetime.llm.queries import op9_information_pii
+
+    texts = ["10.0.0.1 a.b@mail.example.com 10.0.0.2", "4041894974608795 a@x.org b@x.org +1 (414) 555-3519", "+1 (414) 555-3519", None, "", "10.0.0.256 none"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in op9_information_pii(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        base = pii.base_spans(t or "")
+        digest = hashlib.sha256(",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
+        assert tuple(got[i])[:6] == (i, *(sum(k == kind for _, k, _ in base) for kind in range(4)), digest)
+    assert tuple(got[0])[1:5] == (1, 2, 0, 0) and tuple(got[1])[1:5] == (2, 0, 1, 1)
+
+
 def test_added_spans_beat_random_places(spark):
     """Names beside addresses are evidence, words of copied documents are not, nor is a single sighting."""
     r = random.Random(8)
