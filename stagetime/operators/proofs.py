@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from ..functions.columns import row_hash
 
 _SUM = "decimal(38,0)"
+_LOW = (1 << 32) - 1
 
 
 def _hash(column: str) -> Column:
     """A hash of one value; null hashes like no value does, and -0.0 and NaN like their equals."""
-    return F.xxhash64(F.lit(column), F.to_json(F.struct(F.col(column)), {"ignoreNullFields": "false"})).cast(_SUM)
+    return F.xxhash64(F.lit(column), F.to_json(F.struct(F.col(column)), {"ignoreNullFields": "false"}))
 
 
 def compared(stored: DataFrame, derived: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
@@ -27,14 +28,21 @@ def compared(stored: DataFrame, derived: DataFrame, key: list[str], fields: list
     kind is missing (only derived), extra (only stored), repeated or lacking (more or fewer stored rows than
     derived ones) or changed; fields names the columns that differ, for keys with as many rows on both sides,
     each compared null-safely over all of the key's rows.  Null keys are keys like any other.
+
+    A field takes two longs: the stored hashes less the derived ones, summed by their upper and lower 32 bits, which
+    is exact for up to 2**31 rows of a key.  Rows go to as many tasks as spark.sql.shuffle.partitions says before they
+    are counted, so that no task that derives them holds their keys, and none is merged with others.
     """
     sides = []
-    for df, side in ((stored, 1), (derived, 0)):
+    for df, side in ((stored, 1), (derived, -1)):
         sides.append(df.select(*key, F.lit(side).alias("_s"), *[_hash(f).alias(f"_h{k}") for k, f in enumerate(fields)]))
-    both = sides[0].unionByName(sides[1])
-    mine = lambda side, c: F.sum(F.when(F.col("_s") == side, c).otherwise(F.lit(0)))
-    got = both.groupBy(*key).agg(mine(1, F.lit(1)).alias("_n"), mine(0, F.lit(1)).alias("_m"), *[mine(s, F.col(f"_h{k}")).alias(f"_{s}{k}") for k in range(len(fields)) for s in (0, 1)])
-    differs = F.array_compact(F.array(*[F.when(F.col(f"_0{k}") != F.col(f"_1{k}"), F.lit(f)) for k, f in enumerate(fields)]))
+    tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = sides[0].unionByName(sides[1]).repartition(tasks, *key)
+    upper, lower = (lambda k: F.shiftright(F.col(f"_h{k}"), 32)), (lambda k: F.col(f"_h{k}").bitwiseAND(F.lit(_LOW)))
+    sums = [F.sum(F.col("_s") * part(k)).alias(f"_{c}{k}") for k in range(len(fields)) for c, part in (("u", upper), ("l", lower))]
+    got = both.groupBy(*key).agg(F.count_if(F.col("_s") == 1).alias("_n"), F.count_if(F.col("_s") == -1).alias("_m"), *sums)
+    same = lambda k: (F.col(f"_l{k}").bitwiseAND(F.lit(_LOW)) == 0) & (F.col(f"_u{k}") == -F.shiftright(F.col(f"_l{k}"), 32))
+    differs = F.array_compact(F.array(*[F.when(~same(k), F.lit(f)) for k, f in enumerate(fields)]))
     n, m = F.col("_n"), F.col("_m")
     kind = F.when(n == 0, "missing").when(m == 0, "extra").when(n > m, "repeated").when(n < m, "lacking").when(F.size(differs) > 0, "changed")
     rows = got.withColumn("kind", kind).filter("kind is not null")

@@ -73,10 +73,10 @@ def streamed_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _planted(derived: DataFrame, mark: Column, key: str, field: str, other: Column) -> DataFrame:
     """derived as if stored with faults: of every 97 marks one is missing, one there twice, one changed, one under another key too."""
-    rows = derived.withColumn("_m", F.pmod(mark, F.lit(97)))
-    stored = rows.filter("_m <> 0").withColumn(field, F.when(F.col("_m") == 2, other).otherwise(F.col(field)))
-    more = rows.filter("_m = 1").unionByName(rows.filter("_m = 3").withColumn(key, -1 - F.col(key)))
-    return stored.unionByName(more).drop("_m")
+    m = F.pmod(mark, F.lit(97))
+    moved = F.when(m == 0, F.array().cast("array<boolean>")).when(m == 1, F.array(F.lit(False), F.lit(False))).when(m == 3, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = derived.withColumn("_moved", moved).withColumn(field, F.when(m == 2, other).otherwise(F.col(field))).withColumn("_moved", F.explode("_moved"))
+    return rows.withColumn(key, F.when(F.col("_moved"), -1 - F.col(key)).otherwise(F.col(key))).drop("_moved")
 
 
 def _planted_sql(contract: str, source: str, mark: str, field: str) -> str:
