@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, distinct_pairs, mix, span_hashes, stored, text_buffer, word_spans
-from .features import NOT_ALNUM, text_steps
+from .common import LOWER, distinct_pairs, mix, span_hashes, steps, stored, text_buffer, word_spans
+from .features import NOT_ALNUM, runs, text_steps
 
 WINDOW = 5
 CONFIDENCE = 1.96
@@ -125,8 +125,16 @@ _NEAR_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), (
 _DECOY_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64())]))
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about STEP_BYTES of text, so that what is made of them stays as small."""
     for batch in batches:
+        _, offsets = text_buffer(batch.column(batch.schema.get_field_index("text")))
+        for lo, hi in steps(offsets):
+            yield batch.slice(lo, hi - lo)
+
+
+def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _by_steps(batches):
         texts = batch.column(batch.schema.get_field_index("text"))
         buf, offsets = text_buffer(texts)
         base, near, decoys = ([[] for _ in range(batch.num_rows)] for _ in range(3))
@@ -142,21 +150,13 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text_key")] + lists, ["doc_id", "text_key", "base", "near", "decoys"])
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    value, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(value)
-    value, n = value[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-    return value[first], np.add.reduceat(n, first)
-
-
-def _document_frequencies(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
-    """term and the number of documents that hold it, added up within a task up to most terms at a time."""
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
+def _document_frequencies(batches: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """term and the number of documents that hold it, added up within a task over most pairs or a step's at a time."""
+    parts: list[np.ndarray] = []
     held = 0
 
     def out() -> pa.RecordBatch:
-        value, n = _merge(parts)
+        value, n = runs(np.concatenate(parts))
         return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], ["term", "n"])
 
     for batch in batches:
@@ -165,16 +165,12 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch], most: int = 1_000_0
             starts, ends, row = word_spans(low, offsets, NOT_ALNUM)
             long = ends - starts >= 3
             _, term = distinct_pairs(row[long], span_hashes(low, starts[long], ends[long]))
-            if len(term):
-                parts.append((term, np.ones(len(term), np.int64)))
-                held += len(term)
-            if held > 2 * most:
-                parts = [_merge(parts)]
-                held = len(parts[0][0])
-                if held > most:
-                    yield out()
-                    parts, held = [], 0
-    if parts:
+            parts.append(term)
+            held += len(term)
+            if held > most:
+                yield out()
+                parts, held = [], 0
+    if held:
         yield out()
 
 
@@ -258,7 +254,7 @@ def _rewrite(text: str, spans: list[dict]) -> str:
 
 
 def _sanitise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _by_steps(batches):
         at, by = batch.schema.get_field_index("text"), batch.num_columns - 1
         texts, spans = batch.column(at).to_pylist(), batch.column(by).to_pylist()
         texts = [_rewrite(t, s) if t and s else t for t, s in zip(texts, spans, strict=True)]
